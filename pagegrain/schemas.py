@@ -6,36 +6,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PAGES = T.StructType.fromDDL(
-    "page_id bigint, site string, page_type string, url string, referer string, country_code string, "
-    "language string, currency string, category_path array<string>, html string, fetched_at timestamp"
+_STR, _INT, _LONG, _BOOL = T.StringType(), T.IntegerType(), T.LongType(), T.BooleanType()
+_LIST = T.ArrayType(T.StringType())
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+PAGES = _struct(
+    page_id=_LONG, site=_STR, page_type=_STR, url=_STR, referer=_STR, country_code=_STR, language=_STR,
+    currency=_STR, category_path=_LIST, html=_STR, fetched_at=T.TimestampType(),
 )
 
-NODE = T.StructType.fromDDL(
-    "pre int, end int, parent int, level int, tag string, nth int, path string, "
-    "attrs map<string,string>, text string, outer string"
+NODE = _struct(
+    pre=_INT, end=_INT, parent=_INT, level=_INT, tag=_STR, nth=_INT, path=_STR, attrs=T.MapType(_STR, _STR),
+    text=_STR, outer=_STR,
 )
 
-OFFERS = T.StructType.fromDDL("store_name string, cash_back string, url string, category string, site string")
+OFFERS = _struct(store_name=_STR, cash_back=_STR, url=_STR, category=_STR, site=_STR)
 
-JOBS = T.StructType.fromDDL(
-    "site string, job_title string, job_id string, job_location string, summary string, requirements string"
-)
+JOBS = _struct(site=_STR, job_title=_STR, job_id=_STR, job_location=_STR, summary=_STR, requirements=_STR)
 
-SIZE_ITEM = T.StructType.fromDDL(
-    "size_identifier string, size_name string, stock int, "
-    "size_current_price_text string, size_original_price_text string"
+SIZE_ITEM = _struct(
+    size_identifier=_STR, size_name=_STR, stock=_INT, size_current_price_text=_STR, size_original_price_text=_STR,
 )
 
-PRODUCTS = T.StructType.fromDDL(
-    "item_kind string, country_code string, language_code string, currency string, base_sku string, sku string, "
-    "identifier string, brand string, url string, referer_url string, color_code string, color_name string, "
-    "gender_names string, title array<string>, keywords array<string>, description_text array<string>, "
-    "new_price_text array<string>, full_price_text array<string>, category_identifiers array<string>, "
-    "category_names array<string>, image_urls array<string>, available boolean, use_size_level_prices boolean"
-).add("size_infos", T.ArrayType(SIZE_ITEM))
+PRODUCTS = _struct(
+    item_kind=_STR, country_code=_STR, language_code=_STR, currency=_STR, base_sku=_STR, sku=_STR, identifier=_STR,
+    brand=_STR, url=_STR, referer_url=_STR, color_code=_STR, color_name=_STR, gender_names=_STR, title=_LIST,
+    keywords=_LIST, description_text=_LIST, new_price_text=_LIST, full_price_text=_LIST,
+    category_identifiers=_LIST, category_names=_LIST, image_urls=_LIST, available=_BOOL,
+    use_size_level_prices=_BOOL, size_infos=T.ArrayType(SIZE_ITEM),
+)
 
-REJECTS = T.StructType.fromDDL("page_id bigint, url string, stage string, reason string")
+REJECTS = _struct(page_id=_LONG, url=_STR, stage=_STR, reason=_STR)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
