@@ -1,0 +1,6 @@
+"""The checked queries. Importing the package registers them all."""
+
+from pagegrain.checks.base import ORACLES, QUERIES
+from pagegrain.checks import pages  # noqa: F401
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -19,7 +19,7 @@ from pagegrain.operators import nodes as N
 from pagegrain.operators.filters import sellable
 from pagegrain.operators.joins import drop_ignored
 from pagegrain.operators.nested import swatch_rows, with_color_sku
-from pagegrain.operators.sets import first_sightings, mini_and_full
+from pagegrain.operators.sets import first_sightings, mini_and_full, staged
 from pagegrain.schemas import PRODUCTS, conform
 
 T_ = N.Test
@@ -165,9 +165,12 @@ def image_sets(pages: DataFrame) -> DataFrame:
                         image_list(data, F.lit(IMAGE_BASE), "", None, skip_first=False).alias("images"))
 
 
-def products(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sightings, products) of routed pages with their country, language, currency and category path."""
-    listing = sightings(pages.where(F.col("page_type") == "listing"))
+def products(pages: DataFrame, staging: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(sightings, products) of routed pages with their country, language, currency and category path.
+
+    With ``staging`` the sightings are written once and read by both, instead of parsing the listings twice.
+    """
+    listing = staged(sightings(pages.where(F.col("page_type") == "listing")), staging)
     first = listing_items(first_sightings(listing, ["fetched_at", "page_id", "pos"]))
     detail = details(pages.where(F.col("page_type") == "detail"))
     found = first.join(detail, ["country_code", "url"]).where(sellable(F.col("title"), F.col("base_sku")))
@@ -187,9 +190,9 @@ def products(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return listing_items(listing), conform(out.withColumn("item_kind", F.lit("full")), PRODUCTS)
 
 
-def catalogue(pages: DataFrame, ignore: DataFrame | None = None) -> DataFrame:
+def catalogue(pages: DataFrame, staging: str | None = None, ignore: DataFrame | None = None) -> DataFrame:
     """Mini items of every sighting and full items of the first ones."""
     if ignore is not None:
         pages = drop_ignored(pages, ignore)
-    listing, full = products(pages)
+    listing, full = products(pages, staging)
     return conform(mini_and_full(listing, full), PRODUCTS)
