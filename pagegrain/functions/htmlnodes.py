@@ -50,6 +50,10 @@ def attributes(source: str) -> dict[str, str]:
     return found
 
 
+def attr_text(value: str) -> str:
+    return escape(value, quote=False).replace('"', "&quot;")
+
+
 class PageNodes:
     """Nodes of one page that pass ``wanted(tag, attrs, path)``: 0 skips, 1 keeps, 2 keeps with its markup."""
 
@@ -119,7 +123,7 @@ class PageNodes:
             node = [pre, pre, parent[1], len(self.open), name, nth, path, attrs, None, None]
             self.nodes.append(node)
         begin = len(self.out)
-        self.out.append("<" + name + "".join(f' {k}="{escape(v)}"' for k, v in attrs.items()) + ">")
+        self.out.append("<" + name + "".join(f' {k}="{attr_text(v)}"' for k, v in attrs.items()) + ">")
         if name in VOID:
             if keep == 2:
                 node[9] = self.out[-1]
