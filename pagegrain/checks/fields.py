@@ -346,8 +346,8 @@ def d29_swatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pages = parts(spark, sf_dir).select("p_partkey", F.concat(F.lit('<div class="pdpRight x">'), swatch(0), swatch(1), F.lit("</div>")).alias("html"))
     docs = N.parse_nodes(pages, [N.Test("div", "class", "starts", "pdpRight"), N.Test("img", "class", "starts", "swatch", markup=True)], ["p_partkey"])
-    images = N.under(F.col("nodes"), N.Test("div", "class", "starts", "pdpRight"), N.Test("img", "class", "starts", "swatch"))
-    rows = docs.select("p_partkey", F.posexplode(images).alias("pos", "n"))
+    images = N.under(N.ALL, N.Test("div", "class", "starts", "pdpRight"), N.Test("img", "class", "starts", "swatch"))
+    rows = docs.select("p_partkey", F.posexplode(images.col).alias("pos", "n"))
     attr = lambda name: F.try_element_at(F.col("n.attrs"), F.lit(name))
     return rows.select(
         "p_partkey", F.col("pos").cast(LONG).alias("pos"), X.group(attr("onclick"), "changeAltImages\\(.*?,'(.*?)'\\)").alias("color_code"),
@@ -359,7 +359,7 @@ def d29_swatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT page_id, regexp_extract(html, '<meta charset="(.*?)">', 1) AS charset, CAST(1 AS BIGINT) AS n FROM pages""")
 def d30_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = N.parse_nodes(table(spark, sf_dir, "pages"), [N.Test("meta", "charset", "has", "")], ["page_id"])
-    values = N.values(N.select(F.col("nodes"), N.Test("meta")), "charset")
+    values = N.values(N.select(N.ALL, N.Test("meta")), "charset")
     return docs.select("page_id", F.array_join(values, "|").alias("charset"), F.size(values).cast(LONG).alias("n"))
 
 

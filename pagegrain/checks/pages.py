@@ -274,7 +274,7 @@ SELECT page_id, link, label, lower(label) AS category,
   CAST(list_position(['the', 'de', 'of', 'and', 'que', 'der'], lower(label)) AS BIGINT) AS category_pos
 FROM e WHERE lower(label) IN ('the', 'de', 'of', 'and', 'que', 'der')""")
 def b11_nav(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = F.col("nodes")
+    nodes = N.ALL
     anchors = N.under(nodes, N.Test("nav"), N.Test("li"), N.Test("a"))
     staged = nav_docs(spark, sf_dir).select("page_id", N.values(anchors, "href").alias("links"),
                                             N.values(anchors).alias("labels"))
@@ -298,7 +298,7 @@ def c1_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("c2_blocks", f"WITH {LI} SELECT page_id, pos, block, 'nodes' AS way FROM li UNION ALL SELECT page_id, pos, block, 'markup' FROM li")
 def c2_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = F.posexplode(N.select(F.col("nodes"), N.Test("li"))).alias("pos", "n")
+    items = F.posexplode(N.select(N.ALL, N.Test("li")).col).alias("pos", "n")
     nodes = nav_docs(spark, sf_dir).select("page_id", items).select(
         "page_id", F.col("pos").cast(LONG).alias("pos"), F.col("n.outer").alias("block"), F.lit("nodes").alias("way"))
     markup = N.simple_blocks(table(spark, sf_dir, "pages").select("page_id", "html"), "li").select(
@@ -309,19 +309,19 @@ def c2_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("c3_descendant", f"""
 WITH {LI} SELECT page_id, count(*) AS n_li, count(*) AS n_a, 0::BIGINT AS n_outside FROM li GROUP BY page_id""")
 def c3_descendant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = F.col("nodes")
+    nodes = N.ALL
     nav = N.select(nodes, N.Test("nav"))
     inside = N.descendants(nav, N.select(nodes, N.Test("li")))
     return nav_docs(spark, sf_dir).select(
-        "page_id", F.size(inside).cast(LONG).alias("n_li"),
-        F.size(N.descendants(inside, N.select(nodes, N.Test("a")))).cast(LONG).alias("n_a"),
-        F.size(N.descendants(N.select(nodes, N.Test("a")), N.select(nodes, N.Test("li")))).cast(LONG).alias("n_outside"))
+        "page_id", N.count(inside).cast(LONG).alias("n_li"),
+        N.count(N.descendants(inside, N.select(nodes, N.Test("a")))).cast(LONG).alias("n_a"),
+        N.count(N.descendants(N.select(nodes, N.Test("a")), N.select(nodes, N.Test("li")))).cast(LONG).alias("n_outside"))
 
 
 @check("c4_nth_child", f"""
 WITH {NAV} SELECT page_id, texts[2] AS second, hrefs[4] AS fourth FROM nav""")
 def c4_nth_child(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = F.col("nodes")
+    nodes = N.ALL
 
     def anchor(n: int):
         return N.children(N.nth_child(nodes, "li", n), N.select(nodes, N.Test("a")))
@@ -336,15 +336,15 @@ WITH {NAV} SELECT page_id, CAST(len(list_filter(hrefs, lambda h: starts_with(h,
   CAST(len(list_filter(texts, lambda t: contains(t, 'on'))) AS BIGINT) AS n_text
 FROM nav""")
 def c5_attr_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = F.col("nodes")
+    nodes = N.ALL
 
     def count(found):
-        return F.size(found).cast(LONG)
+        return N.count(found).cast(LONG)
 
     return nav_docs(spark, sf_dir).select(
         "page_id", count(N.select(nodes, N.Test("a", "href", "starts", "/th"))).alias("n_starts"),
         count(N.select(nodes, N.Test("a", "href", "has", "e"))).alias("n_has"),
-        count(F.filter(nodes, lambda n: (n["tag"] == "a") & N.attr_pred(n["text"], "has", "on"))).alias("n_text"))
+        count(N.where(nodes, "n.tag = 'a' AND " + N.attr_pred("n.text", "has", "on"))).alias("n_text"))
 
 
 @check("c6_union", """
@@ -352,15 +352,15 @@ SELECT page_id, array_to_string(list_transform(regexp_extract_all(html, '<(li|h1
 FROM pages""")
 def c6_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = N.parse_nodes(table(spark, sf_dir, "pages"), N.tags("li", "h1", "article", "nav", "a"), ["page_id"])
-    found = N.select(F.col("nodes"), *N.tags("article", "h1", "li", "nav", "li"))
-    return docs.select("page_id", F.array_join(F.transform(found, lambda n: n["tag"]), ",").alias("tags"))
+    found = N.select(N.ALL, *N.tags("article", "h1", "li", "nav", "li"))
+    return docs.select("page_id", F.array_join(F.transform(found.col, lambda n: n["tag"]), ",").alias("tags"))
 
 
 @check("c7_values", f"""
 WITH {NAV} SELECT page_id, array_to_string(hrefs, '|') AS hrefs, array_to_string(texts, '|') AS texts FROM nav""")
 def c7_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = N.parse_nodes(table(spark, sf_dir, "pages"), [N.Test("nav"), N.Test("a"), N.Test(N.TEXT)], ["page_id"])
-    nodes = F.col("nodes")
+    nodes = N.ALL
     return docs.select(
         "page_id", F.array_join(N.values(N.select(nodes, N.Test("a")), "href"), "|").alias("hrefs"),
         F.array_join(N.texts_under(nodes, N.Test("nav")), "|").alias("texts"))
@@ -371,7 +371,7 @@ WITH {NAV} SELECT page_id, hrefs[1] AS first, hrefs[2] AS second, hrefs[-1] AS l
   array_to_string(hrefs[1:1], '|') AS head, array_to_string(hrefs[2:], '|') AS tail FROM nav""")
 def c8_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     hrefs, texts = F.col("hrefs"), F.col("texts")
-    nodes = F.col("nodes")
+    nodes = N.ALL
     anchors = N.select(nodes, N.Test("a"))
     docs = nav_docs(spark, sf_dir).select("page_id", N.values(anchors, "href").alias("hrefs"), N.values(anchors).alias("texts"))
     return docs.select(
@@ -384,7 +384,7 @@ def c8_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {NAV} SELECT page_id, CAST(i - 1 AS BIGINT) AS pos, hrefs[i] AS href, texts[1:3][i] AS text
 FROM (SELECT page_id, hrefs, texts, unnest(range(1, len(hrefs) + 1)) AS i FROM nav)""")
 def c9_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    anchors = N.select(F.col("nodes"), N.Test("a"))
+    anchors = N.select(N.ALL, N.Test("a"))
     docs = nav_docs(spark, sf_dir).select("page_id", N.values(anchors, "href").alias("hrefs"),
                                           F.slice(N.values(anchors), 1, 3).alias("texts"))
     return N.zip_explode(docs, href="hrefs", text="texts").select(
@@ -398,7 +398,7 @@ WITH {NAV} SELECT page_id,
 FROM nav""")
 def c10_breadcrumb(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = F.col("texts")
-    docs = nav_docs(spark, sf_dir).select("page_id", N.values(N.select(F.col("nodes"), N.Test("a"))).alias("texts"))
+    docs = nav_docs(spark, sf_dir).select("page_id", N.values(N.select(N.ALL, N.Test("a"))).alias("texts"))
     with_home = F.concat(F.array(F.lit("x"), F.lit("Home")), texts)
     return docs.select("page_id", F.array_join(breadcrumb(texts), "|").alias("path"),
                        F.array_join(breadcrumb(with_home), "|").alias("home_path"))

@@ -7,7 +7,7 @@ stage and need no shuffle, however the pages are spread over sites.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark import cloudpickle
@@ -37,20 +37,23 @@ class Test:
     def spec(self) -> htmlnodes.Spec:
         return (self.tag, self.attr, self.op, self.value, self.markup)
 
-    def on(self, node: Column) -> Column:
-        """The same test as an expression on a node struct."""
-        same_tag = node["tag"] == self.tag
+    def sql(self, node: str) -> str:
+        """The same test as SQL on a node struct."""
+        same_tag = f"{node}.tag = {literal(self.tag)}"
         if self.attr is None:
             return same_tag
-        actual = node["path"] if self.attr == "@path" else F.try_element_at(node["attrs"], F.lit(self.attr))
-        return same_tag & F.coalesce(attr_pred(actual, self.op, self.value), F.lit(False))
+        actual = f"{node}.path" if self.attr == "@path" else f"try_element_at({node}.attrs, {literal(self.attr)})"
+        return f"({same_tag} AND coalesce({attr_pred(actual, self.op, self.value)}, false))"
 
 
-def attr_pred(actual: Column, op: str, value: str) -> Column:
-    """Attribute or text predicate: equality, prefix, suffix or substring."""
-    ops = {"eq": lambda: actual == value, "starts": lambda: F.startswith(actual, F.lit(value)),
-           "ends": lambda: F.endswith(actual, F.lit(value)), "has": lambda: F.contains(actual, F.lit(value))}
-    return ops[op]()
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def attr_pred(actual: str, op: str, value: str) -> str:
+    """Attribute or text predicate in SQL: equality, prefix, suffix or substring."""
+    forms = {"eq": "{0} = {1}", "starts": "startswith({0}, {1})", "ends": "endswith({0}, {1})", "has": "contains({0}, {1})"}
+    return forms[op].format(actual, literal(value))
 
 
 def tags(*names: str) -> list[Test]:
@@ -75,44 +78,63 @@ def parse_nodes(pages: DataFrame, tests: Iterable[Test] | dict[str, Iterable[Tes
     return source.mapInArrow(htmlnodes.batch_parser(specs, keep, with_html), schema)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it inside nested lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+class Nodes(str):
+    """SQL text of a node list. Selections nest lambdas several deep; as text they cost one call to build."""
+
+    @property
+    def col(self) -> Column:
+        return F.expr(self)
+
+
+ALL = Nodes("nodes")
+
 
+def let(value: str, name: str, body: str) -> str:
+    """Evaluate ``value`` once and use it as ``name`` in nested lambdas."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-def select(nodes: Column, *tests: Test) -> Column:
+
+def select(nodes: Nodes, *tests: Test) -> Nodes:
     """Nodes that pass any of the tests, each once, in document order."""
-    def any_of(n: Column) -> Column:
-        out = tests[0].on(n)
-        for t in tests[1:]:
-            out = out | t.on(n)
-        return out
+    return Nodes(f"filter({nodes}, n -> {' OR '.join(t.sql('n') for t in tests)})")
+
 
-    return F.filter(nodes, any_of)
+def where(nodes: Nodes, condition: str) -> Nodes:
+    """Nodes ``n`` for which a SQL condition holds."""
+    return Nodes(f"filter({nodes}, n -> {condition})")
 
 
-def descendants(ancestors: Column, nodes: Column) -> Column:
+def descendants(ancestors: Nodes, nodes: Nodes) -> Nodes:
     """The nodes that lie inside one of the ancestors (interval test, each node once)."""
-    return let(ancestors, lambda anc: F.filter(
-        nodes, lambda d: F.exists(anc, lambda a: (d["pre"] > a["pre"]) & (d["pre"] <= a["end"]))))
+    inside = f"filter({nodes}, d -> exists(up, a -> d.pre > a.pre AND d.pre <= a.end))"
+    return Nodes(let(ancestors, "up", inside))
 
 
-def children(parents: Column, nodes: Column) -> Column:
-    return let(parents, lambda up: F.filter(nodes, lambda d: F.exists(up, lambda a: d["parent"] == a["pre"])))
+def children(parents: Nodes, nodes: Nodes) -> Nodes:
+    return Nodes(let(parents, "up", f"filter({nodes}, d -> exists(up, a -> d.parent = a.pre))"))
 
 
-def nth_child(nodes: Column, tag: str, n: int) -> Column:
+def nth_child(nodes: Nodes, tag: str, n: int) -> Nodes:
     """The n-th (from 1) among its siblings of the same tag."""
-    return F.filter(nodes, lambda x: (x["tag"] == tag) & (x["nth"] == n))
+    return where(nodes, f"n.tag = {literal(tag)} AND n.nth = {n}")
+
 
+def part(nodes: Nodes, start: int, count: int = 1) -> Nodes:
+    """Slice of a node list, from 1."""
+    return Nodes(f"slice({nodes}, {start}, {count})")
 
-def values(nodes: Column, attr: str | None = None) -> Column:
+
+def values(nodes: Nodes, attr: str | None = None) -> Column:
     """Attribute values, or texts, in document order; nodes without one are left out."""
-    picked = F.transform(nodes, lambda n: n["text"] if attr is None else F.try_element_at(n["attrs"], F.lit(attr)))
-    return F.filter(picked, lambda v: v.isNotNull())
+    picked = "n.text" if attr is None else f"try_element_at(n.attrs, {literal(attr)})"
+    return F.expr(f"filter(transform({nodes}, n -> {picked}), v -> v IS NOT NULL)")
+
+
+def count(nodes: Nodes) -> Column:
+    return F.expr(f"size({nodes})")
 
 
-def under(nodes: Column, *path: Test) -> Column:
+def under(nodes: Nodes, *path: Test) -> Nodes:
     """Descendant chain: the nodes of the last test below those of the one before, and so on."""
     current = select(nodes, path[0])
     for t in path[1:]:
@@ -120,12 +142,12 @@ def under(nodes: Column, *path: Test) -> Column:
     return current
 
 
-def texts_under(nodes: Column, *path: Test) -> Column:
+def texts_under(nodes: Nodes, *path: Test) -> Column:
     """All text nodes below the end of a descendant chain."""
     return values(descendants(under(nodes, *path), select(nodes, Test(TEXT))))
 
 
-def own_texts(nodes: Column, *path: Test) -> Column:
+def own_texts(nodes: Nodes, *path: Test) -> Column:
     """Text nodes that are children of the end of a descendant chain."""
     return values(children(under(nodes, *path), select(nodes, Test(TEXT))))
 

@@ -73,7 +73,7 @@ def currency_rows() -> list[tuple[str, str]]:
 def sightings(pages: DataFrame) -> DataFrame:
     """One row per product link of a listing page, with its key and category path."""
     docs = N.parse_nodes(pages, LISTING_TESTS, IDS)
-    nodes = F.col("nodes")
+    nodes = N.ALL
     anchors = N.select(nodes, T_("a"))
     look_links = N.children(N.under(nodes, LOOK_BOX, LOOK_ROW), anchors)
     staged = docs.select(
@@ -108,14 +108,15 @@ def _menu_skus(menu: Column) -> Column:
         s["skuOptions"]["0"]["iOptionPk"].alias("color_option"),
         s["skuOptions"]["1"]["iOptionPk"].alias("size_option"),
         stock_flag(s["inStock"]).alias("stock"), s["skuPrice"].alias("price")))
-    return N.let(names, lambda by_id: F.filter(F.transform(skus, lambda s: F.struct(
+    named = F.get(F.transform(F.array(names), lambda by_id: F.transform(skus, lambda s: F.struct(
         s["color_option"].alias("color_option"), F.try_element_at(by_id, s["size_option"]).alias("size"),
-        s["stock"].alias("stock"), s["price"].alias("price"))), lambda s: s["size"].isNotNull()))
+        s["stock"].alias("stock"), s["price"].alias("price")))), F.lit(0))
+    return F.filter(named, lambda s: s["size"].isNotNull())
 
 
-def _swatches(nodes: Column, skus: Column, country: Column) -> Column:
+def _swatches(skus: Column, country: Column) -> Column:
     """Colours of the page with their size entries; a colour without skus keeps an empty list."""
-    images = N.under(nodes, RIGHT, SWATCH)
+    images = N.under(N.ALL, RIGHT, SWATCH).col
 
     def one(img: Column, all_skus: Column) -> Column:
         option = X.group(img["outer"], "swatchClicked\\((.*?)\\)")
@@ -127,13 +128,13 @@ def _swatches(nodes: Column, skus: Column, country: Column) -> Column:
             .alias("size_infos"),
             F.exists(mine, lambda s: s["price"].isNotNull()).alias("use_size_level_prices"))
 
-    return N.let(F.coalesce(skus, F.array()), lambda s: F.transform(images, lambda img: one(img, s)))
+    return F.transform(images, lambda img: one(img, skus))
 
 
 def details(pages: DataFrame) -> DataFrame:
     """Facts of the detail pages, keyed by country and url."""
     docs = N.parse_nodes(pages, DETAIL_TESTS, ["country_code", "url"], with_html=True)
-    nodes, html = F.col("nodes"), F.col("norm_html")
+    nodes, html = N.ALL, F.col("norm_html")
 
     def one_text(first: N.Test) -> Column:
         texts = first_non_empty(N.texts_under(nodes, BOX, PRICE_BOX, first), N.texts_under(nodes, BOX, PRICE_BOX, SINGLE))
@@ -145,7 +146,7 @@ def details(pages: DataFrame) -> DataFrame:
         brand_text(N.texts_under(nodes, BOX, BRAND, T_("a")), N.texts_under(nodes, BOX, BRAND)).alias("brand"),
         one_text(SALE).alias("sale"), one_text(WAS).alias("was"),
         F.get(N.texts_under(nodes, BADGE), F.lit(0)).alias("badge"),
-        (F.size(N.select(nodes, ALERT)) > 0).alias("alert"),
+        (N.count(N.select(nodes, ALERT)) > 0).alias("alert"),
         X.description(N.own_texts(nodes, BOX, DESC_BOX, DESC)).alias("description_text"),
         N.values(N.select(nodes, KEYWORDS), "content").alias("keywords"),
         F.transform(F.slice(image, 1, 1), schemeless).alias("primary_image"),
@@ -153,7 +154,7 @@ def details(pages: DataFrame) -> DataFrame:
         parse_js(script_var(html, MENU_CALL), MENU).alias("menu"))
     sized = facts.select("*", _menu_skus(F.col("menu")).alias("skus"))
     state = availability(F.col("sale"), F.col("was"), F.lit(False), F.col("badge"), F.col("alert"), "[0-9,.]")
-    swatches = F.when(F.col("menu").isNotNull(), _swatches(F.col("nodes"), F.col("skus"), F.col("country_code")))
+    swatches = F.when(F.col("menu").isNotNull(), _swatches(F.col("skus"), F.col("country_code")))
     return sized.select("country_code", "url", "title", "brand", "description_text", "keywords", "primary_image",
                         "asset", state.alias("state"), swatches.alias("swatches"))
 

@@ -59,16 +59,11 @@ def _pentair_tests() -> list[N.Test]:
 
 def _box_text(marker: str) -> Column:
     """Texts of a box on the allowed tag paths, in document order, one per line."""
-    nodes = F.col("nodes")
+    nodes = N.ALL
     box = N.select(nodes, N.Test("div", "id", "starts", marker))
-    texts = N.select(nodes, N.Test(N.TEXT))
-
-    def below(t: Column, b: Column) -> Column:
-        inside = (t["pre"] > b["pre"]) & (t["pre"] <= b["end"])
-        return inside & F.substr(t["path"], F.length(b["path"]) + 2).rlike(PENTAIR_PATHS)
-
-    kept = N.let(box, lambda bs: F.filter(texts, lambda t: F.exists(bs, lambda b: below(t, b))))
-    return X.join_text(N.values(kept))
+    below = f"substr(t.path, length(b.path) + 2) RLIKE {N.literal(PENTAIR_PATHS)}"
+    inside = f"filter({N.select(nodes, N.Test(N.TEXT))}, t -> exists(box, b -> t.pre > b.pre AND t.pre <= b.end AND {below}))"
+    return X.join_text(N.values(N.Nodes(N.let(box, "box", inside))))
 
 
 def pentair_jobs(pages: DataFrame) -> DataFrame:
@@ -78,10 +73,10 @@ def pentair_jobs(pages: DataFrame) -> DataFrame:
     (``fetched_at, page_id``).
     """
     docs = N.parse_nodes(pages, _pentair_tests(), ["page_id", "page_type", "url", "referer", "fetched_at"])
-    nodes = F.col("nodes")
+    nodes = N.ALL
     totals = docs.where(F.col("page_type") == "listing").select(
         F.col("url").alias("referer"),
-        F.size(N.select(nodes, N.Test("a", "id", "starts", PENTAIR_POSTING))).alias("total"))
+        N.count(N.select(nodes, N.Test("a", "id", "starts", PENTAIR_POSTING))).alias("total"))
     fields = [
         F.get(N.own_texts(nodes, N.Test("span", "id", "starts", marker)), F.lit(0)).alias(name)
         for name, marker in PENTAIR_FIELDS.items()

@@ -32,15 +32,15 @@ def _by_site(rules: list[OfferRule], one) -> Column:
 
 
 def _block_nodes(rule: OfferRule) -> Column:
-    nodes = F.col("nodes")
+    nodes = N.ALL
     found = N.select(nodes, *rule.blocks)
     if rule.custom == "best":
-        return F.slice(N.children(N.select(nodes, *rule.within), found), 1, 1)
-    return N.descendants(N.select(nodes, *rule.within), found) if rule.within else found
+        return N.part(N.children(N.select(nodes, *rule.within), found), 1).col
+    return (N.descendants(N.select(nodes, *rule.within), found) if rule.within else found).col
 
 
 def _aux_texts(rule: OfferRule) -> Column:
-    nodes = F.col("nodes")
+    nodes = N.ALL
     texts = N.select(nodes, N.Test(N.TEXT, "@path", "ends", rule.aux_text))
     if rule.custom == "best":
         cell, body = rule.aux

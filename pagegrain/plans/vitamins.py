@@ -25,23 +25,22 @@ TESTS = [CELL, HEAD, BRAND, UPC_BOX, PRICE, N.Test("td"), N.Test("strong"), N.Te
 
 
 def _first(*path: N.Test) -> Column:
-    return F.get(N.own_texts(F.col("nodes"), *path), F.lit(0))
+    return F.get(N.own_texts(N.ALL, *path), F.lit(0))
 
 
 def _size_text() -> Column:
     """First own text of the cell whose strong child carries the size mark."""
-    nodes = F.col("nodes")
-    strong = F.filter(N.select(nodes, N.Test("strong")), lambda s: F.contains(s["text"], F.lit(SIZE_MARK)))
-    cells = N.let(strong, lambda ss: F.filter(
-        N.descendants(N.select(nodes, CELL), N.select(nodes, N.Test("td"))),
-        lambda c: F.exists(ss, lambda s: s["parent"] == c["pre"])))
+    nodes = N.ALL
+    strong = N.where(nodes, f"n.tag = 'strong' AND contains(n.text, {N.literal(SIZE_MARK)})")
+    inner = N.descendants(N.select(nodes, CELL), N.select(nodes, N.Test("td")))
+    cells = N.Nodes(N.let(strong, "marks", f"filter({inner}, c -> exists(marks, m -> m.parent = c.pre))"))
     return F.get(N.values(N.children(cells, N.select(nodes, N.Test(N.TEXT)))), F.lit(0))
 
 
 def vitamin_products(pages: DataFrame) -> DataFrame:
     """title, brand, flavor, size, unit, upc, price, image_url of every product page."""
     docs = N.parse_nodes(pages.where(F.col("page_type") == "detail"), TESTS, ["page_id", "url"])
-    nodes = F.col("nodes")
+    nodes = N.ALL
     upc = N.values(N.children(N.under(nodes, CELL, UPC_BOX), N.select(nodes, N.Test("span", "itemprop", "has", ""))))
     image = N.values(N.children(N.under(nodes, CELL, N.Test("span")), N.select(nodes, N.Test("a"))), "href")
     raw = docs.select(
@@ -57,5 +56,5 @@ def vitamin_products(pages: DataFrame) -> DataFrame:
 def product_links(pages: DataFrame) -> DataFrame:
     """Distinct product urls of the grid pages."""
     docs = N.parse_nodes(pages, [GRID, N.Test("a")], ["page_id"])
-    links = N.values(N.children(N.select(F.col("nodes"), GRID), N.select(F.col("nodes"), N.Test("a"))), "href")
+    links = N.values(N.children(N.select(N.ALL, GRID), N.select(N.ALL, N.Test("a"))), "href")
     return docs.select(F.explode(links).alias("url")).distinct()

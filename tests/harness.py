@@ -48,8 +48,9 @@ def compare(spark, con, name: str, query, sql: str | None, sf_dir: str) -> tuple
     odd = [(c, t, kinds[c]) for c, t in df.dtypes if KINDS.get(t) != kinds[c]]
     a, b = rows_of(df.columns, got), rows_of(columns, want)
     if a != b:
-        only_a = [r for r in a if r not in set(b)][:3]
-        only_b = [r for r in b if r not in set(a)][:3]
+        in_a, in_b = set(a), set(b)
+        only_a = [r for r in a if r not in in_b][:3]
+        only_b = [r for r in b if r not in in_a][:3]
         return False, f"{len(a)} vs {len(b)} rows; spark only {only_a}; sql only {only_b}"
     return not odd, f"{len(a)} rows" + (f"; types {odd}" if odd else "")
 
