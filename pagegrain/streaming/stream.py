@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -10,9 +11,9 @@ from pagegrain.plans.offer_rules import RULES
 from pagegrain.plans.offers import extract_all_offers, extract_offers
 
 
-def read_page_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Pages as they arrive as parquet files."""
-    return spark.readStream.schema(schema).parquet(path)
+def read_page_stream(spark: SparkSession, folder: str, schema: StructType, names: str = "*.parquet") -> DataFrame:
+    """Pages as they arrive as parquet files in a folder."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", names).parquet(folder)
 
 
 def stream_offers(pages: DataFrame, checkpoint: str, out: str, staging: str, rules=RULES) -> StreamingQuery:
@@ -41,14 +42,18 @@ def first_seen_stream(stream: DataFrame, keys: list[str], event_time: str | None
     """
     if delay is None:
         return stream.dropDuplicates(keys)
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def run_to_end(df: DataFrame, checkpoint: str, out: str) -> None:
-    """Write a stream to parquet until its present input is used up."""
-    query = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+def wait(query: StreamingQuery) -> None:
+    """Until the query has used up its present input."""
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
 
+
+def run_to_end(df: DataFrame, checkpoint: str, out: str) -> None:
+    """Write a stream to parquet until its present input is used up."""
+    wait(df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
