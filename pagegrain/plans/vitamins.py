@@ -18,6 +18,7 @@ UPC_BOX = N.Test("span", "class", "starts", "size")
 PRICE = N.Test("span", "itemprop", "eq", "price")
 GRID = N.Test("td", "class", "eq", "gridProLinks")
 ITEM_CELL = N.Test("td", "class", "eq", "newsText")
+BRAND_LINK = "\\S+\\.com"
 LETTER_URL = "http://www.evitamins.com/viewitems?l="
 
 TESTS = [CELL, HEAD, BRAND, UPC_BOX, PRICE, N.Test("td"), N.Test("strong"), N.Test("span"), N.Test("a"),
