@@ -19,6 +19,7 @@ from pagegrain.operators import nodes as N
 from pagegrain.operators.filters import sellable
 from pagegrain.operators.joins import drop_ignored
 from pagegrain.operators.nested import swatch_rows, with_color_sku
+from pagegrain.operators.quality import keep_where
 from pagegrain.operators.sets import first_sightings, mini_and_full, staged
 from pagegrain.schemas import PRODUCTS, conform
 
@@ -155,8 +156,9 @@ def details(pages: DataFrame) -> DataFrame:
     sized = facts.select("*", _menu_skus(F.col("menu")).alias("skus"))
     state = availability(F.col("sale"), F.col("was"), F.lit(False), F.col("badge"), F.col("alert"), "[0-9,.]")
     swatches = F.when(F.col("menu").isNotNull(), _swatches(F.col("skus"), F.col("country_code")))
-    return sized.select("country_code", "url", "title", "brand", "description_text", "keywords", "primary_image",
+    rows = sized.select("country_code", "url", "title", "brand", "description_text", "keywords", "primary_image",
                         "asset", state.alias("state"), swatches.alias("swatches"))
+    return keep_where(rows, F.size("title") > 0, rows.columns)
 
 
 def image_sets(pages: DataFrame) -> DataFrame:

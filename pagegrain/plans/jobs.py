@@ -54,7 +54,7 @@ def brassring_jobs(pages: DataFrame) -> DataFrame:
 def _pentair_tests() -> list[N.Test]:
     spans = [N.Test("span", "id", "starts", v) for v in PENTAIR_FIELDS.values()]
     boxes = [N.Test("div", "id", "starts", v) for v in PENTAIR_TEXTS.values()]
-    return [*spans, *boxes, N.Test(N.TEXT), N.Test("a", "id", "starts", PENTAIR_POSTING)]
+    return [*spans, *boxes, N.Test(N.TEXT)]
 
 
 def _box_text(marker: str) -> Column:
@@ -72,16 +72,16 @@ def pentair_jobs(pages: DataFrame) -> DataFrame:
     A detail page names its listing in ``referer``; which pages count is decided by arrival
     (``fetched_at, page_id``).
     """
-    docs = N.parse_nodes(pages, _pentair_tests(), ["page_id", "page_type", "url", "referer", "fetched_at"])
     nodes = N.ALL
-    totals = docs.where(F.col("page_type") == "listing").select(
-        F.col("url").alias("referer"),
-        N.count(N.select(nodes, N.Test("a", "id", "starts", PENTAIR_POSTING))).alias("total"))
+    posting = N.Test("a", "id", "starts", PENTAIR_POSTING)
+    listings = N.parse_nodes(pages.where(F.col("page_type") == "listing"), [posting], ["url"])
+    totals = listings.select(F.col("url").alias("referer"), N.count(N.select(nodes, posting)).alias("total"))
+    docs = N.parse_nodes(pages.where(F.col("page_type") == "detail"), _pentair_tests(), ["page_id", "referer", "fetched_at"])
     fields = [
         F.get(N.own_texts(nodes, N.Test("span", "id", "starts", marker)), F.lit(0)).alias(name)
         for name, marker in PENTAIR_FIELDS.items()
     ]
-    detail = docs.where(F.col("page_type") == "detail").select(
+    detail = docs.select(
         "page_id", "referer", "fetched_at", *fields, *[_box_text(m).alias(k) for k, m in PENTAIR_TEXTS.items()])
     counted = detail.join(totals, "referer")
     kept = first_n(counted, ["referer"], ["fetched_at", "page_id"], F.col("total"),
