@@ -117,7 +117,7 @@ def _menu_skus(menu: Column) -> Column:
 
 def _swatches(skus: Column, country: Column) -> Column:
     """Colours of the page with their size entries; a colour without skus keeps an empty list."""
-    images = N.under(N.ALL, RIGHT, SWATCH).col
+    images = F.col("swatch_nodes")
 
     def one(img: Column, all_skus: Column) -> Column:
         option = X.group(img["outer"], "swatchClicked\\((.*?)\\)")
@@ -137,22 +137,27 @@ def details(pages: DataFrame) -> DataFrame:
     docs = N.parse_nodes(pages, DETAIL_TESTS, ["country_code", "url"], with_html=True)
     nodes, html = N.ALL, F.col("norm_html")
 
-    def one_text(first: N.Test) -> Column:
-        texts = first_non_empty(N.texts_under(nodes, BOX, PRICE_BOX, first), N.texts_under(nodes, BOX, PRICE_BOX, SINGLE))
-        return F.array(X.clean(F.array_join(texts, "")))
+    def price(test: N.Test) -> Column:
+        return N.texts_under(nodes, BOX, PRICE_BOX, test)
+
+    def one_text(*lists: str) -> Column:
+        return F.array(X.clean(F.array_join(first_non_empty(*[F.col(c) for c in lists]), "")))
 
     image = N.values(N.descendants(N.under(nodes, BOX, FLYOUT), N.select(nodes, T_("img"))), "src")
-    facts = docs.select(
-        "country_code", "url", "nodes", N.texts_under(nodes, BOX, NAME).alias("title"),
-        brand_text(N.texts_under(nodes, BOX, BRAND, T_("a")), N.texts_under(nodes, BOX, BRAND)).alias("brand"),
-        one_text(SALE).alias("sale"), one_text(WAS).alias("was"),
-        F.get(N.texts_under(nodes, BADGE), F.lit(0)).alias("badge"),
-        (N.count(N.select(nodes, ALERT)) > 0).alias("alert"),
-        X.description(N.own_texts(nodes, BOX, DESC_BOX, DESC)).alias("description_text"),
-        N.values(N.select(nodes, KEYWORDS), "content").alias("keywords"),
+    # lists become columns first, so that choosing among them does not select them again
+    lists = docs.select(
+        "country_code", "url", N.texts_under(nodes, BOX, NAME).alias("title"),
+        N.texts_under(nodes, BOX, BRAND, T_("a")).alias("brand_links"), N.texts_under(nodes, BOX, BRAND).alias("brand_texts"),
+        price(SALE).alias("sale_texts"), price(WAS).alias("was_texts"), price(SINGLE).alias("single_texts"),
+        F.get(N.texts_under(nodes, BADGE), F.lit(0)).alias("badge"), (N.count(N.select(nodes, ALERT)) > 0).alias("alert"),
+        N.own_texts(nodes, BOX, DESC_BOX, DESC).alias("panels"), N.values(N.select(nodes, KEYWORDS), "content").alias("keywords"),
         F.transform(F.slice(image, 1, 1), schemeless).alias("primary_image"),
         script_var(html, "assetProductCode = \"(.*)\"").alias("asset"),
-        parse_js(script_var(html, MENU_CALL), MENU).alias("menu"))
+        parse_js(script_var(html, MENU_CALL), MENU).alias("menu"), N.under(nodes, RIGHT, SWATCH).col.alias("swatch_nodes"))
+    facts = lists.select(
+        "country_code", "url", "title", brand_text(F.col("brand_links"), F.col("brand_texts")).alias("brand"),
+        one_text("sale_texts", "single_texts").alias("sale"), one_text("was_texts", "single_texts").alias("was"), "badge", "alert",
+        X.description(F.col("panels")).alias("description_text"), "keywords", "primary_image", "asset", "menu", "swatch_nodes")
     sized = facts.select("*", _menu_skus(F.col("menu")).alias("skus"))
     state = availability(F.col("sale"), F.col("was"), F.lit(False), F.col("badge"), F.col("alert"), "[0-9,.]")
     swatches = F.when(F.col("menu").isNotNull(), _swatches(F.col("skus"), F.col("country_code")))
