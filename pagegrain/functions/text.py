@@ -14,9 +14,15 @@ def _quote(literal: str) -> str:
     return "\\Q" + literal + "\\E"
 
 
+def null_if_empty(c: Column) -> Column:
+    """Null for the empty string. Unlike ``nullif`` it holds its input once, so that a chain of searches inside a
+    condition does not double with every step."""
+    return F.get(F.array_remove(F.array(c), F.lit("")), F.lit(0))
+
+
 def find(c: Column, pattern: str) -> Column:
     """First match, ignoring case and with dot matching newline; null without a match."""
-    return F.nullif(F.regexp_extract(c, ANY_CASE + pattern, 0), F.lit(""))
+    return null_if_empty(F.regexp_extract(c, ANY_CASE + pattern, 0))
 
 
 def find_nth(c: Column, pattern: str, n: int) -> Column:
@@ -26,7 +32,7 @@ def find_nth(c: Column, pattern: str, n: int) -> Column:
 
 def group(c: Column, pattern: str, idx: int = 1) -> Column:
     """Capture group of the first match; null without a match or with an empty group."""
-    return F.nullif(F.regexp_extract(c, pattern, idx), F.lit(""))
+    return null_if_empty(F.regexp_extract(c, pattern, idx))
 
 
 def replace_n(c: Column, literal: str, repl: str, n: int) -> Column:
@@ -119,7 +125,7 @@ def join_text(arr: Column) -> Column:
 
 def fill(c: Column, default: str) -> Column:
     """Default for null and for the empty string."""
-    return F.coalesce(F.nullif(c, F.lit("")), F.lit(default))
+    return F.coalesce(null_if_empty(c), F.lit(default))
 
 
 def description(arr: Column) -> Column:
