@@ -76,8 +76,12 @@ def ranked(df: DataFrame, group: str, priority: Column, order: list[str], rows:
             .drop("__bucket", "__b", "__g", "__before", "__in"))
 
 
+def filled(rows: Iterator) -> Iterator:
+    """The Arrow record batches that have rows."""
+    return (batch for batch in rows if batch.num_rows)
+
+
 def batches(rows: Iterator) -> Iterator[dict]:
-    """Arrow record batches as dictionaries of Python lists."""
-    for batch in rows:
-        if batch.num_rows:
-            yield {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+    """Arrow record batches as dictionaries of columns."""
+    for batch in filled(rows):
+        yield {name: batch.column(i) for i, name in enumerate(batch.schema.names)}

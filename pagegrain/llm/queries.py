@@ -1,11 +1,20 @@
 """The queries of this package, and their SQL where SQL can express them."""
 
-from pagegrain.llm import packing, sharding, token_orc
+from pagegrain.llm import language, maxscore, packing, pii, piece_codec, quality_rules, sharding, token_orc, warc
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op3_token_orc": token_orc.op3_token_orc,
     "op4_ring_shards": sharding.op4_ring_shards,
     "op5_pack_nnls": packing.op5_pack_nnls,
+    "op6_maxscore": maxscore.op6_maxscore,
+    "op7_warc": warc.op7_warc,
+    "op8_decision_list": quality_rules.op8_decision_list,
+    "op9_piece_codec": piece_codec.op9_piece_codec,
+    "op10_language": language.op10_language,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_maxscore": maxscore.ORACLE_SQL,
+    "op7_warc": warc.ORACLE_SQL,
+}

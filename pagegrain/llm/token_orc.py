@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagegrain.llm import bpe_tables
-from pagegrain.llm.common import batches, ship, table
+from pagegrain.llm.common import batches, filled, ship, table
 from pagegrain.session import scratch_path
 
 ship(__name__)
@@ -60,21 +60,31 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
      .write.options(**ORC).orc(path))
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id``, ``start`` (ids of all documents before it, over all files), ``n_tokens`` and ``ids``."""
-    rows = (spark.read.schema(SCHEMA).orc(path)
-            .withColumn("file", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")))
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """The stored rows with the number of their ``file``; ``first`` counts the ids before the row in it."""
+    return (spark.read.schema(SCHEMA).orc(path)
+            .select("*", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int").alias("file")))
+
+
+def with_start(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``rows`` (with ``file`` and ``first``) with ``start``: the ids of all documents before it, over all files."""
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     # one row per file
-    sums = (rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
+    sums = (files.groupBy("file").agg(F.sum("n_tokens").alias("n"))
             .select(F.col("file").alias("__file"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")))
-    return rows.join(sums, F.col("file") == F.col("__file")).select(
-        "doc_id", (F.col("__before") + F.col("first")).alias("start"), "n_tokens", "ids")
+    return (rows.join(sums, F.col("file") == F.col("__file"))
+            .withColumn("start", F.col("__before") + F.col("first")).drop("__file", "__before"))
+
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """``doc_id``, ``start``, ``n_tokens`` and ``ids``."""
+    rows = read_files(spark, path)
+    return with_start(rows, rows).select("doc_id", "start", "n_tokens", "ids")
 
 
 def digest(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``ids`` of every row as the crc32 of little-endian unsigned 32-bit integers."""
-    for batch in rows:
+    for batch in filled(rows):
         at = batch.schema.get_field_index("ids")
         ids = batch.column(at)
         flat, offsets = ids.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False), ids.offsets.to_numpy()
@@ -89,4 +99,7 @@ def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = scratch_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path(VOCABULARY))
-    return read_tokens(spark, path).mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    rows = read_files(spark, path)
+    # digests first, so that no ids are moved for the join with the files' sums
+    narrow = rows.mapInArrow(digest, "doc_id bigint, n_tokens bigint, first bigint, file int, ids_crc32 bigint")
+    return with_start(narrow, rows).select("doc_id", "start", "n_tokens", "ids_crc32")
