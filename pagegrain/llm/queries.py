@@ -1,9 +1,10 @@
 """The queries of this package, and their SQL where SQL can express them."""
 
-from pagegrain.llm import language, maxscore, packing, pii, piece_codec, quality_rules, sharding, token_orc, warc
+from pagegrain.llm import language, maxscore, near_dedup, packing, pii, piece_codec, quality_rules, sharding, token_orc, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op2_bbit_minhash": near_dedup.op2_bbit_minhash,
     "op3_token_orc": token_orc.op3_token_orc,
     "op4_ring_shards": sharding.op4_ring_shards,
     "op5_pack_nnls": packing.op5_pack_nnls,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_bbit_minhash": near_dedup.ORACLE_SQL,
     "op6_maxscore": maxscore.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
 }
