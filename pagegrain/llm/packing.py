@@ -141,7 +141,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, step: int = STEP) -> DataFrame
         list(places(patterns(histogram, window // step)).items()),
         "__length int, __places array<struct<to:bigint,from:bigint,sequence:bigint,times:bigint,slot:bigint>>")
     within = Window.partitionBy("sequence_id").orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
-    return (ranked(sized, "__size", F.xxhash64("doc_id", "start", "ids_crc32"), ["doc_id", "start", "ids_crc32"], sum(histogram.values()))
+    return (ranked(sized, "__size", F.xxhash64("doc_id", "start", "ids_crc32"), ["doc_id", "start", "ids_crc32", "piece_id"], sum(histogram.values()))
             .join(F.broadcast(plan), F.col("__size") == F.col("__length"))
             .withColumn("__place", F.expr("filter(__places, p -> p.to > __rank)[0]"))
             .withColumn("__at", F.col("__rank") - F.col("__place.from"))

@@ -1,5 +1,6 @@
 """The queries of this package, and their SQL where SQL can express them."""
 
+import corpus_pipeline
 from pagegrain.llm import language, maxscore, near_dedup, packing, pii, piece_codec, quality_rules, sharding, token_orc, warc
 
 QUERIES = {
@@ -13,6 +14,7 @@ QUERIES = {
     "op8_decision_list": quality_rules.op8_decision_list,
     "op9_piece_codec": piece_codec.op9_piece_codec,
     "op10_language": language.op10_language,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
