@@ -158,15 +158,15 @@ def d13_discount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("d14_number", """
 SELECT p_partkey, p_retailprice AS price, CAST(p_size AS DOUBLE) AS pct, CAST(NULL AS DOUBLE) AS none,
-  CAST(p_size AS BIGINT) AS digits, CAST(p_size AS VARCHAR) || '.50' AS text
+ CAST(120000 + p_size AS BIGINT) AS digits, '1,234,567,' || p_size || '.50' AS text
 FROM part""")
 def d14_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size").cast("string")
     return parts(spark, sf_dir).select(
         "p_partkey", P.to_number(F.concat(F.lit("$"), F.col("p_retailprice").cast("string"))).alias("price"),
         P.to_number(F.concat(size, F.lit("%"))).alias("pct"), P.to_number(F.col("p_name")).alias("none"),
-        P.first_digits(F.concat(F.lit("pages: "), size, F.lit(" of 7"))).cast(LONG).alias("digits"),
-        P.price_digits(F.concat(F.lit("EUR "), size, F.lit(".50 each"))).alias("text"))
+        P.first_digits(F.concat(F.lit("pages: "), (F.col("p_size") + 120000).cast("string"), F.lit(" of 7"))).cast(LONG).alias("digits"),
+        P.price_digits(F.concat(F.lit("EUR 1,234,567,"), size, F.lit(".50 each"))).alias("text"))
 
 
 @check("d15_case", """
@@ -203,13 +203,13 @@ def d17_subcat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check("d18_sku", """
-SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'id' || p_partkey WHEN 1 THEN CAST(10000000 + p_partkey AS VARCHAR)
-  ELSE 'k' || p_partkey END AS link_sku, 'img' || p_partkey AS image_sku, ('P' || (100000000 + p_partkey) || 'TAIL')[1:10] AS scene_sku,
+SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'id' || p_partkey WHEN 1 THEN CAST(123450000000 + p_partkey AS VARCHAR)
+  ELSE 'k' || p_partkey END AS link_sku, 'img' || p_partkey AS image_sku, 'P' || (100000000 + p_partkey) || 'TAIL' AS scene_sku,
   'X' || p_partkey AS id_sku
 FROM part""")
 def d18_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, kind = F.col("p_partkey").cast("string"), F.col("p_size") % 3
-    link = F.when(kind == 1, F.concat(F.lit("/p/"), (F.col("p_partkey") + 10000000).cast("string"), F.lit(".html"))).otherwise(
+    link = F.when(kind == 1, F.concat(F.lit("/p/"), (F.col("p_partkey") + 123450000000).cast("string"), F.lit(".html"))).otherwise(
         F.concat(F.lit("/p?dwvar_K"), key, F.lit("_c=1")))
     script_id = F.when(kind == 0, F.concat(F.lit("ID"), key))
     scene = F.concat(F.lit("//i.example/Intermix/PROD_P"), (F.col("p_partkey") + 100000000).cast("string"), F.lit("TAIL_01?w=1"))
@@ -283,12 +283,12 @@ def d23_available(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("d24_title_parse", """
 SELECT p_partkey, p_name AS title, CASE WHEN p_size % 2 = 0 THEN p_type ELSE 'None' END AS flavor,
-  CASE WHEN p_size % 3 = 0 THEN '1' ELSE CAST(p_size AS VARCHAR) END AS size,
-  CASE WHEN p_size % 3 = 0 THEN 'item' ELSE 'Tablets' END AS unit
+  CASE WHEN p_size % 3 = 0 THEN '1' ELSE CAST(1000000 + p_size AS VARCHAR) END AS size,
+  CASE WHEN p_size % 3 = 0 THEN 'item' ELSE 'Vegetablecapsules' END AS unit
 FROM part""")
 def d24_title_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.concat("p_brand", F.lit(" "), "p_name", F.when(F.col("p_size") % 2 == 0, F.concat(F.lit(", "), "p_type")).otherwise(""))
-    size = F.when(F.col("p_size") % 3 == 0, " one ").otherwise(F.concat(F.lit(" "), F.col("p_size").cast("string"), F.lit(" Tablets ")))
+    size = F.when(F.col("p_size") % 3 == 0, " one ").otherwise(F.concat(F.lit(" "), (F.col("p_size") + 1000000).cast("string"), F.lit(" Vegetablecapsules ")))
     return parts(spark, sf_dir).select("p_partkey", C.parse_title(title, F.col("p_brand"), size).alias("t")).select("p_partkey", "t.*")
 
 

@@ -30,13 +30,13 @@ def part_pages(spark: SparkSession, sf_dir: str, site: str, template: str, url:
 
 
 @check("b2_site_pagers", """
-WITH n AS (SELECT p_partkey, p_size % 6 + 1 AS n FROM part)
+WITH n AS (SELECT p_partkey, CASE WHEN p_partkey % 97 = 1 THEN 1200 ELSE 0 END + p_size % 6 + 1 AS n FROM part)
 SELECT p_partkey AS page_id, CAST(page AS BIGINT) AS page, base || page AS url
 FROM n, unnest(['http://buy.cardsnagger.com/buy/?sort=alphaasc&page=', 'https://www.raise.com/buy-gift-cards?page=',
   'http://www.pandacashback.com/r.php?a=1&page=', 'http://www.rebategiant.com/s.html?pg=']) AS b(base), unnest(range(1, n + 1)) AS p(page)
 UNION ALL SELECT p_partkey, 1, 'http://one.example/' || p_partkey FROM part""")
 def b2_site_pagers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = "[[p_size % 6 + 1]]"
+    last = "[[CASE WHEN p_partkey % 97 = 1 THEN 1200 ELSE 0 END + p_size % 6 + 1]]"
     shapes = {
         "cardsnagger": f'<ul class="PagingList"><li><a>1</a></li><li><a>{last}</a></li></ul>',
         "raise": f'<nav class="pagination pagination-centered"><ul><li><a>x</a></li><li><a>y</a></li><li><a>9</a></li><li><a>{last} pages</a></li></ul></nav>',
@@ -74,8 +74,8 @@ def b5_store_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH k AS (SELECT *, CASE p_size % 4 WHEN 0 THEN 'looks' WHEN 1 THEN 'report' WHEN 2 THEN 'directory' ELSE 'grid' END AS kind FROM part)
 SELECT p_partkey AS page_id, kind, p_name AS label, 'http://www.intermixonline.com/trendlooksandproducts.do?subCategoryId=' || p_partkey || '&ajaxRequest=true' AS url FROM k WHERE kind = 'looks'
 UNION ALL SELECT p_partkey, kind, 'Spring ' || p_size, 'http://www.intermixonline.com/a/Spring+' || p_size || '.htm' FROM k WHERE kind = 'report'
-UNION ALL SELECT p_partkey, kind, '', 'http://p.example/' || p_partkey || '?filterCategoryId=c' || p_partkey || '&page=' || i FROM k, unnest(range(1, 14)) AS t(i) WHERE kind = 'directory'
-UNION ALL SELECT p_partkey, kind, '', 'http://www.intermixonline.com/categoryproductviewall.do?subCategoryCode=' || (1000 + p_partkey) || '&ajaxRequest=true&page=' || i FROM k, unnest(range(1, 11)) AS t(i) WHERE kind = 'grid'""")
+UNION ALL SELECT p_partkey, kind, '', 'http://p.example/' || p_partkey || '?filterCategoryId=c' || p_partkey || '&page=' || i FROM k, unnest(range(1, CASE WHEN p_partkey % 3 = 0 THEN 16 + p_size ELSE 14 END)) AS t(i) WHERE kind = 'directory'
+UNION ALL SELECT p_partkey, kind, '', 'http://www.intermixonline.com/categoryproductviewall.do?subCategoryCode=' || (1000 + p_partkey) || '&ajaxRequest=true&page=' || i FROM k, unnest(range(1, CASE WHEN p_partkey % 3 = 0 THEN 16 + p_size ELSE 11 END)) AS t(i) WHERE kind = 'grid'""")
 def b3_overviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     looks = ('<div id="DirectoryViewWrapper1"><div class="productSubCategoryName">\n[[p_name]]</div><div class="dirAction"><div id="viewAll_[[p_partkey]]">all</div></div></div>')
     report = '<div id="master"><div id="STR1"><a href="/a/Spring+[[p_size]].htm">x</a></div></div>'
@@ -83,7 +83,8 @@ def b3_overviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = "<script>CurrentCat=[[1000 + p_partkey]];</script>"
     pages = part_pages(spark, sf_dir, "intermix", "", "http://p.example/[[p_partkey]]?cat=c[[p_partkey]]")
     kind = F.col("p_size") % 4
-    html = F.when(kind == 0, sql_template(looks)).when(kind == 1, sql_template(report)).when(kind == 2, directory).otherwise(sql_template(grid))
+    pager = F.when(F.col("page_id") % 3 == 0, sql_template('<a href="?a=1&amp;page=2">2</a><a href="?a=1&amp;page=[[15 + p_size]]">last</a>')).otherwise("")
+    html = F.when(kind == 0, sql_template(looks)).when(kind == 1, sql_template(report)).when(kind == 2, F.concat(F.lit(directory), pager)).otherwise(F.concat(sql_template(grid), pager))
     pages = pages.withColumn("p_partkey", F.col("page_id")).withColumn("html", html).withColumn(
         "category_path", F.array(F.lit("how we style"), F.when(kind == 0, "Chic This Week").otherwise("Other")))
     return V.intermix_overviews(pages)

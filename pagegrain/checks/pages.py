@@ -148,17 +148,18 @@ def b2_pages_known(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT c_custkey, kind, CAST(page AS BIGINT) AS page, 'http://x.example/?c=' || c_custkey || '&page=' || page AS url
 FROM (SELECT c_custkey, CASE c_nationkey % 4 WHEN 0 THEN 'grid' WHEN 1 THEN 'directory' WHEN 2 THEN 'report'
         ELSE 'looks' END AS kind FROM customer),
-  unnest(range(1, CASE kind WHEN 'grid' THEN 11 WHEN 'directory' THEN 14 WHEN 'report' THEN 10 ELSE 2 END)) AS p(page)
+  unnest(range(1, CASE WHEN c_custkey % 3 = 0 THEN 21 WHEN kind = 'grid' THEN 11 WHEN kind = 'directory' THEN 14 WHEN kind = 'report' THEN 10 ELSE 2 END)) AS p(page)
 UNION ALL
 SELECT c_custkey, 'jobs', CAST(o AS BIGINT), 'http://x.example/?c=' || c_custkey || '&start=' || o
-FROM customer, unnest([1, 51, 101, 151]) AS p(o)""")
+FROM customer, unnest(CASE WHEN c_custkey % 3 = 0 THEN [1, 51, 101, 151, 201, 251, 301] ELSE [1, 51, 101, 151] END) AS p(o)""")
 def b3_pages_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.array(*[F.lit(k) for k in ("grid", "directory", "report", "looks")])
     base = F.concat(F.lit("http://x.example/?c="), F.col("c_custkey"))
     customers = table(spark, sf_dir, "customer").select(
         "c_custkey", F.get(kinds, F.col("c_nationkey") % 4).alias("kind"))
-    pages = B.page_urls_fixed(customers, F.col("kind"), base)
-    jobs = customers.select("c_custkey", F.explode(B.job_offsets()).alias("page")).withColumn(
+    told = F.col("c_custkey") % 3 == 0
+    pages = B.page_urls_fixed(customers, F.col("kind"), base, F.when(told, 20))
+    jobs = customers.select("c_custkey", F.explode(B.job_offsets(F.when(told, 320))).alias("page")).withColumn(
         "kind", F.lit("jobs")).withColumn("url", F.concat(base, F.lit("&start="), F.col("page").cast("string")))
     return pages.unionByName(jobs).withColumn("page", F.col("page").cast(LONG))
 
@@ -214,31 +215,31 @@ def b7_allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check("b8_dedup", """
-WITH r AS (SELECT url || CASE WHEN page_id % 2 = 0 THEN '#a' ELSE '' END AS url, page_id % 3 = 0 AS dont_filter FROM pages
+WITH r AS (SELECT url || CASE WHEN page_id % 2 = 0 THEN '#a' ELSE '' END AS url, CASE WHEN page_id % 5 <> 0 THEN page_id % 3 = 0 END AS dont_filter FROM pages
            UNION ALL SELECT url, false FROM pages),
 k AS (SELECT *, regexp_replace(url, '#.*$', '') AS bare FROM r),
 c AS (SELECT *, regexp_replace(bare, '\\?.*$', '') || CASE WHEN regexp_extract(bare, '\\?(.*)$', 1) = '' THEN '' ELSE '?' ||
    array_to_string(list_sort(string_split(regexp_extract(bare, '\\?(.*)$', 1), '&')), '&') END AS key FROM k)
-SELECT url, dont_filter FROM c WHERE dont_filter
-UNION ALL SELECT min(url), false FROM c WHERE NOT dont_filter GROUP BY key""")
+SELECT url FROM c WHERE dont_filter
+UNION ALL SELECT min(url) FROM c WHERE NOT coalesce(dont_filter, false) GROUP BY key""")
 def b8_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     marked = pages.select(
         F.concat("url", F.when(F.col("page_id") % 2 == 0, "#a").otherwise("")).alias("url"),
-        (F.col("page_id") % 3 == 0).alias("dont_filter"))
+        F.when(F.col("page_id") % 5 != 0, F.col("page_id") % 3 == 0).alias("dont_filter"))
     plain = pages.select("url", F.lit(False).alias("dont_filter"))
-    return B.dedup_requests(marked.unionByName(plain))
+    return B.dedup_requests(marked.unionByName(plain)).select("url")
 
 
 @check("b9_query_url", """
 SELECT p_partkey, 'http://shop.example/q/' || p_size || '?pid=' || p_partkey || '&format=json' AS variant_url,
   'http://img.example/image/' || p_name || '_S?req=imageset' AS image_url,
   'http://a.example/list?c=' || p_size || '&ajaxRequest=true&page=' || (p_partkey % 10) AS page_url,
-  CAST(1000 + p_partkey AS VARCHAR) AS shop_id
+  CAST(1000 + 10000000 * (p_partkey % 3) + p_partkey AS VARCHAR) AS shop_id
 FROM part""")
 def b9_query_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     size, key = F.col("p_size").cast("string"), F.col("p_partkey").cast("string")
-    shop = F.concat(F.lit("http://j.example/item/shop_product_id/"), (F.col("p_partkey") + 1000).cast("string"),
+    shop = F.concat(F.lit("http://j.example/item/shop_product_id/"), (F.col("p_partkey") + 1000 + F.col("p_partkey") % 3 * 10000000).cast("string"),
                     F.when(F.col("p_partkey") % 2 == 0, "/").otherwise(""))
     return table(spark, sf_dir, "part").select(
         "p_partkey", U.variant_url(F.concat(F.lit("http://shop.example/p/"), key), F.concat(F.lit("/q/"), size), key)

@@ -151,36 +151,41 @@ def h1_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("h2_ffill", """
 SELECT event_id, coalesce(last_value(CASE WHEN event_type = 'click' THEN 'v' || event_id END IGNORE NULLS) OVER (
-  PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS carried FROM events""")
+  PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS carried
+FROM (SELECT event_id, user_id, event_type, CASE WHEN event_id % 13 <> 0 THEN ts END AS ts FROM events)""")
 def h2_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.when(F.col("event_type") == "click", (F.col("event_id") + 1).cast("string")).otherwise("0.0")
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", price.alias("price"))
+    time = F.when(F.col("event_id") % 13 != 0, F.col("ts"))  # a missing time comes first
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", time.alias("ts"), price.alias("price"))
     out = H.last_positive(events, ["user_id"], ["ts", "event_id"], "price", "carried", bucket=F.date_trunc("hour", "ts"))
     return out.select("event_id", F.when(F.col("carried") == "", "").otherwise(
         F.concat(F.lit("v"), (F.col("carried").cast(LONG) - 1).cast("string"))).alias("carried"))
 
 
 @check("h3_resolve", """
-WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey,
+WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
     CASE l_partkey % 4 WHEN 0 THEN '0.0' WHEN 1 THEN '' ELSE 's' || l_linenumber END AS sale,
     CASE l_suppkey % 3 WHEN 0 THEN '0.0' ELSE CAST(l_partkey AS VARCHAR) || '.5' END AS standard FROM lineitem),
 w AS (SELECT *, coalesce(last_value(CASE WHEN TRY_CAST(standard AS DOUBLE) > 0 THEN standard END IGNORE NULLS) OVER (
-    PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS pos FROM r),
+    PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS pos FROM r),
 x AS (SELECT *, CASE WHEN sale IN ('', '0.0') THEN standard ELSE sale END AS s1 FROM w),
 y AS (SELECT *, CASE WHEN standard IN ('', '0.0') THEN s1 ELSE standard END AS st1 FROM x)
 SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN st1 = '0.0' THEN pos ELSE s1 END AS sale, CASE WHEN st1 = '0.0' THEN pos ELSE st1 END AS standard FROM y""")
 def h3_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     sale = F.when(F.col("l_partkey") % 4 == 0, "0.0").when(F.col("l_partkey") % 4 == 1, "").otherwise(F.concat(F.lit("s"), "l_linenumber"))
     standard = F.when(F.col("l_suppkey") % 3 == 0, "0.0").otherwise(F.concat("l_partkey", F.lit(".5")))
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", sale.alias("sale"), standard.alias("standard"))
-    return H.resolve_prices(rows, ["l_orderkey"], ["l_linenumber", "l_partkey"])
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", sale.alias("sale"), standard.alias("standard"))
+    # line numbers repeat inside an order; rows that tie in all three have the same price
+    return H.resolve_prices(rows, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"]).drop("l_suppkey")
 
 
 @check("h4_first_n", """
-SELECT o_orderkey, o_custkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
+SELECT o_orderkey, o_custkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY d NULLS FIRST, o_orderkey) AS rn
+  FROM (SELECT *, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate END AS d FROM orders))
 WHERE rn <= o_custkey % 5""")
 def h4_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    date = F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate"))  # a missing date comes first
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", date.alias("o_orderdate"))
     return H.first_n(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("o_custkey") % 5,
                      bucket=F.date_trunc("month", "o_orderdate")).drop("o_orderdate")
 

@@ -63,8 +63,8 @@ def k_brassring(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit("</span><span id='Job Description'>"), "p_type", F.lit("<br/>"), "p_brand", F.lit("</span>"))
     listing = F.concat(F.when(F.col("p_partkey") % 3 == 0, "<h1>Search results</h1>").otherwise(""),
                        F.lit("<a href=jobdetails.aspx?id="), "p_partkey", F.lit("&amp;x="), "p_size", F.lit(">go</a>"))
-    pages = part.select(F.col("p_partkey").alias("page_id"), F.lit("detail").alias("page_type"), detail.alias("html")).unionByName(
-        part.select(F.col("p_partkey").alias("page_id"), F.lit("listing").alias("page_type"), listing.alias("html")))
+    pages = part.select(F.col("p_partkey").alias("page_id"), F.lit("detail").alias("page_type"), F.lit("u").alias("url"), detail.alias("html")).unionByName(
+        part.select(F.col("p_partkey").alias("page_id"), F.lit("listing").alias("page_type"), F.lit("u").alias("url"), listing.alias("html")))
     found = jobs.brassring_jobs(pages).select(F.lit("detail").alias("kind"), F.col("job_title").alias("title"), F.col("summary").alias("text"))
     links = jobs.brassring_links(pages).select(F.lit("link").alias("kind"), F.col("url").alias("title"), F.lit("").alias("text"))
     return found.unionByName(links)
@@ -73,9 +73,14 @@ def k_brassring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("k_pentair", """
 SELECT p_name AS job_title, CAST(p_partkey AS VARCHAR) AS job_id, p_brand AS job_location,
   p_type || chr(10) || 'li ' || p_size || chr(10) || 'font' || chr(10) AS summary, 'needs ' || p_size || chr(10) AS requirements
-FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey // 20 ORDER BY p_partkey) AS rn FROM part) WHERE rn <= (p_partkey // 20) % 20""")
+FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey // 20 ORDER BY p_partkey % 3 <> 0, p_partkey) AS rn FROM part) WHERE rn <= (p_partkey // 20) % 20""")
 def k_pentair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings of twenty parts that show only some of them; detail pages arrive in part order."""
+    """Listings of twenty parts that show only some of them, fetched twice; detail pages without a time arrive first, the
+    others in part order."""
+    return jobs.pentair_jobs(pentair_pages(spark, sf_dir)).select("job_title", "job_id", "job_location", "summary", "requirements")
+
+
+def pentair_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     group = F.floor(F.col("p_partkey") / 20)
     listing_url = F.concat(F.lit("http://l.example/"), group)
@@ -88,13 +93,29 @@ def k_pentair(spark: SparkSession, sf_dir: str) -> DataFrame:
               '<div id="HRS_JO_PDSC_VW_DESCRLONG$3"><p>needs '), F.col("p_size").cast("string"), F.lit("</p></div>"))
     details = part.select(
         F.col("p_partkey").alias("page_id"), F.lit("detail").alias("page_type"), F.concat(F.lit("http://d.example/"), "p_partkey").alias("url"),
-        listing_url.alias("referer"), F.timestamp_seconds("p_partkey").alias("fetched_at"), detail.alias("html"))
+        listing_url.alias("referer"), F.when(F.col("p_partkey") % 3 != 0, F.timestamp_seconds("p_partkey")).alias("fetched_at"), detail.alias("html"))
     shown = F.transform(F.sequence(F.lit(1), F.lit(20)), lambda i: F.when(
         i <= F.col("g") % 20, F.concat(F.lit('<div><span><a id="POSTINGTITLE$'), i.cast("string"), F.lit('">x</a></span></div>'))).otherwise(""))
     listings = part.select(group.alias("g")).distinct().select(
         F.col("g").alias("page_id"), F.lit("listing").alias("page_type"), F.concat(F.lit("http://l.example/"), "g").alias("url"),
         F.lit("").alias("referer"), F.timestamp_seconds(F.lit(0)).alias("fetched_at"), F.array_join(shown, "").alias("html"))
-    return jobs.pentair_jobs(details.unionByName(listings)).select("job_title", "job_id", "job_location", "summary", "requirements")
+    earlier = listings.withColumn("fetched_at", F.lit(None).cast("timestamp")).withColumn("html", F.lit('<a id="POSTINGTITLE$1">x</a>'))
+    return details.unionByName(listings).unionByName(earlier)
+
+
+@check("n1_job_rejects", """
+SELECT p_partkey AS page_id, 'brassring' AS job, stage FROM part, unnest(['title', 'description']) AS t(stage)
+WHERE CASE stage WHEN 'title' THEN p_partkey % 2 = 0 ELSE p_partkey % 3 = 0 END
+UNION ALL SELECT p_partkey, 'pentair', 'listing' FROM part WHERE (p_partkey // 20) % 4 = 0""")
+def n1_job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brassring pages without title or description, pentair pages whose listing is missing."""
+    key = F.col("p_partkey")
+    html = F.concat(F.when(key % 2 != 0, "<span id='Job Abbreviation Title'>t</span>").otherwise(""), F.when(key % 3 != 0, "<span id='Job Description'>d</span>").otherwise(""))
+    brass = table(spark, sf_dir, "part").select(key.alias("page_id"), F.lit("detail").alias("page_type"), F.lit("u").alias("url"), html.alias("html"))
+    pages = pentair_pages(spark, sf_dir)
+    pages = pages.where((F.col("page_type") == "detail") | (F.col("page_id") % 4 != 0))
+    return jobs.brassring_rejects(brass).withColumn("job", F.lit("brassring")).unionByName(
+        jobs.pentair_rejects(pages).withColumn("job", F.lit("pentair"))).select("page_id", "job", "stage")
 
 
 @check("k_evitamins", """

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from pagegrain.functions.text import clean, fill, group, replace_all, replace_n
 
 
+# fixed values: patterns of the keys in links and image paths
+LINK_DIGITS, VARIANT_KEY, IMAGE_KEY, SCENE_KEY = "([0-9]{8,})", "dwvar_(.*?)_", "(?i)product/(.*?)/", "(?i)Intermix/PROD_(.*?)_"
+
+
 def category_path(*levels: Column) -> Column:
     """Non-empty levels in order."""
     return F.filter(F.array(*levels), lambda x: F.length(x) > 0)
@@ -27,20 +31,19 @@ def subcat_label(label: Column, category: Column, country: Column) -> Column:
 
 
 def base_sku_from_link(link: Column, script_id: Column) -> Column:
-    """Listing key: script id, else 8-10 digits of the link, else the variant key in it; lower case."""
-    return F.lower(F.coalesce(script_id, group(link, "([0-9]{8,10})"), group(link, "dwvar_(.*?)_")))
+    """Listing key: script id, else the first 8 or more digits of the link, else the variant key in it; lower case."""
+    return F.lower(F.coalesce(script_id, group(link, LINK_DIGITS), group(link, VARIANT_KEY)))
 
 
 def base_sku_from_image(src: Column) -> Column:
     """Key in a product image path."""
-    return F.lower(group(src, "(?i)product/(.*?)/"))
+    return F.lower(group(src, IMAGE_KEY))
 
 
-def base_sku_from_scene(src: Column, img_id: Column) -> Column:
-    """Key in an image server path, else the tail of the image id; at most ten characters."""
-    return F.substring(
-        F.coalesce(group(src, "(?i)Intermix/PROD_(.*?)_"), group(img_id, ".*_(.*)")), 1, 10
-    )
+def base_sku_from_scene(src: Column, img_id: Column, most: int | None = None) -> Column:
+    """Key in an image server path, else the tail of the image id; with ``most``, its first so many characters."""
+    key = F.coalesce(group(src, SCENE_KEY), group(img_id, ".*_(.*)"))
+    return key if most is None else F.substring(key, 1, most)
 
 
 def detail_sku(style: Column, url: Column, texts: Column) -> Column:
@@ -106,10 +109,10 @@ def parse_title(title: Column, brand: Column, size_text: Column) -> Column:
     named = F.when(has_brand, F.replace(title, F.concat(brand, F.lit(" ")), F.lit(""))).otherwise(title)
     flavor = replace_all(group(named, "(?s)(,.*)$"), ", ")
     base = F.when(F.contains(named, F.lit(",")), F.substring_index(named, ",", 1)).otherwise(named)
-    measured = group(size_text, "(?s)([0-9]{1,5}.*?[a-zA-Z]{1,10})")
+    measured = group(size_text, "(?s)([0-9]+.*?[a-zA-Z]+)")
     return F.struct(
         base.alias("title"),
         fill(flavor, "None").alias("flavor"),
-        fill(group(measured, "([0-9]{1,5})"), "1").alias("size"),
-        fill(group(measured, "([a-zA-Z]{1,10})"), "item").alias("unit"),
+        fill(group(measured, "([0-9]+)"), "1").alias("size"),
+        fill(group(measured, "([a-zA-Z]+)"), "item").alias("unit"),
     )

@@ -13,14 +13,19 @@ def to_number(c: Column) -> Column:
     return F.translate(c, "%$", "").try_cast("double")
 
 
-def first_digits(c: Column, most: int = 3) -> Column:
-    """First run of digits (at most ``most`` of them) as int."""
-    return group(c, "([0-9]{1,%d})" % most).try_cast("int")
+def up_to(most: int | None) -> str:
+    """Quantifier of a run: of any length, or of ``most`` characters."""
+    return "+" if most is None else "{1,%d}" % most
 
 
-def price_digits(c: Column) -> Column:
-    """First run of digits, dots and commas."""
-    return group(c, "([0-9.,]{1,9})")
+def first_digits(c: Column, most: int | None = None) -> Column:
+    """First run of digits as int; with ``most``, of its first so many."""
+    return group(c, f"([0-9]{up_to(most)})").try_cast("int")
+
+
+def price_digits(c: Column, most: int | None = None) -> Column:
+    """First run of digits, dots and commas; with ``most``, its first so many."""
+    return group(c, f"([0-9.,]{up_to(most)})")
 
 
 def percent_text(value: Column) -> Column:

@@ -63,9 +63,9 @@ def listing_page_url(base: str, category_id: Column, page: Column) -> Column:
 
 
 def shop_id(url: Column) -> Column:
-    """Shop product id, ended by a slash or, at the end of the url, four to seven digits."""
+    """Shop product id, ended by a slash or, at the end of the url, four or more digits."""
     return F.coalesce(
-        group(url, "shop_product_id/(.*?)/"), group(url, "shop_product_id/([0-9]{4,7})")
+        group(url, "shop_product_id/(.*?)/"), group(url, "shop_product_id/([0-9]{4,})")
     )
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pagegrain.functions import text as X
 from pagegrain.functions.price import first_digits
 from pagegrain.functions.urls import canonical, host
-from pagegrain.operators.joins import small
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -53,22 +52,36 @@ def page_urls_known(pagers: DataFrame, base: Column, pager: Column, rule: str) -
         *pagers.columns, "page", F.concat(base, F.col("page").cast("string")).alias("url"))
 
 
-# fixed values: pages asked per kind of overview, and the offsets of the job search
+# fixed values: pages asked per kind of overview, and jobs asked for, where the page does not tell how many there are
 PAGES_PER_KIND = {"grid": 10, "directory": 13, "report": 9, "looks": 1}
-JOB_OFFSETS = (1, 199, 50)
+ASSUMED_JOBS, JOBS_PER_PAGE = 199, 50
 
 
-def page_urls_fixed(categories: DataFrame, kind: Column, base: Column) -> DataFrame:
-    """One url per page; how many depends on the kind of the overview."""
+def shown_pages(body: Column) -> Column:
+    """Largest page number that the links of a page ask for; null when it has no such link."""
+    numbers = F.regexp_extract_all(body, F.lit("(?i)[?&](?:amp;)?page=([0-9]+)"), F.lit(1))
+    return F.array_max(F.transform(numbers, lambda x: x.try_cast("int")))
+
+
+def page_count(kind: Column, shown: Column | None = None, assumed: dict[str, int] | None = None) -> Column:
+    """Pages of an overview: as many as it shows, else what is assumed for its kind."""
     count = F
-    for name, n in PAGES_PER_KIND.items():
+    for name, n in (PAGES_PER_KIND if assumed is None else assumed).items():
         count = count.when(kind == name, n)
-    return categories.select("*", F.explode(F.sequence(F.lit(1), count)).alias("page")).select(
+    return count if shown is None else F.coalesce(shown, count)
+
+
+def page_urls_fixed(categories: DataFrame, kind: Column, base: Column, shown: Column | None = None,
+                    assumed: dict[str, int] | None = None) -> DataFrame:
+    """One url per page of an overview; see ``page_count``."""
+    return categories.select("*", F.explode(page_range(page_count(kind, shown, assumed))).alias("page")).select(
         *categories.columns, "page", F.concat(base, F.lit("&page="), F.col("page").cast("string")).alias("url"))
 
 
-def job_offsets() -> Column:
-    return F.sequence(*[F.lit(x) for x in JOB_OFFSETS])
+def job_offsets(total: Column | None = None, step: int = JOBS_PER_PAGE, assumed: int = ASSUMED_JOBS) -> Column:
+    """First job of every result page: of all ``total`` jobs where the search tells them, else of ``assumed``."""
+    last = F.lit(assumed) if total is None else F.coalesce(total, F.lit(assumed))
+    return F.sequence(F.lit(1), F.greatest(last, F.lit(1)), F.lit(step))
 
 
 def pages_from_links(links: Column, page_pattern: str = ".*?page=") -> Column:
@@ -108,30 +121,32 @@ def allowed_by_table(urls: DataFrame, domains: DataFrame, url: str = "url") -> D
     named = urls.withColumn("__host", host(F.col(url)))
     hosts = named.select("__host").where(F.col("__host").isNotNull()).distinct()
     good = hosts.select("__host", F.explode(domain_suffixes(F.col("__host"))).alias("domain")).join(
-        small(domains.select("domain")), "domain", "left_semi").select("__host").distinct()
+        domains.select("domain"), "domain", "left_semi").select("__host").distinct()
     return named.join(good, "__host", "left_semi").drop("__host")
 
 
 def dedup_requests(requests: DataFrame, url: str = "url", keep_all: str = "dont_filter") -> DataFrame:
     """One request per canonical url, except those marked to be repeated. Which of the equal ones stays is the
-    smallest, so that the result does not depend on the order of arrival."""
+    smallest, so that the result does not depend on the order of arrival. A missing mark counts as false."""
     columns = [c for c in requests.columns if c != url]
-    free = requests.where(F.col(keep_all))
-    once = requests.where(~F.col(keep_all)).groupBy(canonical(F.col(url)).alias("__key")).agg(
+    repeated = F.coalesce(keep_all, F.lit(False))
+    free = requests.where(repeated)
+    once = requests.where(~repeated).groupBy(canonical(F.col(url)).alias("__key")).agg(
         F.min(F.struct(url, *columns)).alias("r")).select("r.*")
     return free.unionByName(once)
 
 
-def country_requests(spark: SparkSession, dims: DataFrame, start: str, allowed: Iterable[str],
+def country_requests(spark: SparkSession, dims: DataFrame, start: str, allowed: Iterable[str] | None,
                      fallback: tuple[str, str, str]) -> DataFrame:
-    """Start requests (country_code, currency, language, url) of the allowed countries.
+    """Start requests (country_code, currency, language, url) of the allowed countries; None allows all.
 
     ``fallback`` is added when its country is missing. ``dims`` is a country dimension: a few hundred rows.
     """
-    wanted = dims.where(F.lower("country_code").isin(list(allowed))).select(
+    chosen = dims if allowed is None else dims.where(F.lower("country_code").isin(list(allowed)))
+    wanted = chosen.select(
         F.lower("country_code").alias("country_code"), "currency", "language", F.lit(start).alias("url"))
     spare = spark.createDataFrame([fallback + (start,)], wanted.schema)
-    return wanted.unionByName(spare.join(small(wanted.select("country_code")), "country_code", "left_anti")
+    return wanted.unionByName(spare.join(wanted.select("country_code"), "country_code", "left_anti")
                               .select(*wanted.columns))
 
 

@@ -9,8 +9,8 @@ from pagegrain.functions import text as X
 from pagegrain.operators import nodes as N
 from pagegrain.operators.filters import is_result_page
 from pagegrain.operators.frontier import detail_links
-from pagegrain.operators.quality import keep_where
-from pagegrain.operators.windows import first_n
+from pagegrain.operators.quality import keep_where, reject_rows
+from pagegrain.operators.windows import first_n, newest
 from pagegrain.schemas import JOBS, conform
 
 # fixed values: url base, link pattern and the markers of the two job sites
@@ -42,15 +42,25 @@ def _span_text(pattern: str) -> Column:
     return X.drop_prefix(X.replace_all(body, "</span>"), ">")
 
 
+def _brassring_details(pages: DataFrame) -> DataFrame:
+    return pages.where(F.col("page_type") == "detail").select(
+        "page_id", "url", F.lit("brassring").alias("site"), _span_text(BRASSRING_TITLE).alias("job_title"),
+        X.replace_all(_span_text(BRASSRING_TEXT), "<br/>").alias("summary"))
+
+
 def brassring_jobs(pages: DataFrame) -> DataFrame:
     """Title and description of the detail pages. Stays in the JVM: the body is read as it came."""
-    detail = pages.where(F.col("page_type") == "detail").select(
-        F.lit("brassring").alias("site"), _span_text(BRASSRING_TITLE).alias("job_title"),
-        X.replace_all(_span_text(BRASSRING_TEXT), "<br/>").alias("summary"))
+    detail = _brassring_details(pages)
     good = keep_where(detail, F.col("job_title").isNotNull() & F.col("summary").isNotNull(), detail.columns)
     return conform(good, JOBS)
 
 
+def brassring_rejects(pages: DataFrame) -> DataFrame:
+    """Detail pages without title or description: page_id, url, stage, reason."""
+    return reject_rows(_brassring_details(pages), "page_id", "url",
+                       {"title": F.col("job_title").isNull(), "description": F.col("summary").isNull()})
+
+
 def _pentair_tests() -> list[N.Test]:
     spans = [N.Test("span", "id", "starts", v) for v in PENTAIR_FIELDS.values()]
     boxes = [N.Test("div", "id", "starts", v) for v in PENTAIR_TEXTS.values()]
@@ -66,6 +76,21 @@ def _box_text(marker: str) -> Column:
     return X.join_text(N.values(N.Nodes(N.let(box, "box", inside))))
 
 
+def _pentair_totals(pages: DataFrame) -> DataFrame:
+    """Postings that each listing shows, by its newest page: referer, total."""
+    posting = N.Test("a", "id", "starts", PENTAIR_POSTING)
+    listings = N.parse_nodes(pages.where(F.col("page_type") == "listing"), [posting], ["url", "page_id", "fetched_at"])
+    counted = listings.select(F.col("url").alias("referer"), "page_id", "fetched_at", N.count(N.select(N.ALL, posting)).alias("total"))
+    return newest(counted, ["referer"]).drop("page_id", "fetched_at")
+
+
+def pentair_rejects(pages: DataFrame) -> DataFrame:
+    """Detail pages whose listing is not among the pages: page_id, url, stage, reason. Nothing is parsed for them."""
+    listings = pages.where(F.col("page_type") == "listing").select(F.col("url").alias("referer")).distinct()
+    lost = pages.where(F.col("page_type") == "detail").select("page_id", "url", "referer").join(listings, "referer", "left_anti")
+    return reject_rows(lost, "page_id", "url", {"listing": F.lit(True)})
+
+
 def pentair_jobs(pages: DataFrame) -> DataFrame:
     """Five fields of the detail pages, at most as many per listing as the listing shows postings.
 
@@ -73,9 +98,6 @@ def pentair_jobs(pages: DataFrame) -> DataFrame:
     (``fetched_at, page_id``).
     """
     nodes = N.ALL
-    posting = N.Test("a", "id", "starts", PENTAIR_POSTING)
-    listings = N.parse_nodes(pages.where(F.col("page_type") == "listing"), [posting], ["url"])
-    totals = listings.select(F.col("url").alias("referer"), N.count(N.select(nodes, posting)).alias("total"))
     docs = N.parse_nodes(pages.where(F.col("page_type") == "detail"), _pentair_tests(), ["page_id", "referer", "fetched_at"])
     fields = [
         F.get(N.own_texts(nodes, N.Test("span", "id", "starts", marker)), F.lit(0)).alias(name)
@@ -83,7 +105,7 @@ def pentair_jobs(pages: DataFrame) -> DataFrame:
     ]
     detail = docs.select(
         "page_id", "referer", "fetched_at", *fields, *[_box_text(m).alias(k) for k, m in PENTAIR_TEXTS.items()])
-    counted = detail.join(totals, "referer")
+    counted = detail.join(_pentair_totals(pages), "referer")
     kept = first_n(counted, ["referer"], ["fetched_at", "page_id"], F.col("total"),
                    bucket=F.date_trunc("minute", "fetched_at"))
     return conform(kept.withColumn("site", F.lit("pentair")), JOBS)

@@ -4,6 +4,8 @@ are fixed lists of the job."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,10 +94,10 @@ def store_links(pages: DataFrame) -> DataFrame:
     return blocks.select("page_id", "pos", absolute_url(link, GRANNY_BASE).alias("url")).where("url IS NOT NULL")
 
 
-def intermix_starts(spark: SparkSession) -> DataFrame:
-    """Country start requests: the crawled countries with their currency, the US in any case."""
-    dims = spark.createDataFrame(intermix.currency_rows(), "country_code string, currency string").withColumn("language", F.lit("en"))
-    return B.country_requests(spark, dims, intermix.COUNTRY_PAGE, intermix.CRAWLED, ("us", "USD", "en"))
+def intermix_starts(spark: SparkSession, countries: Iterable[str] | None = None) -> DataFrame:
+    """Country start requests: ``countries`` (None: every country of the table) with their currency, the US in any case."""
+    dims = spark.createDataFrame(list(intermix.CURRENCIES.items()), "country_code string, currency string").withColumn("language", F.lit("en"))
+    return B.country_requests(spark, dims, intermix.COUNTRY_PAGE, countries, ("us", "USD", "en"))
 
 
 def intermix_categories(pages: DataFrame) -> DataFrame:
@@ -136,6 +138,7 @@ def intermix_overviews(pages: DataFrame) -> DataFrame:
     staged = docs.select(
         "page_id", "url",
         E.page_kind(label, N.count(N.under(N.ALL, MASTER, REPORT)) > 0, N.count(N.under(N.ALL, DIRECTORY, DIRECTORY_ITEM)) > 0).alias("kind"),
+        B.shown_pages(F.col("norm_html")).alias("shown"),
         F.coalesce(script_var(F.col("norm_html"), *intermix.CATEGORY_VARS), F.regexp_extract("url", "[?&]cat=([^&]*)", 1)).alias("id"),
         F.transform(looks, lambda x: F.regexp_extract(x, "viewAll_(.*)", 1)).alias("look_ids"),
         F.transform(N.texts_under(N.ALL, LOOKS, LOOK_NAME), X.clean).alias("look_names"), reports.alias("reports"))
@@ -144,13 +147,15 @@ def intermix_overviews(pages: DataFrame) -> DataFrame:
         named = F.arrays_zip(urls.alias("u"), (F.transform(urls, lambda u: F.lit("")) if labels is None else labels).alias("l"))
         return F.when(F.col("kind") == kind, F.transform(named, lambda z: F.struct(z["u"].alias("url"), z["l"].alias("label"))))
 
-    pages_upto = lambda n: F.sequence(F.lit(1), F.lit(n))
+    def pages_of(kind: str) -> Column:
+        return B.page_range(B.page_count(F.lit(kind), F.col("shown")))
+
     look_urls = F.transform("look_ids", lambda i: F.concat(F.lit(LOOK_URL), i, F.lit("&ajaxRequest=true")))
     report_urls = F.transform("reports", lambda u: absolute_url(F.replace(u, F.lit("\n"), F.lit("")), intermix.BASE_URL, force=False))
     report_names = F.transform("reports", lambda u: F.replace(F.regexp_extract(u, ".*/(.*?)\\.", 1), F.lit("+"), F.lit(" ")))
     stem = F.concat(F.substring_index("url", "?", 1), F.lit("?filterCategoryId="), "id", F.lit("&page="))
-    directory = F.transform(pages_upto(B.PAGES_PER_KIND["directory"]), lambda p: F.concat(stem, p.cast("string")))
-    grid = F.transform(pages_upto(B.PAGES_PER_KIND["grid"]), lambda p: listing_page_url(intermix.AJAX_URL, F.col("id"), p))
+    directory = F.transform(pages_of("directory"), lambda p: F.concat(stem, p.cast("string")))
+    grid = F.transform(pages_of("grid"), lambda p: listing_page_url(intermix.AJAX_URL, F.col("id"), p))
     every = F.coalesce(entries("looks", look_urls, F.col("look_names")), entries("report", report_urls, report_names),
                        entries("directory", directory), entries("grid", grid))
     return staged.select("page_id", "kind", F.explode(every).alias("e")).select("page_id", "kind", "e.label", "e.url")
@@ -159,8 +164,9 @@ def intermix_overviews(pages: DataFrame) -> DataFrame:
 def intermix_report_pages(pages: DataFrame) -> DataFrame:
     """Listing urls of the trend-report pages: page_id, page, url."""
     found = script_var(F.col("html"), "id=\"DirGridCat_(.*?)\"")
-    rows = pages.select("page_id", found.alias("id")).where("id IS NOT NULL")
-    return rows.select("page_id", "id", F.explode(F.sequence(F.lit(1), F.lit(B.PAGES_PER_KIND["report"]))).alias("page")).select(
+    rows = pages.select("page_id", found.alias("id"), B.shown_pages(F.col("html")).alias("shown")).where("id IS NOT NULL")
+    count = B.page_count(F.lit("report"), F.col("shown"))
+    return rows.select("page_id", "id", F.explode(B.page_range(count)).alias("page")).select(
         "page_id", "page", listing_page_url(intermix.AJAX_URL, F.col("id"), F.col("page")).alias("url"))
 
 
@@ -187,7 +193,7 @@ def tory_regions(pages: DataFrame) -> DataFrame:
         names = N.values(N.descendants(N.descendants(nth, N.select(N.ALL, FLAG)), N.select(N.ALL, T_("div"))), "class")
         parts.append(docs.select(F.lit(region).alias("region"), F.lit(tory.CURRENCIES[region]).alias("currency"),
                                  F.explode(names).alias("country_name")))
-    codes = spark.createDataFrame(tory.delivery_codes(), "country_name string, country_code string")
+    codes = spark.createDataFrame(list(tory.DELIVERY_CODES.items()), "country_name string, country_code string")
     return delivery_regions(parts[0].unionByName(parts[1]), codes)
 
 
