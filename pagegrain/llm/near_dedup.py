@@ -6,8 +6,8 @@
    similarity by bit counts, corrected for chance; pairs within reach of the threshold are confirmed on the sets.
 4. Links give components. A bucket that still holds several components is compared again: its members outside of its largest
    component with all others, in blocks, so that no task sees a whole bucket; pairs inside a component
-   need no test. That is done first with each member's best estimates per component, then with all that are within reach, so the
-   components are those of all candidate pairs, and no bucket is cut off.
+   need no test. That is done first with each member's best estimates per component, then with all that are within reach, whose
+   sets are compared inside the blocks. So the components are those of all candidate pairs, and no bucket is cut off.
 
 A pair at the threshold misses all bands with a chance of 1e-6, and passes the estimate's margin of four standard errors.
 """
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagegrain.llm.common import batches, filled, ship, table, written
@@ -125,7 +125,7 @@ def sketch(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def full_sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(rows):
-        sets = [shingles(t).view(np.int64) for t in batch["text"].to_pylist()]
+        sets = [np.sort(shingles(t).view(np.int64)) for t in batch["text"].to_pylist()]
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "set"])
 
 
@@ -137,70 +137,104 @@ def within_reach(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep))
 
 
-def compare_blocks(best: int | None):
-    """Runs of rows with one ``unit`` are two blocks, ``left`` (true) and the others; gives pairs across components within reach.
-
-    A pair is given in the first of its common bands only. ``best``: so many per left member and component.
+def whole_units(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by ``unit`` as tables that hold all rows of their units, and where the units start and end in them."""
+    def closed(parts: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        unit = t["unit"].to_numpy()
+        return t, np.append(np.flatnonzero(np.append(True, unit[1:] != unit[:-1])), len(unit))
+
+    held: list[pa.RecordBatch] = []
+    for batch in filled(rows):
+        at = batch.schema.get_field_index("unit")
+        unit = batch.column(at).to_numpy(zero_copy_only=False)
+        last = int(np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))[-1])
+        if last or (held and held[-1].column(at)[0].as_py() != unit[0]):
+            if whole := [*held, *([batch.slice(0, last)] if last else [])]:
+                yield closed(whole)
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield closed(held)
+
+
+def estimated(best: int | None):
+    """A unit is two blocks, ``left`` (true) and the others. Estimates all its pairs across components.
+
+    With ``best``: pairs within reach, so many per left member and component. Without: the rows that have a partner within
+    reach, where a pair counts in the first of its common bands only.
     """
-    def compared(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        left, right = np.flatnonzero(x["left"]), np.flatnonzero(~x["left"])
-        a, b = [], []
-        for i in left:
-            # of two left members each is also among the others: the pair is tested from both sides, and is distinct later
+    def compared(x: dict[str, np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+        right = np.flatnonzero(~x["left"])
+        for i in np.flatnonzero(x["left"]):
+            # two members outside of the largest component are both left and right: their pair is met from both sides
             j = right[x["comp"][right] != x["comp"][i]]
             if not len(j):
                 continue
             estimate = similarity(x["signature"][j], x["signature"][i])
             near = estimate >= PERCENT / 100 - MARGIN
             j, estimate = j[near], estimate[near]
-            if best is None and len(j):
-                first = (x["bands"][j] == x["bands"][i]).argmax(axis=1) == x["band"][i]
-                j = j[first]
+            if best is None:
+                j = j[(x["bands"][j] == x["bands"][i]).argmax(axis=1) == x["band"][i]] if len(j) else j
             elif len(j):
                 order = np.lexsort((-estimate, x["comp"][j]))
                 comps = x["comp"][j][order]
                 starts = np.flatnonzero(np.append(True, comps[1:] != comps[:-1]))
                 place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
                 j = j[order[place < best]]
-            a.append(np.full(len(j), x["id"][i]))
-            b.append(x["id"][j])
-        return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            if len(j):
+                yield i, j
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def closed(batches_: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            t = pa.Table.from_batches(batches_).combine_chunks()
-            unit = t["unit"].to_numpy()
-            x = {"left": t["left"].to_numpy(zero_copy_only=False), "comp": t["comp"].to_numpy(), "id": t["id"].to_numpy(), "band": t["band"].to_numpy(),
+        for t, edges in whole_units(rows):
+            x = {"left": t["left"].to_numpy(), "comp": t["comp"].to_numpy(), "id": t["id"].to_numpy(), "band": t["band"].to_numpy(),
                  "signature": signatures(t["signature"].combine_chunks()),
                  "bands": t["bands"].combine_chunks().flatten().to_numpy().reshape(len(t), BANDS)}
-            edges = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
-            a, b = [], []
-            for s, e in zip(edges, np.append(edges[1:], len(unit))):
-                if e - s > 1:
-                    p, q = compared({k: v[s:e] for k, v in x.items()})
-                    a.append(p)
-                    b.append(q)
-            a, b = (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
-            if len(a):
+            keep, a, b = np.zeros(len(t), bool), [], []
+            for s, e in zip(edges, edges[1:]):
+                for i, j in compared({k: v[s:e] for k, v in x.items()}):
+                    keep[s + i] = keep[s + j] = True
+                    a.append(np.full(len(j), x["id"][s + i]))
+                    b.append(x["id"][s + j])
+            if not a:
+                continue
+            if best is None:
+                yield from t.select(["unit", "left", "id", "comp"]).filter(pa.array(keep)).to_batches()
+            else:
+                a, b = np.concatenate(a), np.concatenate(b)
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-        for batch in filled(rows):
-            unit = batch.column(batch.schema.get_field_index("unit")).to_numpy(zero_copy_only=False)
-            last = int(np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))[-1])
-            if last or (held and held[-1].column(batch.schema.get_field_index("unit"))[0].as_py() != unit[0]):
-                whole = [*held, *([batch.slice(0, last)] if last else [])]
-                if whole:
-                    yield from closed(whole)
-                held = []
-            held.append(batch.slice(last))
-        if held:
-            yield from closed(held)
-
     return run
 
 
+def linked_blocks(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units with full sets: one confirmed link per left member and other component, which is all that components need."""
+    for t, edges in whole_units(rows):
+        left, comp, ids = t["left"].to_numpy(), t["comp"].to_numpy(), t["id"].to_numpy()
+        sets = t["set"].combine_chunks()
+        flat, offsets = sets.values.to_numpy(), sets.offsets.to_numpy()
+        sizes = np.diff(offsets)
+        a, b = [], []
+        for s, e in zip(edges, edges[1:]):
+            right = s + np.flatnonzero(~left[s:e])
+            values = np.concatenate([flat[offsets[j]:offsets[j + 1]] for j in right]) if len(right) else flat[:0]
+            starts = np.cumsum(sizes[right]) - sizes[right]
+            for i in s + np.flatnonzero(left[s:e]):
+                if not len(right):
+                    break
+                own = flat[offsets[i]:offsets[i + 1]]
+                at = np.searchsorted(own, values)
+                common = np.add.reduceat((own[np.minimum(at, len(own) - 1)] == values).astype(np.int64), starts)
+                good = (100 * common >= PERCENT * (sizes[i] + sizes[right] - common)) & (comp[right] != comp[i])
+                _, first = np.unique(comp[right][good], return_index=True)
+                found = ids[right[good][first]]
+                a.append(np.full(len(found), ids[i]))
+                b.append(found)
+        if a and len(x := np.concatenate(a)):
+            y = np.concatenate(b)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """``id`` and ``comp`` (smallest id of its component) of every linked id.
 
@@ -242,8 +276,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = written(narrow.mapInArrow(sketch, SKETCH), "sketches")
-    classes = (sketches.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-               .agg(F.min("doc_id").alias("rep")))
+    # written, so that the last join is dealt by itself and a class that holds a third of all rows can be split
+    classes = written(sketches.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
+                      .agg(F.min("doc_id").alias("rep")), "class_ids")
     # one row per class: repeated rows of its smallest id hold the same sketch
     chosen = written(sketches.where("digest IS NOT NULL").join(classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep")), "left_semi")
                      .dropDuplicates(["doc_id", "digest"]).select(F.col("doc_id").alias("id"), "n_shingles", "signature", "bands"), "classes")
@@ -261,10 +296,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 .where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select("a", "b", "sa", "sb"))
     links = written(confirmed(measured.mapInArrow(within_reach, "a bigint, b bigint"), sets), "links")
     comps = components(links)
-    for best in (BEST, None):
-        more = written(confirmed(crossing(shared, chosen, comps, best), sets), "links")
-        links = links.unionAll(more)
-        comps = components(links)
+    links = links.unionAll(written(confirmed(crossing(shared, chosen, comps, BEST), sets), "links"))
+    comps = components(links)
+    links = links.unionAll(written(linked(crossing(shared, chosen, comps, None), sets), "links"))
+    comps = components(links)
     comps = written(comps, "components")
     rep = (sketches.select("doc_id", "n_shingles", "digest").join(classes.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d"), "left")
            .join(comps.withColumnRenamed("comp", "c"), F.col("rep") == F.col("id"), "left"))
@@ -273,8 +308,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def linked(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the rows of each unit, compared on their full sets inside the unit: no pair is a row before it is a link."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = rows.join(sets.withColumnRenamed("doc_id", "si"), F.col("id") == F.col("si")).drop("si")
+    return (whole.repartition(n, "unit").sortWithinPartitions("unit").mapInArrow(linked_blocks, "a bigint, b bigint").distinct())
+
+
 def crossing(shared: DataFrame, chosen: DataFrame, comps: DataFrame, best: int | None) -> DataFrame:
-    """Pairs across components in one bucket, within reach by their signatures and not yet tested as (leader, member) only."""
+    """What is within reach across components in one bucket by the signatures: the best pairs, or the rows of all such pairs."""
     label = comps.select(F.col("id").alias("ci"), "comp")
     rows = (shared.where("members > 2").join(label, F.col("id") == F.col("ci"), "left")
             .select("id", "band", "key", F.coalesce("comp", "id").alias("comp")))
@@ -289,10 +331,12 @@ def crossing(shared: DataFrame, chosen: DataFrame, comps: DataFrame, best: int |
     right = rows.select("id", "band", "key", "comp", F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0), la - 1)).alias("i"),
                         F.pmod(own, lb).cast("int").alias("j"))
     dealt = left.unionByName(right).select("id", "band", "comp", "left", F.xxhash64("key", "i", "j").alias("unit"))
-    carried = dealt.join(chosen.select(F.col("id").alias("si"), "signature", "bands"), F.col("id") == F.col("si")).drop("si")
+    wide = dealt.join(chosen.select(F.col("id").alias("si"), "signature", "bands"), F.col("id") == F.col("si")).drop("si")
     n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (carried.repartition(n, "unit").sortWithinPartitions("unit")
-            .mapInArrow(compare_blocks(best), "a bigint, b bigint").distinct())
+    dealt = wide.repartition(n, "unit").sortWithinPartitions("unit")
+    if best is None:
+        return written(dealt.mapInArrow(estimated(best), "unit bigint, left boolean, id bigint, comp bigint"), "within")
+    return dealt.mapInArrow(estimated(best), "a bigint, b bigint").distinct()
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
