@@ -76,9 +76,9 @@ def ranked(df: DataFrame, group: str, priority: Column, order: list[str], rows:
             .drop("__bucket", "__b", "__g", "__before", "__in"))
 
 
-def filled(rows: Iterator) -> Iterator:
-    """The Arrow record batches that have rows."""
-    return (batch for batch in rows if batch.num_rows)
+def filled(rows: Iterator, most: int = 512) -> Iterator:
+    """Arrow record batches that have rows, ``most`` at a time: what a step makes of long texts stays small."""
+    return (batch.slice(at, most) for batch in rows for at in range(0, batch.num_rows, most))
 
 
 def batches(rows: Iterator) -> Iterator[dict]:

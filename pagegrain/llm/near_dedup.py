@@ -145,7 +145,7 @@ def whole_units(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.n
         return t, np.append(np.flatnonzero(np.append(True, unit[1:] != unit[:-1])), len(unit))
 
     held: list[pa.RecordBatch] = []
-    for batch in filled(rows):
+    for batch in filled(rows, 8192):
         at = batch.schema.get_field_index("unit")
         unit = batch.column(at).to_numpy(zero_copy_only=False)
         last = int(np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))[-1])

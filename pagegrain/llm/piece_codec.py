@@ -9,6 +9,7 @@ that holds the marker itself, is encoded whole.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ MODEL = "piece_bpe_32k.model"
 MARKER = "▁"
 #: The spaces before a word, and the word.
 MARKED = re.compile(" +[^ ]*")
-ENTRIES = 600_000
+ENTRIES = 300_000
 
 
 class PieceCodec:
@@ -36,31 +37,32 @@ class PieceCodec:
         pieces = (self.library.id_to_piece(i) for i in range(self.library.get_piece_size()))
         self.apart = (not any(MARKER in p.lstrip(MARKER) for p in pieces)
                       and self.library.normalize("  A b\n ﬁ  ") == f"{MARKER * 3}A{MARKER}b\n ﬁ{MARKER * 2}")
-        self.marker = [self.library.piece_to_id(MARKER)]
+        self.marker = packed([self.library.piece_to_id(MARKER)])
         self.end = self.library.eos_id()
-        #: by word after one space
-        self.words = ChunkTable(lambda word: self.library.encode(word, num_threads=1), entries)
+        #: by word after one space: ids as 32-bit integers
+        self.words = ChunkTable(lambda word: packed(self.library.encode(word, num_threads=1)), entries)
         #: by several spaces and a word
         self.marked = ChunkTable(self.spaced, entries)
 
-    def spaced(self, chunk: str) -> list[int]:
+    def spaced(self, chunk: str) -> bytes:
         # the library adds one marker itself
-        return self.marker if chunk == " " else self.library.encode(chunk[1:], num_threads=1)
+        return self.marker if chunk == " " else packed(self.library.encode(chunk[1:], num_threads=1))
 
-    def encode(self, text: str | None) -> list[int]:
+    def encode(self, text: str | None) -> np.ndarray:
         """Ids without the end id."""
         if not text:
-            return []
+            return np.zeros(0, np.int32)
         if not self.apart or MARKER in text:
-            return self.library.encode(text, num_threads=1)
-        out: list[int] = []
+            return np.array(self.library.encode(text, num_threads=1), np.int32)
         if text[0] == " " or text[-1] == " " or "  " in text:
             parts = map(self.marked.__getitem__, MARKED.findall(" " + text))
         else:
             parts = map(self.words.__getitem__, text.split(" "))
-        for ids in parts:
-            out += ids
-        return out
+        return np.frombuffer(b"".join(parts), np.int32)
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"{len(ids)}i", *ids)
 
 
 def codec(path: str) -> PieceCodec:
@@ -84,7 +86,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
         for batch in filled(rows):
-            each = [np.array(c.encode(t) + [c.end], np.int32) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            each = [np.append(c.encode(t), np.int32(c.end)) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             stops = np.cumsum([0] + [len(x) for x in each]).astype(np.int32)
             yield extended(batch, ids, pa.ListArray.from_arrays(pa.array(stops), pa.array(np.concatenate([np.zeros(0, np.int32), *each]))), text)
 
@@ -96,7 +98,9 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded")
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
         for batch in filled(rows):
-            each = (c.library.decode(x or []) for x in batch.column(batch.schema.get_field_index(ids)).to_pylist())
+            column = batch.column(batch.schema.get_field_index(ids))
+            # one row's ids at a time: as Python numbers they are large
+            each = [c.library.decode(x.as_py() or []) for x in column]
             yield extended(batch, text, pa.array(each, pa.string()))
 
     return rows.mapInArrow(run, schema_with(rows, text, T.StringType()))
