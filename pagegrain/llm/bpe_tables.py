@@ -21,7 +21,7 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(rf"([{LETTERS}]+)([,.]?)(?:(\n)([{LETTERS}]+)([,.]?))?")
 #: White space other than space, tab, line feed and carriage return, and characters that libraries class differently.
 UNUSUAL = re.compile("[\u000b\u000c\u001c-\u001f\u0085  ᠎ -‏    ⁠　﻿]")
-ENTRIES = 600_000
+ENTRIES = 800_000
 
 
 def byte_signs() -> dict[int, str]:

@@ -45,16 +45,24 @@ def process_tables() -> dict:
 
 
 class ChunkTable(dict):
-    """Results by chunk, computed once each; emptied when it holds ``most`` entries, so its memory is bounded."""
+    """Results by chunk, computed once each while they are kept.
+
+    At most ``most`` entries in two generations: when the young one is full it becomes the old one, and what is used again
+    comes back from there. So frequent chunks stay, and memory is bounded.
+    """
 
     def __init__(self, make: Callable[[str], object], most: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.half, self.old = make, most // 2, {}
 
     def __missing__(self, key: str):
-        if len(self) >= self.most:
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 

@@ -26,7 +26,7 @@ MODEL = "piece_bpe_32k.model"
 MARKER = "▁"
 #: The spaces before a word, and the word.
 MARKED = re.compile(" +[^ ]*")
-ENTRIES = 300_000
+ENTRIES = 600_000
 
 
 class PieceCodec:
