@@ -62,11 +62,8 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
         F.lit("Content-Type: text/html"), F.lit(END), F.lit("Content-Length: "), F.when(revisit, 0).otherwise(F.col("bytes")), F.lit(END + END))
     # the hot digest's rows are narrow, and its other side is one row: AQE may split them
     seen.join(firsts, "digest").select(F.col("digest"), lines.cast("binary").alias("header")).write.parquet(f"{path}/records")
-    # each payload from the first row that holds it: ids are reduced before bytes move
-    keep = seen.groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("id"))).alias("at"))
-    one = keep.select(F.col("digest").alias("kept"), F.col("at.id").alias("kept_id"))
-    (rows.withColumn("digest", digest).join(one, (F.col("digest") == F.col("kept")) & F.col("page_id").eqNullSafe(F.col("kept_id")), "left_semi")
-     .groupBy("digest").agg(F.min("payload").alias("payload")).write.parquet(f"{path}/payloads"))
+    # equal payloads meet inside the tasks first: one copy per task is moved
+    rows.groupBy(digest.alias("digest")).agg(F.min("payload").alias("payload")).write.parquet(f"{path}/payloads")
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
