@@ -90,7 +90,11 @@ _ROUTE_HOSTS = [
     ("www.intermixonline.com", "/home.do", "intermix", "home"),
     ("www.toryburch.com", "/p?pid=1&format=json", "toryburch", "variants"),
     ("www.toryburch.jp", "/item/shop_product_id/77/", "toryburch", "detail"),
-    ("intermix.scene7.com", "/is/image/a?req=imageset,javascript", "imageset", "images"),
+    ("intermix.scene7.com", "/is/image/a?req=imageset,javascript", "intermix", "images"),
+    ("s7d5.scene7.com", "/is/image/a_S?req=imageset,json", "toryburch", "images"),
+    ("www.toryburch.com", "/clothing/", "toryburch", "listing"),
+    ("www.toryburch.com", "/shoes/view-all/?start=24", "toryburch", "listing"),
+    ("www.toryburch.com", "/amy-bag/12345678.html", "toryburch", "detail"),
     ("unknown.example", "/x", "unknown.example", "other"),
 ]
 
@@ -100,14 +104,14 @@ def _case(values: list[str], key: str) -> str:
 
 
 @check("a5_route", f"""
-SELECT p_partkey AS page_id, 'http://' || {_case([h + p for h, p, _, _ in _ROUTE_HOSTS], 'p_partkey % 8')} AS url,
-  {_case([s for _, _, s, _ in _ROUTE_HOSTS], 'p_partkey % 8')} AS site,
-  {_case([t for _, _, _, t in _ROUTE_HOSTS], 'p_partkey % 8')} AS page_type
+SELECT p_partkey AS page_id, 'http://' || {_case([h + p for h, p, _, _ in _ROUTE_HOSTS], f'p_partkey % {len(_ROUTE_HOSTS)}')} AS url,
+  {_case([s for _, _, s, _ in _ROUTE_HOSTS], f'p_partkey % {len(_ROUTE_HOSTS)}')} AS site,
+  {_case([t for _, _, _, t in _ROUTE_HOSTS], f'p_partkey % {len(_ROUTE_HOSTS)}')} AS page_type
 FROM part""")
 def a5_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     urls = F.array(*[F.lit("http://" + h + p) for h, p, _, _ in _ROUTE_HOSTS])
     pages = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("page_id"), F.get(urls, (F.col("p_partkey") % 8).cast("int")).alias("url"))
+        F.col("p_partkey").alias("page_id"), F.get(urls, (F.col("p_partkey") % len(_ROUTE_HOSTS)).cast("int")).alias("url"))
     return route_pages(pages, OFFER_ROUTES + PRODUCT_ROUTES)
 
 

@@ -55,10 +55,16 @@ def attr_text(value: str) -> str:
 
 
 class PageNodes:
-    """Nodes of one page that pass ``wanted(tag, attrs, path)``: 0 skips, 1 keeps, 2 keeps with its markup."""
+    """Nodes of one page that pass ``wanted(tag, attrs, path)``: 0 skips, 1 keeps, 2 keeps with its markup.
 
-    def __init__(self, html: str, wanted):
-        self.wanted = wanted
+    ``wanted.tags``, where there is one, names the tags it may keep: attributes of other tags are not read. Markup is written only while
+    a node that keeps it is open, or for the whole page with ``with_html``.
+    """
+
+    def __init__(self, html: str, wanted, with_html: bool = True):
+        self.wanted, self.tags = wanted, getattr(wanted, "tags", None)
+        self.wants_text = self.tags is None or "#text" in self.tags
+        self.writing = int(with_html)
         self.out: list[str] = []
         self.nodes: list[list] = []
         self.pre = 0
@@ -72,10 +78,10 @@ class PageNodes:
         while pos < end:
             token = TOKEN.search(html, pos)
             if token is None:
-                self._text(unescape(html[pos:]))
+                self._text(html[pos:])
                 return
             if token.start() > pos:
-                self._text(unescape(html[pos:token.start()]))
+                self._text(html[pos:token.start()])
             pos = token.end()
             name = token.group(2)
             if name is None:
@@ -91,43 +97,46 @@ class PageNodes:
                 self._text(html[pos:stop_at], raw=True)
                 pos = stop_at
 
-    def _number(self) -> int:
-        self.pre += 1
-        return self.pre
-
     def _text(self, data: str, raw: bool = False) -> None:
+        if not raw and "&" in data:
+            data = unescape(data)
         if not data:
             return
-        pre = self._number()
+        self.pre = pre = self.pre + 1
         parent = self.open[-1]
-        path = parent[2] + "/text()"
         if parent[5] is not None:
             parent[5][8] = (parent[5][8] or "") + data
-        if self.wanted("#text", {}, path):
-            self.nodes.append([pre, pre, parent[1], len(self.open), "#text", 1, path, {}, data, None])
-        self.out.append(data if raw else escape(data, quote=False))
+        if self.wants_text:
+            path = parent[2] + "/text()"
+            if self.wanted("#text", {}, path):
+                self.nodes.append([pre, pre, parent[1], len(self.open), "#text", 1, path, {}, data, None])
+        if self.writing:
+            self.out.append(data if raw else escape(data, quote=False))
 
     def _start(self, name: str, source: str) -> None:
         if name in CLOSES:
             self._close_first(*CLOSES[name])
         elif name in BLOCK:
             self._close_first(*PARAGRAPH)
-        attrs = attributes(source) if source else {}
+        tested = self.tags is None or name in self.tags
+        attrs = attributes(source) if source and (tested or self.writing) else {}
         parent = self.open[-1]
-        pre = self._number()
+        self.pre = pre = self.pre + 1
         nth = parent[3][name] = parent[3].get(name, 0) + 1
         path = parent[2] + "/" + name
-        keep = self.wanted(name, attrs, path)
+        keep = self.wanted(name, attrs, path) if tested else 0
         node = None
         if keep:
             node = [pre, pre, parent[1], len(self.open), name, nth, path, attrs, None, None]
             self.nodes.append(node)
         begin = len(self.out)
-        self.out.append("<" + name + "".join(f' {k}="{attr_text(v)}"' for k, v in attrs.items()) + ">")
+        if self.writing or keep == 2:
+            self.out.append("<" + name + "".join(f' {k}="{attr_text(v)}"' for k, v in attrs.items()) + ">")
         if name in VOID:
             if keep == 2:
-                node[9] = self.out[-1]
+                node[9] = self.out[-1] if self.writing else self.out.pop()
             return
+        self.writing += keep == 2
         self.open.append((name, pre, path, {}, begin, node, keep == 2))
 
     def _close_first(self, closers: frozenset, barrier: frozenset) -> None:
@@ -151,11 +160,15 @@ class PageNodes:
     def _close_to(self, depth: int) -> None:
         while len(self.open) > depth:
             tag, _, _, _, begin, node, markup = self.open.pop()
-            self.out.append("</" + tag + ">")
+            if self.writing:
+                self.out.append("</" + tag + ">")
             if node is not None:
                 node[1] = self.pre
                 if markup:
                     node[9] = "".join(self.out[begin:])
+                    self.writing -= 1
+                    if not self.writing:
+                        self.out.clear()
 
     @property
     def html(self) -> str:
@@ -193,6 +206,7 @@ def wanted_by(specs: list[Spec]):
                 best = 2 if spec[4] else 1
         return best
 
+    wanted.tags = frozenset(by_tag)
     return wanted
 
 
@@ -231,7 +245,7 @@ def batch_parser(specs: list[Spec] | dict[str, list[Spec]], keep: list[str], wit
                 column = {name: part.column(i) for i, name in enumerate(part.schema.names)}
                 sites = column["site"].to_pylist() if per_site is not None else None
                 done = [
-                    PageNodes(text or "", common if sites is None else per_site.get(sites[i], common))
+                    PageNodes(text or "", common if sites is None else per_site.get(sites[i], common), with_html)
                     for i, text in enumerate(column["__html"].to_pylist())
                 ]
                 out = {name: column[name] for name in keep}

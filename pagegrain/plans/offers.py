@@ -169,9 +169,10 @@ def extract_offers(pages: DataFrame, rules: Iterable[OfferRule]) -> DataFrame:
 
 
 def stage_blocks(pages: DataFrame, path: str, rules: Iterable[OfferRule] = RULES) -> DataFrame:
-    """Parse the pages of all sites once and keep the blocks as a table partitioned by site."""
-    offer_blocks(pages, rules).write.mode("overwrite").partitionBy("site").parquet(path)
-    return pages.sparkSession.read.parquet(path)
+    """Parse the pages of all sites once and keep the blocks as a table partitioned by site, a small site in one file."""
+    blocks = offer_blocks(pages, rules)
+    blocks.hint("rebalance", "site").write.mode("overwrite").partitionBy("site").parquet(path)
+    return pages.sparkSession.read.schema(blocks.schema).parquet(path).select(*blocks.columns)
 
 
 def extract_all_offers(pages: DataFrame, staging: str, rules: Iterable[OfferRule] = RULES) -> DataFrame:
@@ -180,8 +181,20 @@ def extract_all_offers(pages: DataFrame, staging: str, rules: Iterable[OfferRule
     return offers_from_blocks(stage_blocks(pages, staging, rules), rules)
 
 
-def offer_rejects(pages: DataFrame, rules: Iterable[OfferRule]) -> DataFrame:
+def rejects_from_blocks(blocks: DataFrame, rules: Iterable[OfferRule] = RULES) -> DataFrame:
     """page_id, url, stage, reason of every block field that could not be read."""
     checks = {k: F.col(v).isNull() for k, v in CHECKS.items()}
-    parts = [reject_rows(offer_fields(offer_blocks(pages, [r]), r), "page_id", "page_url", checks) for r in rules]
+    parts = [reject_rows(offer_fields(blocks, r), "page_id", "page_url", checks) for r in rules]
     return reduce(DataFrame.unionByName, parts)
+
+
+def offers_and_rejects(pages: DataFrame, staging: str, rules: Iterable[OfferRule] = RULES) -> tuple[DataFrame, DataFrame]:
+    """(offers, rejects) of all sites from one parse of an unpartitioned pages table."""
+    rules = list(rules)
+    blocks = stage_blocks(pages, staging, rules)
+    return offers_from_blocks(blocks, rules), rejects_from_blocks(blocks, rules)
+
+
+def offer_rejects(pages: DataFrame, rules: Iterable[OfferRule]) -> DataFrame:
+    """Rejects of pages that are partitioned by site; each rule parses its own pages. For others see ``offers_and_rejects``."""
+    return reduce(DataFrame.unionByName, [rejects_from_blocks(offer_blocks(pages, [r]), [r]) for r in rules])

@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 
+def submitted() -> set[str]:
+    """Settings that spark-submit was called with: its JVM is there before the session is."""
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:
+        return set()
+    SparkContext._ensure_initialized()
+    return {k for k, _ in SparkConf().getAll()}
+
+
 def get_spark(app: str = "pagegrain", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the settings the jobs are written for. On a cluster, spark-submit's own settings win."""
+    """Session with the settings the jobs are written for. On a cluster, spark-submit's own settings win over these
+    defaults; ``conf`` wins over both."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -23,7 +36,8 @@ def get_spark(app: str = "pagegrain", master: str | None = None, **conf: str) ->
         "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
         "spark.ui.enabled": "false",
     }
-    for key, value in {**defaults, **conf}.items():
+    given = submitted()
+    for key, value in {**{k: v for k, v in defaults.items() if k not in given}, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -31,9 +45,12 @@ def get_spark(app: str = "pagegrain", master: str | None = None, **conf: str) ->
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder for one run under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) is a local temporary folder used.
+    Only on a local master, where the session names none, is a temporary folder used; it is removed when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="pagegrain-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}") if "://" not in root else f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

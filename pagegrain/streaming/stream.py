@@ -1,38 +1,75 @@
-"""Structured Streaming versions of the offer job and of first-seen."""
+"""Structured Streaming versions of the stateless jobs and of first-seen."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from pagegrain.plans.jobs import brassring_jobs
 from pagegrain.plans.offer_rules import RULES
 from pagegrain.plans.offers import extract_all_offers, extract_offers
+from pagegrain.plans.vitamins import vitamin_products
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-def read_page_stream(spark: SparkSession, folder: str, schema: StructType, names: str = "*.parquet") -> DataFrame:
-    """Pages as they arrive as parquet files in a folder."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", names).parquet(folder)
 
+def read_page_stream(spark: SparkSession, folder: str, schema: StructType, names: str = "*.parquet",
+                     files: int | None = None, size: str | None = None) -> DataFrame:
+    """Pages as they arrive as parquet files in a folder; ``files`` or ``size`` (such as ``10g``) bound a micro-batch."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", names)
+    if files is not None:
+        reader = reader.option("maxFilesPerTrigger", files)
+    if size is not None:
+        reader = reader.option("maxBytesPerTrigger", size)
+    return reader.parquet(folder)
 
-def stream_offers(pages: DataFrame, checkpoint: str, out: str, staging: str, rules=RULES) -> StreamingQuery:
-    """Offers of arriving pages: all there is now, then stop.
 
-    Each micro-batch runs the batch job and replaces its own partition of ``out``, so a batch that is run again
-    after a failure leaves no duplicates.
-    """
-    rules = list(rules)
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder wherever it is stored."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
 
+def stream_batches(pages: DataFrame, extract: Callable[[DataFrame, int], DataFrame], checkpoint: str, out: str,
+                   after: Callable[[int], None] | None = None) -> StreamingQuery:
+    """A batch job over arriving pages: all there is now, then stop.
+
+    Each micro-batch replaces its own partition of ``out``, so a batch that is run again after a failure leaves no duplicates.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        offers = (extract_offers(batch, rules) if len(rules) == 1
-                  else extract_all_offers(batch, f"{staging}/{batch_id}", rules))
-        offers.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        extract(batch, batch_id).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        if after is not None:
+            after(batch_id)
 
     return (pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def stream_offers(pages: DataFrame, checkpoint: str, out: str, staging: str, rules=RULES) -> StreamingQuery:
+    """Offers of arriving pages. A micro-batch's staged blocks are removed once its offers are written."""
+    rules = list(rules)
+
+    def extract(batch: DataFrame, batch_id: int) -> DataFrame:
+        return extract_offers(batch, rules) if len(rules) == 1 else extract_all_offers(batch, f"{staging}/{batch_id}", rules)
+
+    spark = pages.sparkSession
+    return stream_batches(pages, extract, checkpoint, out, lambda batch_id: remove(spark, f"{staging}/{batch_id}"))
+
+
+def stream_jobs(pages: DataFrame, checkpoint: str, out: str) -> StreamingQuery:
+    """Job postings of arriving brassring pages. Pentair's need all pages of a listing and stay a batch job."""
+    return stream_batches(pages, lambda batch, _: brassring_jobs(batch), checkpoint, out)
+
+
+def stream_vitamins(pages: DataFrame, checkpoint: str, out: str) -> StreamingQuery:
+    """Supplements of arriving pages."""
+    return stream_batches(pages, lambda batch, _: vitamin_products(batch), checkpoint, out)
+
+
 def first_seen_stream(stream: DataFrame, keys: list[str], event_time: str | None = None,
                       delay: str | None = None) -> DataFrame:
     """One row per key, whichever arrives first.
@@ -54,6 +91,14 @@ def wait(query: StreamingQuery) -> None:
 
 
 def run_to_end(df: DataFrame, checkpoint: str, out: str) -> None:
-    """Write a stream to parquet until its present input is used up."""
-    wait(df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    """Write a stream to parquet until its present input is used up. Its state is kept on disk, not in executor memory, unless
+    the session names another store."""
+    conf, key = df.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(key, None)
+    if not (before or "").endswith("RocksDBStateStoreProvider") and (before is None or before.endswith("HDFSBackedStateStoreProvider")):
+        conf.set(key, ROCKSDB)
+    try:
+        wait(df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
