@@ -94,14 +94,16 @@ def b3_overviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'intermix' AS site, p_partkey AS page_id, p_type AS category, '' AS sub_category, '/c/' || p_partkey AS link FROM part
 UNION ALL SELECT 'intermix', p_partkey, p_type, p_name, '/s/' || p_partkey FROM part
 UNION ALL SELECT 'tory', p_partkey, 'shoes', p_name, '/t/' || p_partkey FROM part
+UNION ALL SELECT 'tory', p_partkey, 'shoes', 'x', '/r' FROM part, unnest(range(0, 1000)) AS t(i) WHERE p_partkey % 100 = 1
+UNION ALL SELECT 'intermix', p_partkey, p_type, 'More', '/m' FROM part, unnest(range(0, 1000)) AS t(i) WHERE p_partkey % 100 = 1
 UNION ALL SELECT 'tory', p_partkey, 'watches', '', '/w/' || p_partkey FROM part
 UNION ALL SELECT 'japan', p_partkey, 'clothing', p_name, 'http://www.toryburch.jp/j/' || p_partkey FROM part
 UNION ALL SELECT 'japan', p_partkey, 'shoes', p_brand, 'http://www.toryburch.jp/x/shoes/' || p_partkey FROM part""")
 def b11_menus(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = ('<div class="leftCategoryNavContainer"><ul class="sf-menu"><li><div id="tnc_[[p_partkey]]"><a href="/c/[[p_partkey]]">[[p_type]]</a></div>'
-            '<ul><li><a id="s1" href="/s/[[p_partkey]]">[[p_name]]</a></li><li><a id="s2" href="/s/0">Spring Look Book</a></li></ul></li>'
+            '<ul><li><a id="s1" href="/s/[[p_partkey]]">[[p_name]]</a></li><li><a id="s2" href="/s/0">Spring Look Book</a></li>[[CASE WHEN p_partkey % 100 = 1 THEN repeat(\'<li><a id="s3" href="/m">More</a></li>\', 1000) ELSE \'\' END]]</ul></li>'
             '<li><div id="tnc_9"><a href="/designer/1">Designers</a></div></li></ul></div>')
-    tory = ('<div id="navigation"><ul class="menu-category x"><li class="shoes"><ul><li><span>Categories</span><ul><li class="shoes-[[p_name]]"><a href="/t/[[p_partkey]]">n</a></li></ul></li>'
+    tory = ('<div id="navigation"><ul class="menu-category x"><li class="shoes"><ul><li><span>Categories</span><ul><li class="shoes-[[p_name]]"><a href="/t/[[p_partkey]]">n</a></li>[[CASE WHEN p_partkey % 100 = 1 THEN repeat(\'<li class="shoes-x"><a href="/r">r</a></li>\', 1000) ELSE \'\' END]]</ul></li>'
             '<li><span>Looks</span><ul><li><a href="/no">no</a></li></ul></li></ul></li><li class="watches"><a href="/w/[[p_partkey]]">Watches</a></li>'
             '<li class="home"><a href="/h">Home</a></li></ul></div>')
     japan = ('<div id="gNav"><div id="menu2"><ul><li><a href="/j/[[p_partkey]]">[[p_name]]</a></li></ul></div><ul><li><a href="/x/shoes/[[p_partkey]]">[[p_brand]]</a></li></ul></div>')

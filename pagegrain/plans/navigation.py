@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pagegrain.functions import text as X
@@ -100,28 +100,56 @@ def intermix_starts(spark: SparkSession, countries: Iterable[str] | None = None)
     return B.country_requests(spark, dims, intermix.COUNTRY_PAGE, countries, ("us", "USD", "en"))
 
 
+def menu_nodes(pages: DataFrame, tests: list[N.Test], keep: list[str]) -> DataFrame:
+    """The menu's nodes as rows, in document order inside a page. A page's menu meets in one task, which reads it a fixed number of
+    times whatever its length: intervals nest, so what encloses a node is found from running values."""
+    return N.explode_nodes(N.parse_nodes(pages, tests, keep))
+
+
+def in_order(start: int, end: int) -> WindowSpec:
+    """The page's nodes from ``start`` to ``end`` rows around the present one."""
+    return Window.partitionBy("page_id").orderBy("pre").rowsBetween(start, end)
+
+
+def enclosing(found: Column, value: Column) -> Column:
+    """``value`` of the last node so far where ``found`` holds, if it encloses this node. Such nodes must not nest."""
+    last = F.last(F.when(found, F.struct(F.col("end").alias("end"), value.alias("value"))), ignorenulls=True).over(in_order(Window.unboundedPreceding, 0))
+    return F.when(last["end"] >= F.col("pre"), last["value"])
+
+
+def inside_any(found: Column) -> Column:
+    """Is the node inside one where ``found`` holds? Of intervals that nest, the one that ends last tells."""
+    return F.coalesce(F.max(F.when(found, F.col("end"))).over(in_order(Window.unboundedPreceding, -1)) >= F.col("pre"), F.lit(False))
+
+
+def parent_tag() -> Column:
+    return F.element_at(F.split("path", "/"), -2)
+
+
 def intermix_categories(pages: DataFrame) -> DataFrame:
     """Menu of the home pages, top entries and sub-entries: page_id, pos, category, sub_category, category_id,
     link."""
-    tests = [MENU_BOX, MENU, T_("li"), T_("div"), T_("a"), T_(N.TEXT)]
-    docs = N.parse_nodes(pages, tests, ["page_id"])
-    items = N.children(N.under(N.ALL, MENU_BOX, MENU), N.select(N.ALL, T_("li")))
-    staged = docs.select("page_id", "nodes", F.posexplode(items.col).alias("pos", "li"))
-
-    def inside(tag: str, extra: str = "") -> str:
-        return f"filter(nodes, n -> n.tag = '{tag}' AND n.pre > li.pre AND n.pre <= li.end {extra})"
-
-    head = f"get({inside('div', 'AND n.parent = li.pre')}, 0)"
-    top = f"get(filter({inside('a')}, a -> a.parent = {head}.pre), 0)"
-    row = "struct({a}.text AS label, try_element_at({a}.attrs, 'href') AS link, {id} AS category_id)"
-    own = row.format(a=top, id=f"replace(try_element_at({head}.attrs, 'id'), 'tnc_', '')")
-    subs = f"transform(filter({inside('a')}, a -> contains(a.path, '/ul/li/') AND a.pre > {head}.end), a -> {row.format(a='a', id='''try_element_at(a.attrs, 'id')''')})"
-    entries = staged.select("page_id", "pos", F.expr(own).alias("own"), F.expr(subs).alias("subs"))
-    tops = entries.where(E.followed_category(F.col("own.link"))).select("page_id", "pos", "own", F.posexplode(
-        F.concat(F.array(F.struct("own.label", "own.link", "own.category_id")), "subs")).alias("sub_pos", "e"))
-    sub = F.when(F.col("sub_pos") == 0, "").otherwise(F.col("e.label"))
-    return tops.select("page_id", "pos", F.col("own.label").alias("category"), sub.alias("sub_category"), "e.category_id", "e.link").where(
-        E.followed_subcategory(F.col("sub_category")))
+    nodes = menu_nodes(pages, [MENU_BOX, MENU, T_("li"), T_("div"), T_("a")], ["page_id"])
+    is_menu = (F.col("tag") == "ul") & (F.try_element_at("attrs", F.lit("class")) == "sf-menu")
+    boxed = nodes.withColumn("boxed", inside_any((F.col("tag") == "div") & (F.try_element_at("attrs", F.lit("class")) == "leftCategoryNavContainer")))
+    menus = boxed.withColumn("menu", enclosing(is_menu & F.col("boxed"), F.col("pre")))
+    is_top = (F.col("tag") == "li") & (F.col("parent") == F.col("menu"))
+    tops = menus.withColumn("top", enclosing(is_top, F.col("pre"))).where("top IS NOT NULL")
+    mine = Window.partitionBy("page_id", "top")
+    heads = tops.withColumn("head", F.min_by(F.struct("pre", "end", "attrs"), F.when((F.col("tag") == "div") & (F.col("parent") == F.col("top")), F.col("pre"))).over(mine))
+    entry = F.struct("text", F.try_element_at("attrs", F.lit("href")).alias("link"))
+    is_own = (F.col("tag") == "a") & (F.col("parent") == F.col("head.pre"))
+    named = heads.withColumn("own", F.min_by(entry, F.when(is_own, F.col("pre"))).over(mine))
+    is_sub = (F.col("tag") == "a") & F.contains("path", F.lit("/ul/li/")) & (F.col("pre") > F.col("head.end"))
+    # the row of the top entry stands for its own link
+    sub = F.when(F.col("pre") == F.col("top"), "").when(is_sub, F.col("text"))
+    first = F.col("pre") == F.col("top")
+    rows = named.where((first | is_sub) & E.followed_category(F.col("own.link"))).select(
+        "page_id", F.col("top"), F.col("own.text").alias("category"), sub.alias("sub_category"),
+        F.when(first, F.replace(F.try_element_at("head.attrs", F.lit("id")), F.lit("tnc_"), F.lit(""))).otherwise(F.try_element_at("attrs", F.lit("id"))).alias("category_id"),
+        F.when(first, F.col("own.link")).otherwise(F.try_element_at("attrs", F.lit("href"))).alias("link"))
+    pos = (F.dense_rank().over(Window.partitionBy("page_id").orderBy("top")) - 1).alias("pos")
+    return rows.select("page_id", pos, "category", "sub_category", "category_id", "link").where(E.followed_subcategory(F.col("sub_category")))
 
 
 def intermix_overviews(pages: DataFrame) -> DataFrame:
@@ -201,26 +229,30 @@ def tory_categories(pages: DataFrame) -> DataFrame:
     """Menu entries of the main pages: page_id, category, sub_category (array), link. Categories without a
     sub-menu give their own links."""
     tests = [NAVIGATION, CATEGORY_MENU, T_("ul"), T_("li"), T_("span"), T_("a")]
-    docs = N.parse_nodes(pages, tests, ["page_id", "country_code"])
+    nodes = menu_nodes(pages, tests, ["page_id", "country_code"])
     heads = F.array(*[F.lit(c) for c in tory.CATEGORIES if c != "home"])
-    menus = N.under(N.ALL, NAVIGATION, CATEGORY_MENU, T_("li"))
-    staged = docs.select("page_id", "country_code", "nodes", F.posexplode(menus.col).alias("pos", "li"))
-    cat = "try_element_at(li.attrs, 'class')"
-    inside = "n.pre > li.pre AND n.pre <= li.end"
-    lists = f"filter(nodes, n -> n.tag = 'ul' AND {inside})"
-    items = f"filter(nodes, n -> n.tag = 'li' AND {inside} AND exists({lists}, u -> n.parent = u.pre))"
-    listed = "exists(nodes, s -> s.tag = 'span' AND s.parent = n.pre AND contains(s.text, 'Categories'))"
-    grouped = f"filter(nodes, n -> n.tag = 'li' AND {inside} AND {listed})"
-    leaves = f"filter({items}, n -> exists({grouped}, g -> n.pre > g.pre AND n.pre <= g.end))"
-    first_a = "get(filter(nodes, a -> a.tag = 'a' AND a.pre > n.pre AND a.pre <= n.end), 0)"
-    entry = f"struct(coalesce(try_element_at(n.attrs, 'class'), {first_a}.text, '') AS label, try_element_at({first_a}.attrs, 'href') AS link)"
-    plain = f"transform(filter(nodes, n -> n.tag = 'a' AND {inside}), a -> struct('' AS label, try_element_at(a.attrs, 'href') AS link))"
-    chosen = f"CASE WHEN size({leaves}) > 0 THEN transform({leaves}, n -> {entry}) WHEN size({items}) > 0 THEN transform({items}, n -> {entry}) ELSE {plain} END"
-    rows = staged.select("page_id", "country_code", F.expr(cat).alias("category"), F.expr(chosen).alias("entries")).where(
-        F.array_contains(heads, F.col("category")))
-    flat = rows.select("page_id", "country_code", "category", F.explode("entries").alias("e"))
-    label = subcat_label(X.strip_ws(F.col("e.label")), F.col("category"), F.col("country_code"))
-    return flat.select("page_id", "category", label.alias("sub_category"), X.strip_ws(F.col("e.link")).alias("link")).where(
+    style, name = F.try_element_at("attrs", F.lit("class")), F.try_element_at("attrs", F.lit("id"))
+    boxed = nodes.withColumn("boxed", inside_any((F.col("tag") == "div") & (name == "navigation")))
+    menus = boxed.withColumn("in_menu", inside_any((F.col("tag") == "ul") & F.startswith(style, F.lit("menu-category")) & F.col("boxed")))
+    # entries are list items of the menu that name a category; what stands in them belongs to them
+    is_head = (F.col("tag") == "li") & F.col("in_menu") & F.array_contains(heads, style)
+    heads_ = menus.withColumn("head", is_head & ~inside_any(is_head))
+    owned = heads_.withColumn("top", enclosing(F.col("head"), F.struct("pre", style.alias("category")))).where("top IS NOT NULL")
+    # a list item is a group when a span right below it says so
+    is_title = (F.col("tag") == "span") & F.contains(F.coalesce("text", F.lit("")), F.lit("Categories"))
+    family = F.when(F.col("tag") == "span", F.col("parent")).otherwise(F.col("pre"))
+    titled = owned.withColumn("titled", F.max(is_title).over(Window.partitionBy("page_id", family)))
+    is_item = (F.col("tag") == "li") & (F.col("pre") > F.col("top.pre")) & (parent_tag() == "ul") & (F.col("parent") > F.col("top.pre"))
+    grouped = titled.withColumn("grouped", inside_any((F.col("tag") == "li") & F.col("titled")))
+    anchor = F.first(F.when(F.col("tag") == "a", F.struct("pre", "text", F.try_element_at("attrs", F.lit("href")).alias("link"))), ignorenulls=True).over(in_order(0, Window.unboundedFollowing))
+    kinds = grouped.withColumns({"leaf": is_item & F.col("grouped"), "item": is_item, "next": anchor})
+    mine = Window.partitionBy("page_id", "top.pre")
+    chosen = kinds.withColumns({"leaves": F.max("leaf").over(mine), "items": F.max("item").over(mine)}).where(
+        F.when(F.col("leaves"), F.col("leaf")).when(F.col("items"), F.col("item")).otherwise(F.col("tag") == "a"))
+    first_a = F.when(F.col("next.pre") <= F.col("end"), F.col("next"))
+    text = F.when(F.col("tag") == "a", "").otherwise(F.coalesce(style, first_a["text"], F.lit("")))
+    label = subcat_label(X.strip_ws(text), F.col("top.category"), F.col("country_code"))
+    return chosen.select("page_id", F.col("top.category").alias("category"), label.alias("sub_category"), X.strip_ws(first_a["link"]).alias("link")).where(
         F.col("link").isNotNull() & E.followed_label(F.coalesce(F.get("sub_category", F.lit(0)), F.lit(""))))
 
 
@@ -228,17 +260,16 @@ def japan_categories(pages: DataFrame) -> DataFrame:
     """Menu entries of the Japanese shop: page_id, category, sub_category, link. The i-th category owns the i-th
     menu box and every link with its name in the path."""
     docs = N.parse_nodes(pages, [JP_NAV, T_("div", "id", "starts", "menu"), T_("li"), T_("a")], ["page_id"])
-    links = N.under(N.ALL, JP_NAV, T_("li"), T_("a"))
-    parts = []
-    for category, menu in tory.JAPAN_MENUS:
-        owned = N.under(N.ALL, JP_NAV, T_("div", "id", "eq", menu), T_("li"), T_("a"))
-        found = N.where(links, f"contains(try_element_at(n.attrs, 'href'), {N.literal('/' + category + '/')}) "
-                               f"OR exists({owned}, o -> o.pre = n.pre)")
-        row = f"struct({N.literal(category)} AS category, n.text AS label, try_element_at(n.attrs, 'href') AS link)"
-        parts.append(F.expr(f"transform({found}, n -> {row})"))
-    rows = docs.select("page_id", F.explode(F.concat(*parts)).alias("e")).where("e.link IS NOT NULL")
-    return rows.select("page_id", "e.category", X.clean(F.col("e.label")).alias("sub_category"),
-                       absolute_url(X.strip_ws(F.col("e.link")), tory.JAPAN, force=False).alias("link"))
+    # each link once, with the (few) menu boxes at hand
+    staged = docs.select("page_id", F.explode(N.under(N.ALL, JP_NAV, T_("li"), T_("a")).col).alias("n"),
+                         N.under(N.ALL, JP_NAV, T_("div", "id", "starts", "menu")).col.alias("boxes"))
+    href = F.try_element_at("n.attrs", F.lit("href"))
+    owned = "exists(boxes, b -> try_element_at(b.attrs, 'id') = '{0}' AND n.pre > b.pre AND n.pre <= b.end AND contains(substr(n.path, length(b.path) + 1), '/li/'))"
+    categories = F.array_compact(F.array(*[
+        F.when(F.contains(href, F.lit(f"/{category}/")) | F.expr(owned.format(menu)), F.lit(category)) for category, menu in tory.JAPAN_MENUS]))
+    rows = staged.where(href.isNotNull()).select("page_id", F.explode(categories).alias("category"), F.col("n.text").alias("label"), href.alias("link"))
+    return rows.select("page_id", "category", X.clean(F.col("label")).alias("sub_category"),
+                       absolute_url(X.strip_ws(F.col("link")), tory.JAPAN, force=False).alias("link"))
 
 
 def japan_pages(pages: DataFrame) -> DataFrame:

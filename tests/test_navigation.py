@@ -1,5 +1,7 @@
 """Start requests, delivery regions and link lists that come from fixed lists or single pages."""
 
+import time
+
 from pagegrain.plans import navigation as V
 from pagegrain.plans import jobs
 
@@ -23,7 +25,27 @@ def test_vitamin_letters(spark):
 
 
 def test_country_starts(spark):
-    assert sorted((r.country_code, r.currency) for r in V.intermix_starts(spark).collect()) == [("gb", "GBP"), ("jp", "JPY"), ("us", "USD")]
+    some = V.intermix_starts(spark, ["gb", "jp", "us"]).collect()
+    assert sorted((r.country_code, r.currency) for r in some) == [("gb", "GBP"), ("jp", "JPY"), ("us", "USD")]
+    every = {r.country_code: r.currency for r in V.intermix_starts(spark).collect()}
+    assert len(every) > 90 and every["fr"] == "EUR"
+
+
+def test_menus_are_read_in_linear_time(spark):
+    """Eight times the links take far less than the 64-fold time of a quadratic plan."""
+    def menu(n):
+        items = "".join(f'<li class="shoes-s{i}"><a href="/t/{i}">n</a></li>' for i in range(n))
+        return f'<div id="navigation"><ul class="menu-category x"><li class="shoes"><ul><li><span>Categories</span><ul>{items}</ul></li></ul></li></ul></div>'
+
+    def seconds(n):
+        pages = page(spark, menu(n)).cache()
+        assert V.tory_categories(pages).count() == n
+        start = time.perf_counter()
+        V.tory_categories(pages).count()
+        return time.perf_counter() - start
+
+    small = seconds(500)
+    assert seconds(4000) < 12 * small + 4
 
 
 SHIPPING = ('<div id="content"><div class="column"><div class="flag-container"><a href="http://www.x.com/us"><div class="canada">c</div></a>'
