@@ -1,8 +1,17 @@
 """The queries of this package, and their SQL where SQL can express them."""
 
-import corpus_pipeline
+from pyspark.sql import DataFrame, SparkSession
+
 from pagegrain.llm import language, maxscore, near_dedup, packing, pii, piece_codec, quality_rules, sharding, token_orc, warc
 
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this package
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_bbit_minhash": near_dedup.op2_bbit_minhash,
@@ -14,7 +23,7 @@ QUERIES = {
     "op8_decision_list": quality_rules.op8_decision_list,
     "op9_piece_codec": piece_codec.op9_piece_codec,
     "op10_language": language.op10_language,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
