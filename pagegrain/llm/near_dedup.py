@@ -126,7 +126,8 @@ def sketch(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def full_sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(rows):
         sets = [np.sort(shingles(t).view(np.int64)) for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "set"])
+        rows_ = pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "set"])
+        yield rows_.filter(pa.array([len(s) > 0 for s in sets]))
 
 
 def within_reach(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,7 +295,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     measured = (pairs.join(sig.select(F.col("id").alias("ia"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa")), F.col("a") == F.col("ia"))
                 .join(sig.select(F.col("id").alias("ib"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb")), F.col("b") == F.col("ib"))
                 .where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select("a", "b", "sa", "sb"))
-    links = written(confirmed(measured.mapInArrow(within_reach, "a bigint, b bigint"), sets), "links")
+    links = written(confirmed(measured.mapInArrow(within_reach, "a bigint, b bigint"), sets).unionAll(same_id(sketches, classes)), "links")
     comps = components(links)
     links = links.unionAll(written(confirmed(crossing(shared, chosen, comps, BEST), sets), "links"))
     comps = components(links)
@@ -308,6 +309,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def same_id(sketches: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of rows that share an id but not a set."""
+    known = sketches.where("digest IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "digest")
+    twice = known.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select(F.col("doc_id").alias("t"))
+    both = known.join(twice, F.col("doc_id") == F.col("t"), "left_semi").join(classes.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d"))
+    return both.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
+
+
 def linked(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between the rows of each unit, compared on their full sets inside the unit: no pair is a row before it is a link."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -146,6 +146,9 @@ def test_near_duplicates_have_all_links(spark, odd, empty):
         texts.append(" ".join(f"c{j}" for j in range(6 * i, 6 * i + 100)))
     texts += [" ".join(rng.choice(vocabulary, 60)) for _ in range(60)] + ["A b", "a  B", "a b c", ""]
     table = [r[:2] for r in rows(*texts, start=100)] + [(r["doc_id"], r["text"]) for r in odd.collect()]
+    # one id with three texts: each of them links it
+    table += [(5000, " ".join(f"p{j}" for j in range(90))), (5000, ""), (5000, " ".join(f"q{j}" for j in range(90))),
+              (5001, " ".join(f"q{j}" for j in range(3, 90))), (4999, " ".join(f"p{j}" for j in range(90)))]
     docs = clash(spark.createDataFrame(table, "doc_id bigint, text string"), "id", "rep", "comp", "digest", "kept")
     found = near_dedup.near_duplicates(docs).collect()
     want = brute_components(table)
