@@ -303,7 +303,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = components(links)
     comps = written(comps, "components")
     rep = (sketches.select("doc_id", "n_shingles", "digest").join(classes.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d"), "left")
-           .join(comps.withColumnRenamed("comp", "c"), F.col("rep") == F.col("id"), "left"))
+           .join(comps.withColumnRenamed("comp", "c"), F.coalesce("rep", "doc_id") == F.col("id"), "left"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "rep", "doc_id"))
     return (rep.select("doc_id", "n_shingles", component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
