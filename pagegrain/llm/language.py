@@ -64,18 +64,18 @@ def features(text: str) -> np.ndarray:
 
 def machine(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, c: float = 10.0) -> np.ndarray:
     """Linear support vector machine (dual coordinate descent, squared hinge); the last weight is the bias. ``y`` is 1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
-    w, a = np.zeros(x.shape[1]), np.zeros(len(x))
+    w, bias, a = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(len(x))
     share = np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum())))
-    diagonal = (x * x).sum(axis=1) + 1 / (2 * c * share)
+    diagonal = np.einsum("ij,ij->i", x, x).astype(np.float64) + 1 + 1 / (2 * c * share)
     rng = np.random.default_rng(7)
     for _ in range(epochs):
         for i in rng.permutation(len(x)):
-            step = max(a[i] - (y[i] * (x[i] @ w) - 1 + a[i] / (2 * c * share[i])) / diagonal[i], 0.0) - a[i]
+            step = max(a[i] - (y[i] * (float(x[i] @ w) + bias) - 1 + a[i] / (2 * c * share[i])) / diagonal[i], 0.0) - a[i]
             if step:
                 a[i] += step
-                w += step * y[i] * x[i]
-    return w
+                w += np.float32(step * y[i]) * x[i]
+                bias += step * y[i]
+    return np.append(w, np.float32(bias))
 
 
 class Model:
@@ -97,7 +97,7 @@ class Model:
 
     def predict(self, x: np.ndarray) -> tuple[str, float]:
         """Language, and the product of the two steps' sigmoid confidences."""
-        x = np.append(x, 1.0)
+        x = np.append(x, np.float32(1))
         family, sure = self.families[0] if self.families else UNKNOWN, 1.0
         if self.between is not None:
             margins = self.between @ x
@@ -129,7 +129,7 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
     labelled = docs.where(learn & F.col("lang").isNotNull())
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        return Model(np.zeros((0, BUCKETS)), [])
+        return Model(np.zeros((0, BUCKETS), np.float32), [])
     share = F.lit(0.0)
     for lang, n in sorted(counts.items()):
         share = F.when(F.col("lang") == lang, min(1.0, sample / n)).otherwise(share)
@@ -137,7 +137,10 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
     rows = (labelled.where(drawn & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang")
             .mapInArrow(measured, "x binary, lang string").collect())
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    return Model(np.array([np.frombuffer(r["x"], np.float32) for r in rows]).reshape(len(rows), BUCKETS), [r["lang"] for r in rows])
+    langs, x = [r["lang"] for r in rows], np.empty((len(rows), BUCKETS), np.float32)
+    for i in range(len(rows)):
+        x[i], rows[i] = np.frombuffer(rows[i]["x"], np.float32), None  # one copy at a time
+    return Model(x, langs)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

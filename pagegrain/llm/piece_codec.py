@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagegrain.llm.common import ChunkTable, batches, filled, process_tables, ship, table
+from pagegrain.llm.common import ChunkTable, filled, process_tables, ship, table
 
 ship(__name__)
 
