@@ -12,7 +12,6 @@ from pagegrain.operators import aggregates as G
 from pagegrain.operators import joins as J
 from pagegrain.operators import nested, quality, sets
 from pagegrain.operators import windows as H
-from pagegrain.session import scratch_path
 
 LONG = "bigint"
 
