@@ -297,10 +297,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 .where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select("a", "b", "sa", "sb"))
     links = written(confirmed(measured.mapInArrow(within_reach, "a bigint, b bigint"), sets).unionAll(same_id(sketches, classes)), "links")
     comps = components(links)
-    links = links.unionAll(written(confirmed(crossing(shared, chosen, comps, BEST), sets), "links"))
-    comps = components(links)
-    links = links.unionAll(written(linked(crossing(shared, chosen, comps, None), sets), "links"))
-    comps = components(links)
+    more = written(confirmed(crossing(shared, chosen, comps, BEST), sets), "links")
+    if not more.isEmpty():  # no further links, no other components
+        links = links.unionAll(more)
+        comps = components(links)
+    more = written(linked(crossing(shared, chosen, comps, None), sets), "links")
+    if not more.isEmpty():
+        comps = components(links.unionAll(more))
     comps = written(comps, "components")
     rep = (sketches.select("doc_id", "n_shingles", "digest").join(classes.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d"), "left")
            .join(comps.withColumnRenamed("comp", "c"), F.coalesce("rep", "doc_id") == F.col("id"), "left"))
