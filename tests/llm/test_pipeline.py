@@ -33,6 +33,18 @@ def test_language_stage(spark, docs):
     assert rows(out) == sorted((tuple(r) for r in docs.collect() if re.search(r"[^\W\d_]", r["text"] or "")), key=repr)
 
 
+def test_language_stage_drops_unlearned(spark, docs):
+    """Texts in languages that no row is labelled with, and letter junk, go; held-out texts in learned languages stay."""
+    texts = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+             "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+             "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+             "zxqv kjwq xzvk qqjx wvzk jxqk vvkz qxjw zkvx jqwk xvqz kkzj wqxv", "qz" * 20000]
+    odd = spark.createDataFrame([(2 * 10**6 + i, t, None, "s", len(t)) for i, t in enumerate(texts)], DOCS).withColumns(
+        {"score": F.lit("theirs"), "kept": F.lit(7), "spans": F.col("doc_id")})
+    out = STAGE["language"](spark, docs.unionByName(odd), SF)
+    assert rows(out) == rows(STAGE["language"](spark, docs, SF))
+
+
 def test_quality_stage(spark, docs):
     out = STAGE["quality"](spark, docs, SF)
     assert out.columns == docs.columns
