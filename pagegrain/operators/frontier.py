@@ -64,11 +64,11 @@ def shown_pages(body: Column) -> Column:
 
 
 def page_count(kind: Column, shown: Column | None = None, assumed: dict[str, int] | None = None) -> Column:
-    """Pages of an overview: as many as it shows, else what is assumed for its kind."""
+    """Pages of an overview: as many as it shows, and at least what is assumed for its kind, since a pager may show a part only."""
     count = F
     for name, n in (PAGES_PER_KIND if assumed is None else assumed).items():
         count = count.when(kind == name, n)
-    return count if shown is None else F.coalesce(shown, count)
+    return count if shown is None else F.greatest(shown, count)
 
 
 def page_urls_fixed(categories: DataFrame, kind: Column, base: Column, shown: Column | None = None,

@@ -82,3 +82,15 @@ def test_job_links_need_a_result_page(spark):
     html = "Search results <a href=jobdetails.aspx?id=1&amp;x=2>a</a>"
     assert [r.url for r in jobs.brassring_links(page(spark, html)).collect()] == ["https://sjobs.brassring.com/TGWebHost/jobdetails.aspx?id=1&x=2"]
     assert jobs.brassring_links(page(spark, html.replace("Search", ""))).count() == 0
+
+
+def test_overviews_whose_pager_shows_a_part(spark):
+    """A next link, a window of numbers or an unrelated link do not make an overview shorter than the usual number of its kind."""
+    def pages_of(html):
+        given = page(spark, html, url="http://p.example/1?cat=c1").selectExpr("*", "array('how we style', 'Other') AS category_path")
+        return V.intermix_overviews(given).count()
+
+    grid, directory = "<script>CurrentCat=5;</script>", '<div id="nDiv"><div class="directoryProductRow2">x</div></div>'
+    for link, more in (('<a href="?page=2">next</a>', 0), ('<a href="?page=1">x</a>', 0), ("", 0), ('<a href="?page=2">2</a><a href="?page=20">last</a>', 20)):
+        assert pages_of(grid + link) == max(10, more) and pages_of(directory + link) == max(13, more)
+        assert V.intermix_report_pages(page(spark, 'id="DirGridCat_7"' + link)).count() == max(9, more)
