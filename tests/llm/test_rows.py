@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -171,6 +172,15 @@ def test_estimate_follows_similarity():
         assert abs(float(near_dedup.similarity(a, b)) - j) < near_dedup.MARGIN
 
 
+def test_estimate_loses_no_more_than_the_bands():
+    """Chances that a pair at the threshold is lost: in the estimate (binomial count of equal minima) and in all bands."""
+    j, chance = near_dedup.PERCENT / 100, 1 / (1 << near_dedup.BITS)
+    equal = chance + (1 - chance) * j
+    need = math.ceil(near_dedup.HASHES * (chance + (1 - chance) * (j - near_dedup.MARGIN)) - 1e-9)
+    lost = sum(math.comb(near_dedup.HASHES, i) * equal**i * (1 - equal) ** (near_dedup.HASHES - i) for i in range(need))
+    assert lost <= (1 - j**near_dedup.BAND_ROWS) ** near_dedup.BANDS
+
+
 # --- 3
 
 def test_token_files_round_trip(spark, odd, empty, tmp_path):
