@@ -1,8 +1,8 @@
 """Packing by non-negative least squares over length combinations.
 
-Documents are cut into pieces of one window at most. Piece lengths are counted in steps; every way to fill the window
+Documents are cut into pieces of one window at most. For least squares their lengths are counted in steps; every way to fill the window
 with up to three lengths is a pattern. Least squares with non-negative repeat counts fits the patterns to the histogram; the counts
-are rounded down, and what they leave is packed greedily, longest first. All of that sees the histogram only, whose size
+are rounded down, and what they leave is packed greedily by exact length, longest first. All of that sees the histogram only, whose size
 is that of the window. Pieces then find their place by their rank among the pieces of their length.
 """
 
@@ -79,7 +79,7 @@ def least_squares(a: np.ndarray, y: np.ndarray, rounds: int = 2000) -> np.ndarra
     return x
 
 
-def patterns(histogram: dict[int, int], window: int) -> list[tuple[tuple[int, ...], int]]:
+def patterns(histogram: dict[int, int], window: int, step: int = 1) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of one sequence, number of such sequences), using every piece of the histogram exactly once."""
     left = Counter({k: v for k, v in histogram.items() if v})
     out = []
@@ -91,22 +91,43 @@ def patterns(histogram: dict[int, int], window: int) -> list[tuple[tuple[int, ..
             out.append((lengths, n))
             left.subtract({k: n * m for k, m in need.items()})
 
-    ways = [c for c in combinations(window) if all(left[k] for k in c)]
+    # exact lengths by their size in steps, longest last
+    sizes: dict[int, list[int]] = {}
+    for k in sorted(left):
+        sizes.setdefault(-(-k // step), []).append(k)
+    steps = window // step
+    ways = [c for c in combinations(steps) if all(k in sizes for k in c)]
     if ways:
-        weight = np.where(np.arange(1, window + 1) < window // 8, SHORT_WEIGHT, 1.0)
-        a = np.zeros((window, len(ways)))
+        weight = np.where(np.arange(1, steps + 1) < steps // 8, SHORT_WEIGHT, 1.0)
+        a = np.zeros((steps, len(ways)))
         for j, c in enumerate(ways):
             for k in c:
                 a[k - 1, j] += 1
-        y = np.array([left[k] for k in range(1, window + 1)], float)
+        y = np.array([sum(left[k] for k in sizes.get(i, ())) for i in range(1, steps + 1)], float)
         x = least_squares(a * weight[:, None], y * weight)
         for j in np.argsort(-x, kind="stable"):
-            take(ways[j], int(x[j] + 1e-6))
+            n = int(x[j] + 1e-6)
+            while n > 0:
+                # the longest pieces of each size that are left; a pattern is repeated until it uses one of its lengths up
+                lengths, pool = [], Counter()
+                for size in ways[j]:
+                    while sizes[size] and left[sizes[size][-1]] == 0:
+                        sizes[size].pop()
+                    k = next((k for k in reversed(sizes[size]) if left[k] > pool[k]), None)
+                    if k is None:
+                        break
+                    lengths.append(k)
+                    pool[k] += 1
+                if len(lengths) < len(ways[j]):
+                    break
+                before = len(out)
+                take(tuple(lengths), n)
+                n -= out[before][1]
     while left := +left:
         # longest first; each pattern is repeated until it uses one of its lengths up
-        fill, room, pool = [], window, Counter(left)
-        for k in sorted(pool, reverse=True):
-            n = min(room // k, pool[k])
+        fill, room = [], window
+        for k in sorted(left, reverse=True):
+            n = min(room // k, left[k])
             fill += [k] * n
             room -= n * k
         take(tuple(fill), 1 << 62)
@@ -134,11 +155,11 @@ def pack(pieces: DataFrame, window: int = WINDOW, step: int = STEP) -> DataFrame
     """
     if window % step:
         raise ValueError("the window must be a multiple of the step")
-    sized = pieces.drop("ids").withColumn("__size", F.ceil(F.col("length") / step).cast("int"))
-    # as many rows as the window has steps
+    sized = pieces.drop("ids").withColumn("__size", F.col("length").cast("int"))
+    # as many rows as the window has tokens
     histogram = {r["__size"]: r["n"] for r in sized.groupBy("__size").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = pieces.sparkSession.createDataFrame(
-        list(places(patterns(histogram, window // step)).items()),
+        list(places(patterns(histogram, window, step)).items()),
         "__length int, __places array<struct<to:bigint,from:bigint,sequence:bigint,times:bigint,slot:bigint>>")
     within = Window.partitionBy("sequence_id").orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
     return (ranked(sized, "__size", F.xxhash64("doc_id", "start", "ids_crc32"), ["doc_id", "start", "ids_crc32", "piece_id"], sum(histogram.values()))

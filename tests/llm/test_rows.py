@@ -269,6 +269,21 @@ def test_packing_holds_every_id_once(spark, odd, empty):
     assert packing.pack(none).count() == 0
 
 
+def test_short_pieces_fill_their_sequences(spark):
+    short = [(i, 0, 1 + 7 * (i % 2), 1, None, i, i) for i in range(6000)]
+    pieces = spark.createDataFrame(short, packing.PIECES + ", ids_crc32 bigint, piece_id bigint")
+    packed = packing.pack(pieces).collect()
+    assert Counter(r["doc_id"] for r in packed) == Counter(range(6000))
+    by_sequence = defaultdict(list)
+    for r in packed:
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in by_sequence.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) <= packing.WINDOW
+    assert len(by_sequence) == -(-(3000 * 9) // packing.WINDOW)
+
+
 def test_least_squares_fits_and_stays_positive():
     a = np.array([[1.0, 0, 2], [0, 1, 1], [1, 1, 0]])
     x = packing.least_squares(a, a @ np.array([3.0, 0, 2]))
