@@ -7,6 +7,8 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -93,3 +95,24 @@ def batches(rows: Iterator) -> Iterator[dict]:
     """Arrow record batches as dictionaries of columns."""
     for batch in filled(rows):
         yield {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+
+
+def whole_units(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by ``unit`` as tables that hold all rows of their units, and where the units start and end in them."""
+    def closed(parts: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        unit = t["unit"].to_numpy()
+        return t, np.append(np.flatnonzero(np.append(True, unit[1:] != unit[:-1])), len(unit))
+
+    held: list[pa.RecordBatch] = []
+    for batch in filled(rows, 8192):
+        at = batch.schema.get_field_index("unit")
+        unit = batch.column(at).to_numpy(zero_copy_only=False)
+        last = int(np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))[-1])
+        if last or (held and held[-1].column(at)[0].as_py() != unit[0]):
+            if whole := [*held, *([batch.slice(0, last)] if last else [])]:
+                yield closed(whole)
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield closed(held)

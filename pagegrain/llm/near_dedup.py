@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagegrain.llm.common import batches, filled, ship, table, written
+from pagegrain.llm.common import batches, ship, table, whole_units, written
 
 ship(__name__)
 
@@ -139,27 +139,6 @@ def within_reach(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep))
 
 
-def whole_units(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Rows sorted by ``unit`` as tables that hold all rows of their units, and where the units start and end in them."""
-    def closed(parts: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
-        t = pa.Table.from_batches(parts).combine_chunks()
-        unit = t["unit"].to_numpy()
-        return t, np.append(np.flatnonzero(np.append(True, unit[1:] != unit[:-1])), len(unit))
-
-    held: list[pa.RecordBatch] = []
-    for batch in filled(rows, 8192):
-        at = batch.schema.get_field_index("unit")
-        unit = batch.column(at).to_numpy(zero_copy_only=False)
-        last = int(np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))[-1])
-        if last or (held and held[-1].column(at)[0].as_py() != unit[0]):
-            if whole := [*held, *([batch.slice(0, last)] if last else [])]:
-                yield closed(whole)
-            held = []
-        held.append(batch.slice(last))
-    if held:
-        yield closed(held)
-
-
 def estimated(best: int | None):
     """A unit is two blocks, ``left`` (true) and the others. Estimates all its pairs across components.
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagegrain.llm import language, maxscore, near_dedup, packing, pii, piece_codec, quality_rules, sharding, token_orc, warc
+from pagegrain.llm import language, maxscore, near_dedup, packing, passages, pii, piece_codec, quality_rules, sharding, token_orc, warc
 
 
 
@@ -23,6 +23,7 @@ QUERIES = {
     "op8_decision_list": quality_rules.op8_decision_list,
     "op9_piece_codec": piece_codec.op9_piece_codec,
     "op10_language": language.op10_language,
+    "op11_fm_passages": passages.op11_fm_passages,
     "pipeline": pipeline,
 }
 
@@ -30,4 +31,5 @@ ORACLES: dict[str, str] = {
     "op2_bbit_minhash": near_dedup.ORACLE_SQL,
     "op6_maxscore": maxscore.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
+    "op11_fm_passages": passages.ORACLE_SQL,
 }
