@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagegrain.llm import language, maxscore, near_dedup, packing, passages, pii, piece_codec, quality_rules, sharding, token_orc, warc
+from pagegrain.llm import language, maxscore, near_dedup, packing, passages, pii, piece_codec, quality_rules, sharding, token_orc, turn_repair, warc
 
 
 
@@ -24,6 +24,7 @@ QUERIES = {
     "op9_piece_codec": piece_codec.op9_piece_codec,
     "op10_language": language.op10_language,
     "op11_fm_passages": passages.op11_fm_passages,
+    "op12_turn_repair": turn_repair.op12_turn_repair,
     "pipeline": pipeline,
 }
 
@@ -32,4 +33,5 @@ ORACLES: dict[str, str] = {
     "op6_maxscore": maxscore.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
     "op11_fm_passages": passages.ORACLE_SQL,
+    "op12_turn_repair": turn_repair.ORACLE_SQL,
 }
