@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagegrain.llm import language, maxscore, near_dedup, packing, passages, pii, piece_codec, quality_rules, sharding, token_orc, turn_repair, warc
+from pagegrain.llm import language, maxscore, near_dedup, packing, passages, pii, piece_codec, prefix_trie, quality_rules, sharding, token_orc, turn_repair, warc
 
 
 
@@ -25,6 +25,7 @@ QUERIES = {
     "op10_language": language.op10_language,
     "op11_fm_passages": passages.op11_fm_passages,
     "op12_turn_repair": turn_repair.op12_turn_repair,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     "pipeline": pipeline,
 }
 
@@ -34,4 +35,5 @@ ORACLES: dict[str, str] = {
     "op7_warc": warc.ORACLE_SQL,
     "op11_fm_passages": passages.ORACLE_SQL,
     "op12_turn_repair": turn_repair.ORACLE_SQL,
+    "op13_prefix_trie": prefix_trie.ORACLE_SQL,
 }
