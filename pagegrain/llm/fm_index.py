@@ -71,7 +71,7 @@ class FMIndex:
 
         def paired(first: np.ndarray, second: np.ndarray, at: int) -> np.ndarray:
             moved = np.zeros_like(second)
-            moved[:len(second) - at] = second[at:]
+            moved[:max(0, len(second) - at)] = second[at:]
             return np.unique(first * (second.max() + 1) + moved, return_inverse=True)[1]
 
         # ranks by the first 1, 2, 4, ... words; the rest of the depth by the ranks of a power of two

@@ -2,10 +2,10 @@
 
 1. One pass turns each text into its set's digest, 256 minima, their low 4 bits packed into 128 bytes, and 51 band keys.
 2. Documents with equal sets are one class; only a class's smallest id goes on.
-3. In each band bucket every member is paired with the smallest one. The packed signatures estimate the pairs'
-   similarity by bit counts, corrected for chance; pairs within reach of the threshold are confirmed on the sets.
-4. Links give components. A bucket that still holds several components is compared again: its members outside of its largest
-   component with all others, in blocks, so that no task sees a whole bucket; pairs inside a component
+3. In each band bucket every member is paired with the smallest one and with the one that meets most others. The packed signatures
+   estimate the pairs' similarity by bit counts, corrected for chance; pairs within reach of the threshold are confirmed on the sets.
+4. Links give components. Buckets that still hold several components are compared again, all those of one largest component together: members outside
+   of it with all others, in blocks, so that no task sees a whole bucket; pairs inside a component
    need no test. That is done first with each member's best estimates per component, then with all that are within reach, whose
    sets are compared inside the blocks. So the components are those of all candidate pairs, and no bucket is cut off.
 
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagegrain.llm.common import batches, ship, table, whole_units, written
@@ -142,8 +142,7 @@ def within_reach(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def estimated(best: int | None):
     """A unit is two blocks, ``left`` (true) and the others. Estimates all its pairs across components.
 
-    With ``best``: pairs within reach, so many per left member and component. Without: the rows that have a partner within
-    reach, where a pair counts in the first of its common bands only.
+    With ``best``: pairs within reach, so many per left member and component. Without: the rows that have a partner within reach.
     """
     def compared(x: dict[str, np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
         right = np.flatnonzero(~x["left"])
@@ -155,9 +154,7 @@ def estimated(best: int | None):
             estimate = similarity(x["signature"][j], x["signature"][i])
             near = estimate >= PERCENT / 100 - MARGIN
             j, estimate = j[near], estimate[near]
-            if best is None:
-                j = j[(x["bands"][j] == x["bands"][i]).argmax(axis=1) == x["band"][i]] if len(j) else j
-            elif len(j):
+            if best is not None and len(j):
                 order = np.lexsort((-estimate, x["comp"][j]))
                 comps = x["comp"][j][order]
                 starts = np.flatnonzero(np.append(True, comps[1:] != comps[:-1]))
@@ -168,9 +165,7 @@ def estimated(best: int | None):
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, edges in whole_units(rows):
-            x = {"left": t["left"].to_numpy(), "comp": t["comp"].to_numpy(), "id": t["id"].to_numpy(), "band": t["band"].to_numpy(),
-                 "signature": signatures(t["signature"].combine_chunks()),
-                 "bands": t["bands"].combine_chunks().flatten().to_numpy().reshape(len(t), BANDS)}
+            x = {"left": t["left"].to_numpy(), "comp": t["comp"].to_numpy(), "id": t["id"].to_numpy(), "signature": signatures(t["signature"].combine_chunks())}
             keep, a, b = np.zeros(len(t), bool), [], []
             for s, e in zip(edges, edges[1:]):
                 for i, j in compared({k: v[s:e] for k, v in x.items()}):
@@ -271,7 +266,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = written(narrow.join(wanted, F.col("doc_id") == F.col("w"), "left_semi").mapInArrow(full_sets, "doc_id bigint, set array<bigint>"), "sets")
 
     sig = chosen.select("id", "n_shingles", "signature")
-    pairs = shared.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    hubs = centres(shared).withColumnRenamed("key", "k")
+    hubs = shared.where("members > 2").join(hubs, F.col("key") == F.col("k")).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+    pairs = shared.select(F.col("leader").alias("a"), F.col("id").alias("b")).unionAll(hubs).where("a <> b").distinct()
     measured = (pairs.join(sig.select(F.col("id").alias("ia"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa")), F.col("a") == F.col("ia"))
                 .join(sig.select(F.col("id").alias("ib"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb")), F.col("b") == F.col("ib"))
                 .where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select("a", "b", "sa", "sb"))
@@ -308,22 +305,27 @@ def linked(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def crossing(shared: DataFrame, chosen: DataFrame, comps: DataFrame, best: int | None) -> DataFrame:
-    """What is within reach across components in one bucket by the signatures: the best pairs, or the rows of all such pairs."""
+    """What is within reach across components that meet in a bucket, by the signatures: the best pairs, or the rows of all such pairs.
+
+    The buckets with the same largest component are compared together, so a document is dealt once per component that it meets, not once per band.
+    """
     label = comps.select(F.col("id").alias("ci"), "comp")
     rows = (shared.where("members > 2").join(label, F.col("id") == F.col("ci"), "left")
-            .select("id", "band", "key", F.coalesce("comp", "id").alias("comp")))
+            .select("id", "key", F.coalesce("comp", "id").alias("comp")))
     counts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed_ = (counts.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("comps"))
-              .where("comps > 1").select(F.col("key").alias("k"), F.col("most.comp").alias("main"), F.col("all").alias("all_n"), (F.col("all") - F.col("most.n")).alias("left_n")))
-    rows = rows.join(mixed_, F.col("key") == F.col("k"))
+    mixed_ = (counts.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.count(F.lit(1)).alias("comps"))
+              .where("comps > 1").select(F.col("key").alias("k"), F.col("most.comp").alias("main")))
+    met = written(rows.join(mixed_, F.col("key") == F.col("k")).select("main", "id", "comp").distinct(), "met")
+    sizes = met.groupBy(F.col("main").alias("m")).agg(F.count(F.lit(1)).alias("all_n"), F.count_if(F.col("comp") != F.col("main")).alias("left_n"))
+    met = met.join(sizes, F.col("main") == F.col("m"))
     la, lb = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("left_n", "all_n"))
     own = F.xxhash64("id")
-    left = rows.where("comp <> main").select("id", "band", "key", "comp", F.lit(True).alias("left"), F.pmod(own, la).cast("int").alias("i"),
-                                            F.explode(F.sequence(F.lit(0), lb - 1)).alias("j"))
-    right = rows.select("id", "band", "key", "comp", F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0), la - 1)).alias("i"),
-                        F.pmod(own, lb).cast("int").alias("j"))
-    dealt = left.unionByName(right).select("id", "band", "comp", "left", F.xxhash64("key", "i", "j").alias("unit"))
-    wide = dealt.join(chosen.select(F.col("id").alias("si"), "signature", "bands"), F.col("id") == F.col("si")).drop("si")
+    left = met.where("comp <> main").select("main", "id", "comp", F.lit(True).alias("left"), F.pmod(own, la).cast("int").alias("i"),
+                                           F.explode(F.sequence(F.lit(0), lb - 1)).alias("j"))
+    right = met.select("main", "id", "comp", F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0), la - 1)).alias("i"),
+                       F.pmod(own, lb).cast("int").alias("j"))
+    dealt = left.unionByName(right).select("id", "comp", "left", F.xxhash64("main", "i", "j").alias("unit"))
+    wide = dealt.join(chosen.select(F.col("id").alias("si"), "signature"), F.col("id") == F.col("si")).drop("si")
     n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = wide.repartition(n, "unit").sortWithinPartitions("unit")
     if best is None:
@@ -331,11 +333,20 @@ def crossing(shared: DataFrame, chosen: DataFrame, comps: DataFrame, best: int |
     return dealt.mapInArrow(estimated(best), "a bigint, b bigint").distinct()
 
 
+def centres(shared: DataFrame) -> DataFrame:
+    """``key`` and ``hub`` of each bucket: its member that meets most others in all its buckets. In a group of copies that is near their source."""
+    met = shared.groupBy(F.col("id").alias("m")).agg(F.sum("members").alias("met"))
+    return shared.join(met, F.col("id") == F.col("m")).groupBy("key").agg((-F.max(F.struct("met", -F.col("id")))["col2"]).alias("hub"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document is the smallest of its group; a repeated row stays once. Rows without id stay."""
+    """The rows of ``docs`` whose document is the smallest of its group, one row each: of rows that share an id the one with the smallest text
+    (null last) stays. Rows without id stay."""
     found = near_duplicates(docs)
     kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
-    with_id = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    plain = [F.col(f"`{c}`") for c, t in docs.dtypes if c != "text" and not t.startswith(("map", "array", "struct", "variant"))]
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), *plain))
+    with_id = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").withColumn("__place", place).where("__place = 1").drop("__place")
     return with_id.unionByName(docs.where("doc_id IS NULL"))
 
 

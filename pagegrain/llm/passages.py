@@ -1,15 +1,16 @@
 """Repeated passages: every window of 20 words that also starts earlier is removed, found by compressed FM-indexes, one per shard.
 
-1. One pass cuts each text into segments: runs of windows whose least 5-word gram (by hash, the first of equal ones) is at the same place.
+1. Equal texts are one text, at the smallest id; in its copies every window starts earlier.
+2. One pass cuts each text into segments: runs of windows whose least 8-word gram (by hash, the first of equal ones) is at the same place.
    Equal windows have equal least grams, so all occurrences of a window meet in the shard of its gram, and no document has to be
    streamed past every shard. Two equal windows of one text are in two segments.
-2. A gram in one segment only cannot belong to a repeated window: its segment goes no further. Equal segments become one content,
+3. A gram in one segment only cannot belong to a repeated window: its segment goes no further. Equal segments become one content,
    which keeps its first position.
-3. A shard indexes the words of its contents (``fm_index``). The contents are streamed backward through the index; where the matching
+4. A shard indexes the words of its contents (``fm_index``). The contents are streamed backward through the index; where the matching
    statistics reach 20 words, the interval gives the first position of that window in the whole corpus.
-4. A gram with more than ``CROWDED`` contents (a line that stands in many texts) would make one shard too large. The windows of its
+5. A gram with more than ``CROWDED`` contents (a line that stands in many texts) would make one shard too large. The windows of its
    contents are reduced to their first positions by an aggregate on the window's digest, with a partial step before the shuffle.
-5. Each occurrence of a content is covered where its windows' first positions are before its own. The texts concerned are read again and cut.
+6. Each occurrence of a content is covered where its windows' first positions are before its own. The texts concerned are cut.
 
 Positions are ordered by ``doc_id`` (null first), then by word. Segments, contents and windows are never dropped or capped.
 """
@@ -22,28 +23,25 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagegrain.llm import fm_index
+from pagegrain.llm import fm_index  # noqa: F401  shipped with the tasks
 from pagegrain.llm.common import filled, ship, table, whole_units, written
 from pagegrain.llm.fm_index import FMIndex
 
 ship(__name__)
 
 WINDOW = 20
-GRAM = 5
-#: Windows of a segment at most: all hold the same place of its gram.
-LONGEST = WINDOW - GRAM + 1
+GRAM = 8
 #: Contents of a gram up to which they are indexed together, and contents of a shard.
 CROWDED, SHARD = 2048, 8192
-SEGMENTS = "doc_id bigint, row bigint, n_words bigint, whole_sha256 string, pos array<bigint>, gram array<bigint>, digest array<bigint>"
+SEGMENTS = "doc_id bigint, row bigint, mark string, n_words bigint, whole_sha256 string, pos array<bigint>, gram array<bigint>, digest array<bigint>"
 CONTENTS = "gram bigint, digest bigint, crowded boolean, known boolean, doc_id bigint, start bigint, copies bigint, words binary"
 FIRSTS = "gram bigint, digest bigint, docs array<bigint>, starts array<bigint>"
-
-
-def multipliers(n: int, seed: int) -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(seed)).integers(0, 2**63, n, dtype=np.uint64) | np.uint64(1)
+#: ``pos`` is start * 32 + number of windows; a segment has 13 windows at most.
+PLACES = 32
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -56,28 +54,41 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").split() if text else []
 
 
-def numbers(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of the words."""
-    return pd.util.hash_array(np.array(words, dtype=object), categorize=False) if words else np.zeros(0, np.uint64)
+def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, one after the other, and the number of words of each text."""
+    bare = pc.ascii_trim_whitespace(pc.fill_null(texts, ""))
+    words = pc.ascii_split_whitespace(bare)
+    counts = np.where(pc.equal(bare, "").to_numpy(zero_copy_only=False), 0, pc.list_value_length(words).to_numpy(zero_copy_only=False)).astype(np.int64)
+    flat = words.filter(pc.not_equal(bare, "")).flatten()
+    if not len(flat):
+        return np.zeros(0, np.uint64), counts
+    coded = flat.dictionary_encode()
+    each = pd.util.hash_array(np.array(coded.dictionary.cast(pa.large_binary()).to_pylist(), dtype=object), categorize=False)
+    return each[coded.indices.to_numpy()], counts
+
 
+class Digests:
+    """Digests of stretches of the words ``h``: differences of the running sums of a polynomial, shifted to the stretch's own start."""
 
-def digests(h: np.ndarray, starts: np.ndarray, lengths: np.ndarray, seed: int) -> np.ndarray:
-    """Digests of stretches of words: the stretch weighted by fixed multipliers from its own start on."""
-    weights = multipliers(WINDOW + LONGEST, seed)
-    out = lengths.astype(np.uint64)
-    x = mixed(h + weights[0])
-    for i, weight in enumerate(weights[:int(lengths.max(initial=0))]):
-        some = lengths > i
-        out[some] += x[starts[some] + i] * weight
-    return mixed(out)
+    def __init__(self, h: np.ndarray, seed: int):
+        base = int(np.random.Generator(np.random.PCG64(seed)).integers(2**62, 2**63)) * 2 + 1
+        powers = np.full(len(h) + 1, base, np.uint64)
+        powers[0] = 1
+        self.back = np.full(len(h) + 1, pow(base, -1, 2**64), np.uint64)
+        self.back[0] = 1
+        powers, self.back = (np.multiply.accumulate(x) for x in (powers, self.back))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h + np.uint64(seed)) * powers[:-1])])
 
+    def of(self, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[starts + lengths] - self.sums[starts]) * self.back[starts] + lengths.astype(np.uint64))
 
-def segments(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, numbers of windows and least grams of a text's segments."""
+
+def segments(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, numbers of windows and least grams of the segments of texts that stand one after the other."""
     n = len(h) - WINDOW + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    weights = multipliers(GRAM, 11)
+    weights = np.random.Generator(np.random.PCG64(11)).integers(0, 2**63, GRAM, dtype=np.uint64) | np.uint64(1)
     grams = sum(h[i:len(h) - GRAM + 1 + i] * weights[i] for i in range(GRAM))
     least, where = mixed(grams), np.arange(len(grams))
     span, have = WINDOW - GRAM + 1, 1
@@ -86,41 +97,49 @@ def segments(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         right = least[step:] < least[:-step]
         least, where = (np.where(right, x[step:], x[:-step]) for x in (least, where))
         have += step
+    # windows that reach into the next text are none
+    left = np.repeat(np.cumsum(counts), counts)[:n] - np.arange(n)
+    where = np.where(left >= WINDOW, where, -1)
     starts = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
-    return starts, np.diff(np.append(starts, n)), least[starts]
+    ends = np.append(starts[1:], n)
+    real = where[starts] >= 0
+    return starts[real], (ends - starts)[real], least[starts[real]]
+
+
+def lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Lists of 64-bit numbers from their values one after the other and the lists' ends."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(values.astype(np.int64, copy=False)))
 
 
 def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per row: its number of words, the digest of all words, and its segments; ``pos`` is start * 32 + number of windows."""
+    """Per text: its number of words, the digest of all words, and its segments."""
     for batch in filled(rows, 256):
-        n, shas, pos, grams, digest = [], [], [], [], []
-        for text in batch.column("text").to_pylist():
-            words = words_of(text)
-            h = numbers(words)
-            starts, windows, gram = segments(h)
-            n.append(len(words))
-            shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
-            pos.append(starts * 32 + windows)
-            grams.append(gram.view(np.int64))
-            digest.append(digests(h, starts, windows + WINDOW - 1, 12).view(np.int64))
-        lists = [pa.array(x, pa.list_(pa.int64())) for x in (pos, grams, digest)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(n, pa.int64()), pa.array(shas, pa.string()), *lists],
-                                         ["doc_id", "row", "n_words", "whole_sha256", "pos", "gram", "digest"])
+        texts = batch.column("text")
+        h, counts = numbered(texts)
+        starts, windows, gram = segments(h, counts)
+        digest = Digests(h, 12).of(starts, windows + WINDOW - 1)
+        first = np.cumsum(counts) - counts
+        ends = np.searchsorted(starts, first + counts)
+        own = starts - np.repeat(first, np.diff(np.append(0, ends)))
+        shas = [hashlib.sha256(b" ".join(words_of(t))).hexdigest() for t in texts.to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), batch.column("mark"), pa.array(counts), pa.array(shas, pa.string()),
+                                          lists(own * PLACES + windows, ends), lists(gram.view(np.int64), ends), lists(digest.view(np.int64), ends)],
+                                         [c.split()[0] for c in SEGMENTS.split(", ")])
 
 
 def contents_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of the contents whose first occurrence is in these texts."""
     for batch in filled(rows, 64):
-        out: dict[str, list] = {k: [] for k in ("gram", "digest", "crowded", "known", "doc_id", "start", "copies", "words")}
-        for doc, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
-            h = numbers(words_of(text))
-            for w in wanted:
-                start, windows = divmod(w["pos"], 32)
-                row = (w["gram"], w["digest"], w["crowded"], doc is not None, doc or 0, start, w["copies"], h[start:start + windows + WINDOW - 1].tobytes())
-                for column, value in zip(out.values(), row):
-                    column.append(value)
-        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
+        h, counts = numbered(batch.column("text"))
+        wanted = batch.column("wanted")
+        w = wanted.flatten()
+        text = np.repeat(np.arange(len(counts)), pc.list_value_length(wanted).to_numpy(zero_copy_only=False))
+        start, windows = np.divmod(w.field("pos").to_numpy(), PLACES)
+        at = (np.cumsum(counts) - counts)[text] + start
+        words = [h[s:e].tobytes() for s, e in zip(at, at + windows + WINDOW - 1)]
+        doc = batch.column("doc_id").take(pa.array(text))
+        yield pa.RecordBatch.from_arrays([*(w.field(c) for c in ("gram", "digest", "crowded")), doc.is_valid(), doc.fill_null(0), pa.array(start), w.field("copies"),
+                                          pa.array(words, pa.binary())], [c.split()[0] for c in CONTENTS.split(", ")])
 
 
 def spans(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,22 +167,15 @@ def searched(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = FMIndex(words, lengths, WINDOW)
             index.least(rank)
             found, at_row = index.statistics(words, lengths)
-            first = np.where(found >= WINDOW, index.smallest_at(at_row), rank)
-            # positions that are equal (rows that share an id) are no earlier ones
-            moved = (owner[order[first]] != owner) & (found >= WINDOW)
-            tells = (copies > 1) | np.bincount(owner, moved, len(lengths)).astype(bool)
-            source = order[first]
-            keys = [unit[c].to_numpy() for c in ("gram", "digest")]
-            out: list[list] = [[], [], [], []]
-            for i in np.flatnonzero(tells):
-                from_ = source[at[i]:at[i] + lengths[i] - WINDOW + 1]
-                out[0].append(keys[0][i])
-                out[1].append(keys[1][i])
-                out[2].append([int(doc[o]) if known[o] else None for o in owner[from_]])
-                out[3].append(start[owner[from_]] + place[from_])
-            if out[0]:
-                kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], ["gram", "digest", "docs", "starts"])
+            source = order[np.where(found >= WINDOW, index.smallest_at(at_row), rank)]
+            tells = (copies > 1) | (np.bincount(owner, owner[source] != owner, len(lengths)) > 0)
+            given = tells[owner] & (place < lengths[owner] - WINDOW + 1)
+            from_ = source[given]
+            ends = np.cumsum((lengths - WINDOW + 1)[tells])
+            docs = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(doc[owner[from_]], mask=~known[owner[from_]]))
+            keep = pa.array(tells)
+            yield pa.RecordBatch.from_arrays([unit["gram"].combine_chunks().filter(keep), unit["digest"].combine_chunks().filter(keep), docs,
+                                              lists(start[owner[from_]] + place[from_], ends)], ["gram", "digest", "docs", "starts"])
 
 
 def windows_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +186,7 @@ def windows_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner = np.repeat(np.arange(len(n)), n)
         k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at = (np.cumsum(lengths) - lengths)[owner] + k
-        size = np.full(len(at), WINDOW)
-        marks = [digests(words, at, size, seed).view(np.int64) for seed in (13, 14)]
+        marks = [Digests(words, seed).of(at, np.full(len(at), WINDOW)).view(np.int64) for seed in (13, 14)]
         cols = {c: batch.column(c).to_numpy(zero_copy_only=False)[owner] for c in ("gram", "digest", "known", "doc_id", "start")}
         yield pa.RecordBatch.from_arrays([pa.array(cols["gram"]), pa.array(cols["digest"]), pa.array(k), pa.array(marks[0]), pa.array(marks[1]),
                                           pa.array(cols["doc_id"], mask=~cols["known"]), pa.array(cols["start"] + k)],
@@ -192,26 +203,19 @@ def crowded_firsts(contents: DataFrame) -> DataFrame:
     return firsts.select("gram", "digest", F.transform("w", lambda x: x["first"]["doc_id"]).alias("docs"), F.transform("w", lambda x: x["first"]["start"]).alias("starts"))
 
 
-def covered(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def covered(hits: DataFrame) -> DataFrame:
     """Stretches of words that are covered by windows which start earlier elsewhere."""
-    for batch in filled(rows, 1024):
-        out: list[list] = [[], [], [], []]
-        cols = (batch.column(c).to_pylist() for c in ("doc_id", "row", "pos", "docs", "starts"))
-        for doc, row, pos, docs, starts in zip(*cols):
-            start, n = divmod(pos, 32)
-            own = (doc is not None, doc or 0)
-            end = -1
-            for k in range(n):
-                there = (docs[k] is not None, docs[k] or 0)
-                if there < own or (there == own and starts[k] < start + k):
-                    if start + k <= end:
-                        out[3][-1] = end = start + k + WINDOW
-                    else:
-                        end = start + k + WINDOW
-                        for column, value in zip(out, (doc, row, start + k, end)):
-                            column.append(value)
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], ["doc_id", "row", "lo", "hi"])
+    start, n = F.floor(F.col("pos") / PLACES), (F.col("pos") % PLACES).cast("int")
+    first = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.when(F.struct(F.get("docs", k), F.get("starts", k)) < F.struct("doc_id", start + k), k))
+    gone = hits.select("doc_id", "row", start.alias("start"), F.array_compact(first).alias("k")).where("size(k) > 0")
+    lo, hi = F.element_at("k", 1), F.element_at("k", -1)
+
+    def stretch(a: Column, b: Column) -> Column:
+        return F.struct((F.col("start") + a).alias("lo"), (F.col("start") + b + WINDOW).alias("hi"))
+
+    whole = hi - lo + 1 == F.size("k")
+    return (gone.select("doc_id", "row", F.explode(F.when(whole, F.array(stretch(lo, hi))).otherwise(F.transform("k", lambda k: stretch(k, k)))).alias("s"))
+            .select("doc_id", "row", "s.lo", "s.hi"))
 
 
 def kept_words(text: str | None, stretches: list) -> tuple[list[bytes], int]:
@@ -236,39 +240,37 @@ def without(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc_id", "row", "n_removed", "cut_sha256", "kept_text"])
 
 
-def same_row(a: DataFrame, b: DataFrame) -> object:
+def same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["row"] == b["row"])
 
 
-def stretches(texts: DataFrame, cuts: DataFrame) -> DataFrame:
-    """``doc_id``, ``row`` and the covered stretches of words of the rows that have some.
+def stretches(texts: DataFrame, cuts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The texts that share a gram with another place, and the covered stretches of words, both by ``(doc_id, row)``.
 
-    ``texts`` has ``doc_id``, ``row`` and ``text``; ``cuts`` is the written result of ``cut``.
+    ``texts`` has distinct ``(doc_id, row)`` with ``text``; ``cuts`` is the written result of ``cut``.
     """
-    spark = texts.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = cuts.select("doc_id", "row", F.explode(F.arrays_zip("pos", "gram", "digest")).alias("s")).select("doc_id", "row", "s.pos", "s.gram", "s.digest")
     several = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("gram").alias("g"))
     segments_ = written(found.join(several, F.col("gram") == F.col("g"), "left_semi"), "segments")
-    start = F.struct("doc_id", (F.col("pos") / 32).cast("long").alias("start"), "pos", "row")
-    contents = written(segments_.groupBy("gram", "digest").agg(F.min(start).alias("first"), F.count(F.lit(1)).alias("copies")), "contents")
+    first = F.struct("doc_id", F.floor(F.col("pos") / PLACES).alias("start"), "pos", "row")
+    contents = written(segments_.groupBy("gram", "digest").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies")), "contents")
     crowded = contents.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED).select(F.col("gram").alias("g"), F.lit(True).alias("crowded"))
-    # a document's own segments only: the list is as long as the text
+    # a text's own segments only: the list is as long as the text
     wanted = (contents.join(crowded, F.col("gram") == F.col("g"), "left")
               .groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"))
               .agg(F.collect_list(F.struct("gram", "digest", "copies", F.col("first.pos").alias("pos"), F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("wanted")))
-    once = texts.groupBy("doc_id", "row").agg(F.first("text").alias("text"))
-    spelled = written(once.join(wanted, same_row(once, wanted)).select(once["doc_id"], "text", "wanted").mapInArrow(contents_of, CONTENTS), "spelled")
+    concerned = segments_.select("doc_id", "row").distinct()
+    concerned = concerned.join(wanted, same_row(concerned, wanted), "left").select(concerned["doc_id"], concerned["row"], "wanted")
+    held = written(texts.join(concerned, same_row(texts, concerned)).select(texts["doc_id"], texts["row"], "text", "wanted"), "held")
+    spelled = written(held.where("wanted IS NOT NULL").select("doc_id", "text", "wanted").mapInArrow(contents_of, CONTENTS), "spelled")
     shards = max(n, contents.count() // SHARD + 1)
     dealt = spelled.where("not crowded").withColumn("unit", F.pmod(F.xxhash64("gram"), F.lit(shards)))
     firsts = (dealt.repartition(n, "unit").sortWithinPartitions("unit").mapInArrow(searched, FIRSTS)
               .unionByName(crowded_firsts(spelled)))
     firsts = written(firsts, "firsts")
     hits = segments_.join(firsts.withColumnsRenamed({"gram": "fg", "digest": "fd"}), (F.col("gram") == F.col("fg")) & (F.col("digest") == F.col("fd")))
-    lines = written(hits.select("doc_id", "row", "pos", "docs", "starts").mapInArrow(covered, "doc_id bigint, row bigint, lo bigint, hi bigint"), "covered")
-    # rows that repeat an id and its text tell the same stretches again
-    return (lines.groupBy("doc_id", "row", "lo").agg(F.max("hi").alias("hi"))
-            .groupBy("doc_id", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("stretches")))
+    return held, covered(hits).groupBy("doc_id", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("stretches"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -278,16 +280,23 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     earlier than the same window of another only where it starts earlier, so equal rows remove nothing from each other. Other columns
     are left out.
     """
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
-    cuts = written(narrow.mapInArrow(cut, SEGMENTS), "cuts")
-    found = written(stretches(narrow, cuts), "stretches")
-    once = narrow.groupBy("doc_id", "row").agg(F.first("text").alias("text"))
-    changed = (once.join(found, same_row(once, found)).select(once["doc_id"], once["row"], "text", "stretches")
+    text = F.coalesce("text", F.lit(""))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text.cast("binary")).alias("mark"), text.alias("text"))
+    least = F.when(~F.bool_or(F.col("doc_id").isNull()), F.min("doc_id"))
+    texts = written(narrow.groupBy("mark").agg(least.alias("doc_id"), F.first("text").alias("text")).withColumn("row", F.xxhash64("text")), "texts")
+    cuts = written(texts.select("doc_id", "row", "mark", "text").mapInArrow(cut, SEGMENTS), "cuts")
+    held, found = stretches(texts, cuts)
+    changed = (held.join(found, same_row(held, found)).select(held["doc_id"], held["row"], "text", "stretches")
                .mapInArrow(without, "doc_id bigint, row bigint, n_removed bigint, cut_sha256 string, kept_text string"))
-    rows = cuts.select("doc_id", "row", "n_words", "whole_sha256")
-    return (rows.join(changed, same_row(rows, changed), "left")
-            .select(rows["doc_id"], "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-                    F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"), "kept_text"))
+    each = cuts.select("doc_id", "row", "mark", "n_words", "whole_sha256")
+    each = written(each.join(changed, same_row(each, changed), "left")
+                   .select(each["doc_id"].alias("of"), F.col("mark").alias("m"), "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
+                           F.coalesce("cut_sha256", "whole_sha256").alias("sha"), "kept_text"), "judged")
+    copy = ~F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("n_words") >= WINDOW)
+    return (narrow.select("doc_id", "mark").join(each, F.col("mark") == F.col("m"))
+            .select("doc_id", "n_words", F.when(copy, F.col("n_words")).otherwise(F.col("n_removed")).alias("n_removed"),
+                    F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("sha")).alias("kept_sha256"),
+                    F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text")))
 
 
 def op11_fm_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
