@@ -1,7 +1,8 @@
 """Encoding with the ``tokenizers`` library by a table of distinct chunks.
 
 Text is cut at single spaces between two other characters. No token of the two public vocabularies crosses such a space, so a
-chunk's ids do not depend on its neighbours, and each distinct chunk is encoded once per table. A chunk that is one run of
+chunk's ids do not depend on its neighbours: each distinct chunk of a batch is looked up once in a table of chunks, encoded where it is new,
+and its ids are joined back by position. A chunk that is one run of
 Latin letters (perhaps with one sign after it) goes straight to the library's merge model; any other goes through its whole encoder.
 Texts with unusual white space are encoded whole.
 """
@@ -12,15 +13,21 @@ import json
 import re
 import struct
 
-from pagegrain.llm.common import ChunkTable, process_tables, ship
+import numpy as np
+import pyarrow as pa
+
+from pagegrain.llm.common import ChunkTable, encoded, process_tables, ship
 
 ship(__name__)
 
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+WORD_LETTERS = frozenset(chr(i) for i in range(256) if re.match(f"[{LETTERS}]", chr(i)))
 #: A word, perhaps with one sign after it, perhaps followed by a line feed and another such word.
 PLAIN = re.compile(rf"([{LETTERS}]+)([,.]?)(?:(\n)([{LETTERS}]+)([,.]?))?")
 #: White space other than space, tab, line feed and carriage return, and characters that libraries class differently.
 UNUSUAL = re.compile("[\u000b\u000c\u001c-\u001f\u0085  ᠎ -‏    ⁠　﻿]")
+#: Texts whose spaces do not all stand alone between other characters, or that have unusual ones.
+APART = UNUSUAL.pattern + "|^ | $|  |\n | \n|\t|\r"
 ENTRIES = 800_000
 
 
@@ -43,6 +50,9 @@ class ChunkEncoder:
         #: Word vocabularies lower the text and drop its white space; byte vocabularies keep a space before its word.
         self.words = spec["normalizer"] is not None
         self.signs = byte_signs()
+        self.space, self.joined, self.tokenize = self.signs[32], b"".join, self.library.model.tokenize
+        #: by id
+        self.ids = [struct.pack("<I", i) for i in range(self.library.get_vocab_size())]
         #: by chunk that stands after a space
         self.table = ChunkTable(self.chunk, entries)
         #: by sign or word that stands after no space
@@ -54,10 +64,16 @@ class ChunkEncoder:
     def run(self, letters: str) -> bytes:
         """A run of letters (perhaps after a space), a sign or a line feed."""
         signs = letters.encode().decode("latin-1").translate(self.signs)
-        return packed([t.id for t in self.library.model.tokenize(signs)])
+        return self.joined([self.ids[t.id] for t in self.tokenize(signs)])
 
     def chunk(self, chunk: str) -> bytes:
-        if chunk.isalpha() and chunk.isascii():
+        if chunk.isascii():
+            # printable ASCII stands for itself
+            if chunk.isalpha():
+                return self.joined([self.ids[t.id] for t in self.tokenize(chunk.lower() if self.words else self.space + chunk)])
+            if chunk[-1:] in (".", ",") and (word := chunk[:-1]).isalpha():
+                return self.table[word] + self.runs[chunk[-1]]
+        elif WORD_LETTERS.issuperset(chunk):
             return self.run(chunk.lower() if self.words else " " + chunk)
         if m := PLAIN.fullmatch(chunk):
             word, sign, feed, *after = m.groups()
@@ -68,6 +84,18 @@ class ChunkEncoder:
             return self.table[word] + b"".join(self.runs[x] for x in (sign, feed, *after) if x)
         return self.whole(chunk if self.words else " " + chunk)
 
+    def first(self, chunk: str) -> bytes:
+        """A chunk that stands at the start of its text."""
+        if self.words:
+            return self.table[chunk]
+        if m := PLAIN.fullmatch(chunk):
+            return b"".join(self.runs[x] for x in m.groups() if x)
+        return self.whole(chunk)
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the number of ids of each."""
+        return encoded(texts, APART, self.table.many, self.encode, None if self.words else self.first)
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
@@ -78,7 +106,7 @@ class ChunkEncoder:
             first, *rest = re.split(r"(?<=[^ \t\n\r]) (?=[^ \t\n\r])", text)
         else:
             first, *rest = text.split(" ")
-        return self.whole(first) + b"".join(map(self.table.__getitem__, rest))
+        return self.first(first) + b"".join(map(self.table.__getitem__, rest))
 
 
 def packed(ids: list[int]) -> bytes:

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,7 +50,7 @@ def process_tables() -> dict:
 class ChunkTable(dict):
     """Results by chunk, computed once each while they are kept.
 
-    At most ``most`` entries in two generations: when the young one is full it becomes the old one, and what is used again
+    At most about ``most`` entries in two generations: when the young one is full it becomes the old one, and what is used again
     comes back from there. So frequent chunks stay, and memory is bounded.
     """
 
@@ -58,15 +59,32 @@ class ChunkTable(dict):
         self.make, self.half, self.old = make, most // 2, {}
 
     def __missing__(self, key: str):
-        if len(self) >= self.half:
-            self.old = dict(self)
-            self.clear()
+        self.turned()
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
         self[key] = value
         return value
 
+    def turned(self) -> None:
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+
+    def many(self, keys: list[str]) -> list:
+        """The results of distinct keys."""
+        self.turned()
+        out = list(map(self.get, keys))
+        make, old = self.make, self.old
+        for i, value in enumerate(out):
+            if value is None:
+                key = keys[i]
+                value = old.get(key)
+                if value is None:
+                    value = make(key)
+                out[i] = self[key] = value
+        return out
+
 
 def ranked(df: DataFrame, group: str, priority: Column, order: list[str], rows: int, rows_per_bucket: int = 128) -> DataFrame:
     """``df`` with ``__rank``: the exact position from 0 inside ``group``, by hash bucket of ``priority``, then ``order``.
@@ -91,6 +109,63 @@ def filled(rows: Iterator, most: int = 512) -> Iterator:
     return (batch.slice(at, most) for batch in rows for at in range(0, batch.num_rows, most))
 
 
+def light(rows: Iterator, column: str, most: int = 2 << 20) -> Iterator:
+    """Arrow record batches with so many bytes of text at most, or a single row."""
+    for batch in filled(rows):
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = sizes[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(sizes, before + most, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def encoded(texts: pa.Array, apart: str, chunks: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes],
+            first: Callable[[str], bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after the other, and the number of ids of each; null texts are empty.
+
+    Texts are cut at their spaces. Each distinct chunk of the batch is encoded once, and ids are joined back by position. Texts that match
+    ``apart`` go through ``whole``; a text's first chunk goes through ``first``, where it is given.
+    """
+    texts = pc.fill_null(texts, "")
+    plain = pc.and_(pc.invert(pc.match_substring_regex(texts, apart)), pc.not_equal(texts, ""))
+    lists = pc.split_pattern(texts.filter(plain), " ")
+    flat, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = flat.dictionary_encode()
+    values = chunks(coded.dictionary.to_pylist())
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    if first is not None:
+        heads = np.cumsum(sizes) - sizes
+        codes[heads] = len(values) + np.arange(len(heads))
+        values += [first(c) for c in flat.take(pa.array(heads)).to_pylist()]
+    is_plain = plain.to_numpy(zero_copy_only=False)
+    each = np.ones(len(texts), np.int64)  # chunks of each row
+    each[is_plain] = sizes
+    index, inside = np.empty(each.sum(), np.int64), np.repeat(is_plain, each)
+    index[inside] = codes
+    index[~inside] = len(values) + np.arange(len(texts) - len(sizes))
+    values += [whole(t) for t in texts.filter(pc.invert(plain)).to_pylist()]
+    lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    starts = np.cumsum(lengths) - lengths
+    pool = np.frombuffer(b"".join(values), "<u4")
+    counts = lengths[index]
+    stops = np.cumsum(counts)
+    taken = np.repeat(starts[index] - (stops - counts), counts)
+    taken += np.arange(len(taken))
+    return pool[taken], np.add.reduceat(counts, np.cumsum(each) - each) if len(each) else counts
+
+
+def ended(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with ``end`` after each text's, and the stops of the texts with a zero in front."""
+    stops = np.concatenate([[0], np.cumsum(sizes + 1)])
+    out = np.full(stops[-1], end, ids.dtype)
+    inside = np.ones(len(out), bool)
+    inside[stops[1:] - 1] = False
+    out[inside] = ids
+    return out, stops
+
+
 def batches(rows: Iterator) -> Iterator[dict]:
     """Arrow record batches as dictionaries of columns."""
     for batch in filled(rows):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagegrain.llm import bpe_tables
-from pagegrain.llm.common import batches, ranked, ship, table, written
+from pagegrain.llm.common import ended, light, ranked, ship, table, written
 
 ship(__name__)
 
@@ -33,16 +33,18 @@ PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids bin
 def cut(path: str, end_id: int, window: int):
     """Pieces of each document: all but the last are one window long; ids are little-endian unsigned 32-bit integers."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = bpe_tables.encoder(path).encode, bpe_tables.packed([end_id])
-        for b in batches(rows):
-            out = []
-            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
-                ids = encode(text) + end
-                n = len(ids) // 4
-                out += [(doc, s, min(window, n - s), n, ids[4 * s:4 * (s + window)]) for s in range(0, n, window)]
-            columns = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(columns[4], pa.binary())],
-                                             ["doc_id", "start", "length", "doc_tokens", "ids"])
+        encoder = bpe_tables.encoder(path)
+        for b in light(rows, "text"):
+            ids, stops = ended(*encoder.encode_all(b.column(b.schema.get_field_index("text"))), end_id)
+            n = np.diff(stops)
+            parts = -(-n // window)
+            owner = np.repeat(np.arange(len(n)), parts)
+            start = window * (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts))
+            length = np.minimum(window, n[owner] - start)
+            at = stops[owner] + start
+            pieces = [ids[s:e].tobytes() for s, e in zip(at, at + length)]
+            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("doc_id")).take(pa.array(owner)), pa.array(start), pa.array(length), pa.array(n[owner]),
+                                              pa.array(pieces, pa.binary())], ["doc_id", "start", "length", "doc_tokens", "ids"])
 
     return run
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagegrain.llm.common import ChunkTable, filled, process_tables, ship, table
+from pagegrain.llm.common import ChunkTable, encoded, ended, filled, light, process_tables, ship, table
 
 ship(__name__)
 
@@ -26,6 +26,8 @@ MODEL = "piece_bpe_32k.model"
 MARKER = "▁"
 #: The spaces before a word, and the word.
 MARKED = re.compile(" +[^ ]*")
+#: Texts with other than single spaces between words, or with the marker itself.
+APART = f"^ | $|  |{MARKER}"
 ENTRIES = 600_000
 
 
@@ -61,6 +63,12 @@ class PieceCodec:
         return np.frombuffer(b"".join(parts), np.int32)
 
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the number of ids of each."""
+        whole = lambda t: self.encode(t).tobytes()
+        return encoded(texts, APART if self.apart else "", self.words.many, whole)
+
+
 def packed(ids: list[int]) -> bytes:
     return struct.pack(f"{len(ids)}i", *ids)
 
@@ -85,10 +93,9 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
     """``docs`` with the column ``text`` replaced by ``ids`` (array<int>) with the end id; a null text has the end id only."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
-        for batch in filled(rows):
-            each = [np.append(c.encode(t), np.int32(c.end)) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            stops = np.cumsum([0] + [len(x) for x in each]).astype(np.int32)
-            yield extended(batch, ids, pa.ListArray.from_arrays(pa.array(stops), pa.array(np.concatenate([np.zeros(0, np.int32), *each]))), text)
+        for batch in light(rows, text):
+            flat, stops = ended(*c.encode_all(batch.column(batch.schema.get_field_index(text))), c.end)
+            yield extended(batch, ids, pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(flat.view(np.int32))), text)
 
     return docs.mapInArrow(run, schema_with(docs, ids, T.ArrayType(T.IntegerType()), text))
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagegrain.llm import bpe_tables
-from pagegrain.llm.common import batches, filled, ship, table
+from pagegrain.llm.common import ended, filled, light, ship, table
 from pagegrain.session import scratch_path
 
 ship(__name__)
@@ -31,15 +31,12 @@ ORC = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "or
 def encode_sorted(path: str, end_id: int):
     """Ids of each document with the end id, and the number of ids before it in the same partition."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, first = bpe_tables.encoder(path).encode, 0
-        end = bpe_tables.packed([end_id])
-        for b in batches(rows):
-            ids = [np.frombuffer(encode(t) + end, "<i4") for t in b["text"].to_pylist()]
-            n = np.array([len(x) for x in ids], np.int64)
-            stops = np.cumsum(n)
+        encoder, first = bpe_tables.encoder(path), 0
+        for b in light(rows, "text"):
+            ids, stops = ended(*encoder.encode_all(b.column(b.schema.get_field_index("text"))), end_id)
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], pa.array(n), pa.array(first + stops - n),
-                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]).astype(np.int32)), pa.array(np.concatenate(ids)))],
+                [b.column(b.schema.get_field_index("doc_id")), pa.array(np.diff(stops)), pa.array(first + stops[:-1]),
+                 pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(ids.view(np.int32)))],
                 ["doc_id", "n_tokens", "first", "ids"])
             first += int(stops[-1])
 
