@@ -13,6 +13,7 @@ from pagegrain.plans.jobs import brassring_jobs
 from pagegrain.plans.offer_rules import RULES
 from pagegrain.plans.offers import extract_all_offers, extract_offers
 from pagegrain.plans.vitamins import vitamin_products
+from pagegrain.session import remove
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -28,12 +29,6 @@ def read_page_stream(spark: SparkSession, folder: str, schema: StructType, names
     return reader.parquet(folder)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Remove a folder wherever it is stored."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def stream_batches(pages: DataFrame, extract: Callable[[DataFrame, int], DataFrame], checkpoint: str, out: str,
                    after: Callable[[int], None] | None = None) -> StreamingQuery:
     """A batch job over arriving pages: all there is now, then stop.
