@@ -14,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pagegrain.session import scratch_path
+from pagegrain.session import remove, scratch_path
 
 
 def ship(name: str) -> None:
@@ -33,8 +33,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """The rows from a table in the cluster's shared folder: cuts the lineage and fixes every computed value."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of ``written`` that no result reads any more."""
+    for t in tables:
+        remove(t.sparkSession, t.written_path)
 
 
 def let(value: str, name: str, body: str) -> str:

@@ -10,12 +10,13 @@ its 3-byte n-grams that occur in learned texts of one language (``Model.recognis
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,6 @@ FAMILIES = {
     "indo-aryan": ["hi", "ur", "bn", "mr", "ne", "pa", "gu"],
 }
 
-LETTER = re.compile(r"[^\W\d_]")
 #: Any ASCII byte that is no lower-case letter becomes a blank.
 GAPS = bytes(b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
@@ -51,6 +51,11 @@ def family_of(lang: str) -> str:
     return next((f for f, members in FAMILIES.items() if lang in members), lang)
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a character is of Unicode category L; numerals such as superscripts and circled digits are not."""
+    return bool(text) and any(map(str.isalpha, text))
+
+
 def letters(text: str) -> np.ndarray:
     """The bytes of the lower-cased text, everything but letters as one gap."""
     packed = b" ".join([b"", *text.lower().encode("utf-8", "replace").translate(GAPS).split(), b""])
@@ -157,7 +162,7 @@ def measured(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
-    """From a sample of the rows where ``learn`` holds, of about ``sample`` per language, drawn by a hash of the id.
+    """From a sample of the rows where ``learn`` holds, of about ``sample`` per language, drawn by a hash of id and text; equal ones count once.
 
     Rows without language, text or letter teach nothing. Languages are so few that their counts are read by the driver.
     """
@@ -168,8 +173,8 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
     share = F.lit(0.0)
     for lang, n in sorted(counts.items()):
         share = F.when(F.col("lang") == lang, min(1.0, sample / n)).otherwise(share)
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < share * (1 << 20)
-    rows = (labelled.where(drawn & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang")
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 20)) < share * (1 << 20)
+    rows = (labelled.where(drawn & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang").distinct()
             .mapInArrow(measured, "x binary, grams binary, lang string").collect())
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
     langs, x = [r["lang"] for r in rows], np.empty((len(rows), BUCKETS), np.float32)
@@ -179,15 +184,25 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
     return Model(x, langs, grams)
 
 
+def sent(spark: SparkSession, model: Model) -> Callable[[], Model]:
+    """The model for the tasks, with its class, so that executors need no installed package. Its size goes with the languages, not with the rows."""
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+    def load() -> Model:
+        return pickle.loads(shared.value)
+
+    return load
+
+
 def recognised(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text has a letter and is in one of the learned languages, as far as its n-grams tell."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    load = sent(docs.sparkSession, model)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = load()
         for batch in filled(rows):
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            yield batch.filter(pa.array([bool(t and LETTER.search(t)) and m.recognised(t) for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([has_letter(t) and m.recognised(t) for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -196,13 +211,13 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1). A null text or one without a letter is ``und`` with score 0."""
     from pyspark.sql import types as T
 
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # sized by languages, not by rows
+    load = sent(docs.sparkSession, model)
     kept = [f for f in docs.schema if f.name not in ("lang_pred", "score")]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = load()
         for batch in filled(rows):
-            said = [m.predict(features(t)) if t and LETTER.search(t) else (UNKNOWN, 0.0)
+            said = [m.predict(features(t)) if has_letter(t) else (UNKNOWN, 0.0)
                     for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(f.name)) for f in kept] + [pa.array([s[0] for s in said], pa.string()), pa.array([s[1] for s in said], pa.float64())],

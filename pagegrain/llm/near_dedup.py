@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pagegrain.llm.common import batches, ship, table, whole_units, written
+from pagegrain.llm.common import batches, discard, ship, table, whole_units, written
 
 ship(__name__)
 
@@ -220,6 +220,7 @@ def components(links: DataFrame) -> DataFrame:
     now = written(links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct(), "links")
     state = None
     while True:
+        before = now
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, F.col("u") == F.col("c")).select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
@@ -227,6 +228,7 @@ def components(links: DataFrame) -> DataFrame:
         pulled = large.join(low, F.col("hi") == F.col("c"))
         small = pulled.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").unionAll(low.select(F.col("c").alias("hi"), F.col("m").alias("lo"))).distinct()
         now = written(small, "stars")
+        discard(before)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if seen == state:
             break
@@ -282,6 +284,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         comps = components(links.unionAll(more))
     comps = written(comps, "components")
+    discard(chosen, shared, sets)
     rep = (sketches.select("doc_id", "n_shingles", "digest").join(classes.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d"), "left")
            .join(comps.withColumnRenamed("comp", "c"), F.coalesce("rep", "doc_id") == F.col("id"), "left"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "rep", "doc_id"))

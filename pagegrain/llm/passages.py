@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagegrain.llm import fm_index  # noqa: F401  shipped with the tasks
-from pagegrain.llm.common import filled, ship, table, whole_units, written
+from pagegrain.llm.common import discard, filled, ship, table, whole_units, written
 from pagegrain.llm.fm_index import FMIndex
 
 ship(__name__)
@@ -245,9 +245,9 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
 
 
 def stretches(texts: DataFrame, cuts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The texts that share a gram with another place, and the covered stretches of words, both by ``(doc_id, row)``.
+    """The texts that share a gram with another place, and the covered stretches of words, both written, by ``(doc_id, row)``.
 
-    ``texts`` has distinct ``(doc_id, row)`` with ``text``; ``cuts`` is the written result of ``cut``.
+    ``texts`` has distinct ``(doc_id, row)`` with ``text`` and is discarded; ``cuts`` is the result of ``cut``. Both are written.
     """
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = cuts.select("doc_id", "row", F.explode(F.arrays_zip("pos", "gram", "digest")).alias("s")).select("doc_id", "row", "s.pos", "s.gram", "s.digest")
@@ -263,14 +263,18 @@ def stretches(texts: DataFrame, cuts: DataFrame) -> tuple[DataFrame, DataFrame]:
     concerned = segments_.select("doc_id", "row").distinct()
     concerned = concerned.join(wanted, same_row(concerned, wanted), "left").select(concerned["doc_id"], concerned["row"], "wanted")
     held = written(texts.join(concerned, same_row(texts, concerned)).select(texts["doc_id"], texts["row"], "text", "wanted"), "held")
+    discard(texts)
     spelled = written(held.where("wanted IS NOT NULL").select("doc_id", "text", "wanted").mapInArrow(contents_of, CONTENTS), "spelled")
     shards = max(n, contents.count() // SHARD + 1)
     dealt = spelled.where("not crowded").withColumn("unit", F.pmod(F.xxhash64("gram"), F.lit(shards)))
     firsts = (dealt.repartition(n, "unit").sortWithinPartitions("unit").mapInArrow(searched, FIRSTS)
               .unionByName(crowded_firsts(spelled)))
     firsts = written(firsts, "firsts")
+    discard(spelled, contents)
     hits = segments_.join(firsts.withColumnsRenamed({"gram": "fg", "digest": "fd"}), (F.col("gram") == F.col("fg")) & (F.col("digest") == F.col("fd")))
-    return held, covered(hits).groupBy("doc_id", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("stretches"))
+    found = written(covered(hits).groupBy("doc_id", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("stretches")), "stretches")
+    discard(segments_, firsts)
+    return held, found
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -292,6 +296,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     each = written(each.join(changed, same_row(each, changed), "left")
                    .select(each["doc_id"].alias("of"), F.col("mark").alias("m"), "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
                            F.coalesce("cut_sha256", "whole_sha256").alias("sha"), "kept_text"), "judged")
+    discard(cuts, held, found)
     copy = ~F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("n_words") >= WINDOW)
     return (narrow.select("doc_id", "mark").join(each, F.col("mark") == F.col("m"))
             .select("doc_id", "n_words", F.when(copy, F.col("n_words")).otherwise(F.col("n_removed")).alias("n_removed"),
