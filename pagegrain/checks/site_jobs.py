@@ -118,6 +118,20 @@ def n1_job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         jobs.pentair_rejects(pages).withColumn("job", F.lit("pentair"))).select("page_id", "job", "stage")
 
 
+@check("n1_vitamin_rejects", """
+SELECT p_partkey AS page_id, 'title' AS stage, false AS good FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT p_partkey, NULL, true FROM part WHERE p_partkey % 3 <> 0""")
+def n1_vitamin_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplement pages without a title, and the pages that have one, from one reading."""
+    title = F.concat(F.lit('<table><tr><td valign="top"><h1 class="h1productHead">'), "p_name", F.lit("</h1></td></tr></table>"))
+    html = F.when(F.col("p_partkey") % 3 == 0, F.lit("<p>gone</p>")).otherwise(title)
+    pages = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("page_id"), F.lit("detail").alias("page_type"), F.lit("http://e.example/").alias("url"), html.alias("html"))
+    read = vitamins.read(pages)
+    return read.rejects().select("page_id", "stage", F.lit(False).alias("good")).unionByName(
+        read.good("detail").select("page_id", F.lit(None).cast("string").alias("stage"), F.lit(True).alias("good")))
+
+
 @check("k_evitamins", """
 SELECT p_partkey AS page_id, p_name AS title, p_brand AS brand, CASE WHEN p_size % 2 = 0 THEN p_type ELSE 'None' END AS flavor,
   CAST(p_size AS VARCHAR) AS size, 'Tablets' AS unit, 'U' || p_partkey AS upc, '$' || p_retailprice AS price, 'http://i.example/' || p_partkey AS image_url

@@ -19,10 +19,11 @@ from pagegrain.operators import nodes as N
 from pagegrain.operators.filters import sellable
 from pagegrain.operators.joins import drop_ignored, spread_nulls
 from pagegrain.operators.nested import swatch_rows, with_color_sku
-from pagegrain.operators.quality import keep_where, reject_rows
-from pagegrain.operators.sets import first_sightings, mini_and_full, staged
-from pagegrain.operators.windows import newest
+from pagegrain.operators.quality import Facts, with_failed
+from pagegrain.operators.sets import first_sightings, mini_and_full
+from pagegrain.operators.windows import newest, newest_row
 from pagegrain.schemas import PRODUCTS, conform
+from pagegrain.session import scratch_path
 
 T_ = N.Test
 # Url bases, selectors, script patterns and the country to currency table.
@@ -156,54 +157,67 @@ def detail_facts(pages: DataFrame) -> DataFrame:
         N.own_texts(nodes, BOX, DESC_BOX, DESC).alias("panels"), N.values(N.select(nodes, KEYWORDS), "content").alias("keywords"),
         F.transform(F.slice(image, 1, 1), schemeless).alias("primary_image"),
         script_var(html, "assetProductCode = \"(.*)\"").alias("asset"),
-        parse_js(script_var(html, MENU_CALL), MENU).alias("menu"), N.under(nodes, RIGHT, SWATCH).col.alias("swatch_nodes"))
+        script_var(html, MENU_CALL).alias("menu_text"), N.under(nodes, RIGHT, SWATCH).col.alias("swatch_nodes"))
     facts = lists.select(
         *DETAIL_IDS, "title", brand_text(F.col("brand_links"), F.col("brand_texts")).alias("brand"),
         one_text("sale_texts", "single_texts").alias("sale"), one_text("was_texts", "single_texts").alias("was"), "badge", "alert",
-        X.description(F.col("panels")).alias("description_text"), "keywords", "primary_image", "asset", "menu", "swatch_nodes")
+        X.description(F.col("panels")).alias("description_text"), "keywords", "primary_image", "asset", "menu_text",
+        parse_js(F.col("menu_text"), MENU).alias("menu"), "swatch_nodes")
     sized = facts.select("*", _menu_skus(F.col("menu")).alias("skus"))
     state = availability(F.col("sale"), F.col("was"), F.lit(False), F.col("badge"), F.col("alert"), "[0-9,.]")
     swatches = F.when(F.col("menu").isNotNull(), _swatches(F.col("skus"), F.col("country_code")))
     return sized.select(*DETAIL_IDS, "title", "brand", "description_text", "keywords", "primary_image",
-                        "asset", state.alias("state"), swatches.alias("swatches"))
+                        "asset", state.alias("state"), swatches.alias("swatches"),
+                        (F.col("menu_text").isNotNull() & F.col("menu.aOptionSkus").isNull()).alias("lost_menu"))
 
 
-def details(pages: DataFrame) -> DataFrame:
-    """Facts of the detail pages with a title, the newest page per country and url."""
-    rows = detail_facts(pages)
-    named = keep_where(rows, F.size("title") > 0, rows.columns)
-    return newest(named, ["country_code", "url"]).drop("page_id", "fetched_at")
+def image_rows(pages: DataFrame) -> DataFrame:
+    """Image-set pages: image_url and images."""
+    data = X.group(F.col("html"), "'(.*)'")
+    return pages.select(F.col("url").alias("image_url"), "url", "page_id", "fetched_at", data.isNull().alias("lost"),
+                        image_list(data, F.lit(IMAGE_BASE), "", None, skip_first=False).alias("images"))
 
 
-def rejects(pages: DataFrame) -> DataFrame:
-    """Detail pages without a title: page_id, url, stage, reason."""
-    return reject_rows(detail_facts(pages.where(F.col("page_type") == "detail")), "page_id", "url", {"title": F.size("title") == 0})
+def image_sets(rows: DataFrame) -> DataFrame:
+    """The newest image set per url."""
+    return newest(rows.select("image_url", "page_id", "fetched_at", "images"), ["image_url"]).drop("page_id", "fetched_at")
 
 
-def image_sets(pages: DataFrame) -> DataFrame:
-    """Image-set pages: image_url, images; the newest page per url."""
-    data = X.group(F.col("html"), "'(.*)'")
-    rows = pages.select(F.col("url").alias("image_url"), "page_id", "fetched_at",
-                        image_list(data, F.lit(IMAGE_BASE), "", None, skip_first=False).alias("images"))
-    return newest(rows, ["image_url"]).drop("page_id", "fetched_at")
+def facts(pages: DataFrame, staging: str | None = None) -> Facts:
+    """What the pages of each kind say, as written tables with the checks that failed: links without key, details without title or
+    with a menu that cannot be read, image sets that cannot be read."""
+    def of(kind: str) -> DataFrame:
+        return pages.where(F.col("page_type") == kind)
+
+    return Facts({
+        "listing": with_failed(sightings(of("listing")), {"listing": F.col("base_sku").isNull()}),
+        "detail": with_failed(detail_facts(of("detail")), {"title": F.size("title") == 0, "menu": F.col("lost_menu")}),
+        "images": with_failed(image_rows(of("images")), {"images": F.col("lost")}),
+    }, staging or scratch_path(pages.sparkSession, "facts"))
+
+
+def rejects(pages: DataFrame, staging: str | None = None) -> DataFrame:
+    """Pages and links that gave nothing: page_id, url, stage, reason."""
+    return facts(pages, staging).rejects()
 
 
 def products(pages: DataFrame, staging: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(sightings, products) of routed pages with their country, language, currency and category path.
+    """(sightings, products) of routed pages with their country, language, currency and category path."""
+    return products_of(facts(pages, staging))
+
 
-    With ``staging`` the sightings are written once and read by both, instead of parsing the listings twice.
-    """
-    listing = staged(sightings(pages.where(F.col("page_type") == "listing")), staging)
+def products_of(read: Facts) -> tuple[DataFrame, DataFrame]:
+    """(sightings, products) of the facts."""
+    listing = read.good("listing").drop("row_id")
     first = listing_items(first_sightings(listing, ["fetched_at", "page_id", "pos"]))
-    detail = details(pages.where(F.col("page_type") == "detail"))
+    detail = newest_row(read.good("detail"), ["country_code", "url"]).drop("page_id", "fetched_at", "row_id", "lost_menu")
     found = first.join(detail, ["country_code", "url"]).where(sellable(F.col("title"), F.col("base_sku")))
     rows = swatch_rows(found, "swatches")
     code = F.col("color_code")
     asset = F.concat(F.lit(IMAGE_BASE), "asset", F.lit(IMAGE_QUERY))
     recolored = F.regexp_replace(asset, F.lit("_[0-9]{3,4}\\?"), F.concat(F.lit("_"), code, F.lit("?")))
     rows = rows.withColumn("image_url", spread_nulls(F.when(code.isNull(), asset).otherwise(recolored), F.col("url")))
-    images = image_sets(pages.where(F.col("page_type") == "images"))
-    full = rows.join(images, "image_url", "left")
+    full = rows.join(image_sets(read.good("images")), "image_url", "left")
     out = with_color_sku(full).select(
         "*", F.col("state.price").alias("new_price_text"), F.col("state.full_price").alias("full_price_text"),
         F.when(code.isNull(), F.lit(False)).otherwise(F.col("state.available")).alias("available"),

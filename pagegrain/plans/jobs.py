@@ -9,9 +9,10 @@ from pagegrain.functions import text as X
 from pagegrain.operators import nodes as N
 from pagegrain.operators.filters import is_result_page
 from pagegrain.operators.frontier import detail_links
-from pagegrain.operators.quality import keep_where, reject_rows
+from pagegrain.operators.quality import Facts, keep_where, reject_rows, with_failed
 from pagegrain.operators.windows import first_n, newest
 from pagegrain.schemas import JOBS, conform
+from pagegrain.session import scratch_path
 
 # fixed values: url base, link pattern and the markers of the two job sites
 BRASSRING_BASE = "https://sjobs.brassring.com/TGWebHost/"
@@ -55,10 +56,15 @@ def brassring_jobs(pages: DataFrame) -> DataFrame:
     return conform(good, JOBS)
 
 
-def brassring_rejects(pages: DataFrame) -> DataFrame:
+def brassring_facts(pages: DataFrame, staging: str | None = None) -> Facts:
+    """The details as a written table: jobs and rejects from one reading of the pages."""
+    checks = {"title": F.col("job_title").isNull(), "description": F.col("summary").isNull()}
+    return Facts({"detail": with_failed(_brassring_details(pages), checks)}, staging or scratch_path(pages.sparkSession, "facts"))
+
+
+def brassring_rejects(pages: DataFrame, staging: str | None = None) -> DataFrame:
     """Detail pages without title or description: page_id, url, stage, reason."""
-    return reject_rows(_brassring_details(pages), "page_id", "url",
-                       {"title": F.col("job_title").isNull(), "description": F.col("summary").isNull()})
+    return brassring_facts(pages, staging).rejects()
 
 
 def _pentair_tests() -> list[N.Test]:

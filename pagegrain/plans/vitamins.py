@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pagegrain.functions import text as X
 from pagegrain.functions.catalog import parse_title
 from pagegrain.operators import nodes as N
+from pagegrain.operators.quality import Facts, keep_where, with_failed
+from pagegrain.session import scratch_path
 
 # fixed values: the selectors of the product page
 CELL = N.Test("td", "valign", "eq", "top")
@@ -38,8 +40,8 @@ def _size_text() -> Column:
     return F.get(N.values(N.children(cells, N.select(nodes, N.Test(N.TEXT)))), F.lit(0))
 
 
-def vitamin_products(pages: DataFrame) -> DataFrame:
-    """title, brand, flavor, size, unit, upc, price, image_url of every product page."""
+def vitamin_facts(pages: DataFrame) -> DataFrame:
+    """Facts of the product pages, whether they have a title or not."""
     docs = N.parse_nodes(pages.where(F.col("page_type") == "detail"), TESTS, ["page_id", "url"])
     nodes = N.ALL
     upc = N.values(N.children(N.under(nodes, CELL, UPC_BOX), N.select(nodes, N.Test("span", "itemprop", "has", ""))))
@@ -54,6 +56,17 @@ def vitamin_products(pages: DataFrame) -> DataFrame:
                         "image_url")
 
 
+def read(pages: DataFrame, staging: str | None = None) -> Facts:
+    """The facts as a written table; pages without title fail."""
+    return Facts({"detail": with_failed(vitamin_facts(pages), {"title": F.col("title").isNull()})}, staging or scratch_path(pages.sparkSession, "facts"))
+
+
+def vitamin_products(pages: DataFrame) -> DataFrame:
+    """title, brand, flavor, size, unit, upc, price, image_url of every product page with a title."""
+    rows = vitamin_facts(pages)
+    return keep_where(rows, F.col("title").isNotNull(), rows.columns)
+
+
 def product_links(pages: DataFrame) -> DataFrame:
     """Distinct product urls of the grid pages."""
     docs = N.parse_nodes(pages, [GRID, N.Test("a")], ["page_id"])

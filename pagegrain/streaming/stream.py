@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import importlib
+import json
 from collections.abc import Callable
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from pagegrain.plans.jobs import brassring_jobs
 from pagegrain.plans.offer_rules import RULES
@@ -15,6 +20,9 @@ from pagegrain.plans.offers import extract_all_offers, extract_offers
 from pagegrain.plans.vitamins import vitamin_products
 from pagegrain.session import remove
 
+# the processor travels with its tasks
+cloudpickle.register_pickle_by_value(importlib.import_module(__name__))
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -78,6 +86,88 @@ def first_seen_stream(stream: DataFrame, keys: list[str], event_time: str | None
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
+class OnePerKey(StatefulProcessor):
+    """Keeps the first (or with ``latest`` the last) row of each key in order, and sends it when ``delay`` has passed since the key was met.
+
+    A key that was sent is remembered, and what comes for it later is not read; with ``forget`` it is remembered so long only.
+    """
+
+    def __init__(self, keys: list[str], latest: bool, delay_ms: int, forget_ms: int | None):
+        self.keys, self.latest, self.delay_ms, self.forget_ms = keys, latest, delay_ms, forget_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getValueState("best", "place string, body string")
+        self.sent = handle.getValueState("sent", "at bigint")
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802  the interface's names
+        if self.sent.exists():
+            for _ in rows:
+                pass
+            return iter([])
+        known = self.best.get() if self.best.exists() else None
+        best = (tuple(json.loads(known[0])), known[1]) if known is not None else None
+        met = None
+        for batch in rows:
+            places = [tuple(int(x) for x in p) for p in batch["place_"]]
+            at = (max if self.latest else min)(range(len(places)), key=places.__getitem__)
+            if best is None or (places[at] > best[0] if self.latest else places[at] < best[0]):
+                best = places[at], batch["body_"].iloc[at]
+            earliest = int(batch["ms_"].min())
+            met = earliest if met is None else min(met, earliest)
+        if best is not None:
+            self.best.update((json.dumps(best[0]), best[1]))
+            if known is None:
+                self.handle.registerTimer(met + self.delay_ms)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        if not self.best.exists():
+            self.sent.clear()
+            return
+        body = self.best.get()[1]
+        self.best.clear()
+        self.sent.update((at,))
+        if self.forget_ms is not None:
+            self.handle.registerTimer(at + self.forget_ms)
+        yield pd.DataFrame({**{k: [v] for k, v in zip(self.keys, key)}, "settled_at": [pd.Timestamp(at, unit="ms", tz="UTC")], "body_": [body]})
+
+    def close(self) -> None:
+        pass
+
+
+#: Timestamps keep their microseconds in the state.
+JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def one_per_key(stream: DataFrame, keys: list[str], order: list[str], event_time: str, delay: timedelta, latest: bool = False,
+                forget: timedelta | None = None) -> DataFrame:
+    """The row per key that comes first (with ``latest``: last) in ``order``, with ``settled_at``, when it was sent.
+
+    A key's row goes out when ``delay`` has passed, in event time, since the key was first met; so rows may arrive in any order within
+    the delay. The state holds the rows of one delay, and a mark per key that was sent (bounded by ``forget``). ``order`` are integers or
+    timestamps, missing ones come first; a row without ``event_time`` is late. The result has ``settled_at`` as its event time.
+    """
+    rest = [f for f in stream.schema if f.name not in keys]
+    kinds = dict(stream.dtypes)
+
+    def number(name: str) -> Column:
+        value = F.unix_micros(F.col(name).cast("timestamp")) if kinds[name].startswith("timestamp") else F.col(name).cast("bigint")
+        return F.coalesce(value, F.lit(-(1 << 63)))
+
+    ms = lambda t: int(t.total_seconds() * 1000)
+    timed = stream.withColumn("at_", F.coalesce(F.col(event_time).cast("timestamp"), F.timestamp_seconds(F.lit(0)))).withWatermark("at_", f"{ms(delay)} milliseconds")
+    packed = timed.select(*keys, "at_", F.unix_millis("at_").alias("ms_"), F.array(*[number(o) for o in order]).alias("place_"),
+                          F.to_json(F.struct(*[f.name for f in rest]), JSON).alias("body_"))
+    key_fields = [stream.schema[k] for k in keys]
+    schema = StructType([*key_fields, StructField("settled_at", TimestampType()), StructField("body_", StringType())])
+    done = packed.groupBy(*keys).transformWithStateInPandas(
+        OnePerKey(keys, latest, ms(delay), None if forget is None else ms(forget)), outputStructType=schema, outputMode="Append", timeMode="EventTime",
+        eventTimeColumnName="settled_at")
+    return done.select(*keys, "settled_at", F.from_json("body_", StructType(rest), JSON).alias("__row")).select(*keys, "settled_at", "__row.*")
+
+
 def wait(query: StreamingQuery) -> None:
     """Until the query has used up its present input."""
     query.awaitTermination()
