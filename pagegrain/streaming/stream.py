@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import timedelta
 
 import pandas as pd
@@ -89,7 +90,8 @@ def first_seen_stream(stream: DataFrame, keys: list[str], event_time: str | None
 class OnePerKey(StatefulProcessor):
     """Keeps the first (or with ``latest`` the last) row of each key in order, and sends it when ``delay`` has passed since the key was met.
 
-    A key that was sent is remembered, and what comes for it later is not read; with ``forget`` it is remembered so long only.
+    Rows are told apart by ``each_`` inside a key; a key's rows go out together. A key that was sent is remembered, and what comes for it
+    later is not read; with ``forget`` it is remembered so long only.
     """
 
     def __init__(self, keys: list[str], latest: bool, delay_ms: int, forget_ms: int | None):
@@ -97,7 +99,7 @@ class OnePerKey(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.best = handle.getValueState("best", "place string, body string")
+        self.best = handle.getValueState("best", "rows string")
         self.sent = handle.getValueState("sent", "at bigint")
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802  the interface's names
@@ -106,17 +108,16 @@ class OnePerKey(StatefulProcessor):
                 pass
             return iter([])
         known = self.best.get() if self.best.exists() else None
-        best = (tuple(json.loads(known[0])), known[1]) if known is not None else None
+        best = json.loads(known[0]) if known is not None else {}
         met = None
         for batch in rows:
-            places = [tuple(int(x) for x in p) for p in batch["place_"]]
-            at = (max if self.latest else min)(range(len(places)), key=places.__getitem__)
-            if best is None or (places[at] > best[0] if self.latest else places[at] < best[0]):
-                best = places[at], batch["body_"].iloc[at]
-            earliest = int(batch["ms_"].min())
-            met = earliest if met is None else min(met, earliest)
-        if best is not None:
-            self.best.update((json.dumps(best[0]), best[1]))
+            for each, place, ms, body in zip(batch["each_"], batch["place_"], batch["ms_"], batch["body_"]):
+                place, kept = [int(x) for x in place], best.get(each)
+                if kept is None or (place > kept[0] if self.latest else place < kept[0]):
+                    best[each] = [place, body]
+                met = int(ms) if met is None else min(met, int(ms))
+        if best:
+            self.best.update((json.dumps(best),))
             if known is None:
                 self.handle.registerTimer(met + self.delay_ms)
         return iter([])
@@ -126,12 +127,13 @@ class OnePerKey(StatefulProcessor):
         if not self.best.exists():
             self.sent.clear()
             return
-        body = self.best.get()[1]
+        bodies = [body for _, body in json.loads(self.best.get()[0]).values()]
         self.best.clear()
         self.sent.update((at,))
         if self.forget_ms is not None:
             self.handle.registerTimer(at + self.forget_ms)
-        yield pd.DataFrame({**{k: [v] for k, v in zip(self.keys, key)}, "settled_at": [pd.Timestamp(at, unit="ms", tz="UTC")], "body_": [body]})
+        n = len(bodies)
+        yield pd.DataFrame({**{k: [v] * n for k, v in zip(self.keys, key)}, "settled_at": [pd.Timestamp(at, unit="ms", tz="UTC")] * n, "body_": bodies})
 
     def close(self) -> None:
         pass
@@ -142,12 +144,13 @@ JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def one_per_key(stream: DataFrame, keys: list[str], order: list[str], event_time: str, delay: timedelta, latest: bool = False,
-                forget: timedelta | None = None) -> DataFrame:
+                forget: timedelta | None = None, each: str | None = None) -> DataFrame:
     """The row per key that comes first (with ``latest``: last) in ``order``, with ``settled_at``, when it was sent.
 
     A key's row goes out when ``delay`` has passed, in event time, since the key was first met; so rows may arrive in any order within
     the delay. The state holds the rows of one delay, and a mark per key that was sent (bounded by ``forget``). ``order`` are integers or
-    timestamps, missing ones come first; a row without ``event_time`` is late. The result has ``settled_at`` as its event time.
+    timestamps, missing ones come first; a row without ``event_time`` is late, one without any key only moves the clock. With ``each`` there
+    is one row per value of that column and key; a key's rows go out together. The result has ``settled_at`` as its event time.
     """
     rest = [f for f in stream.schema if f.name not in keys]
     kinds = dict(stream.dtypes)
@@ -158,10 +161,12 @@ def one_per_key(stream: DataFrame, keys: list[str], order: list[str], event_time
 
     ms = lambda t: int(t.total_seconds() * 1000)
     timed = stream.withColumn("at_", F.coalesce(F.col(event_time).cast("timestamp"), F.timestamp_seconds(F.lit(0)))).withWatermark("at_", f"{ms(delay)} milliseconds")
-    packed = timed.select(*keys, "at_", F.unix_millis("at_").alias("ms_"), F.array(*[number(o) for o in order]).alias("place_"),
+    # one condition on the event time: it is not moved below the watermark, which sees every row
+    keyed = timed.where(F.when(F.col("at_") >= F.timestamp_seconds(F.lit(-62135596800)), F.coalesce(*[F.col(k).cast("string") for k in keys]).isNotNull()))
+    packed = keyed.select(*keys, "at_", F.unix_millis("at_").alias("ms_"), F.array(*[number(o) for o in order]).alias("place_"),
+                          (F.lit("") if each is None else F.coalesce(F.col(each).cast("string"), F.lit(""))).alias("each_"),
                           F.to_json(F.struct(*[f.name for f in rest]), JSON).alias("body_"))
-    key_fields = [stream.schema[k] for k in keys]
-    schema = StructType([*key_fields, StructField("settled_at", TimestampType()), StructField("body_", StringType())])
+    schema = StructType([*[stream.schema[k] for k in keys], StructField("settled_at", TimestampType()), StructField("body_", StringType())])
     done = packed.groupBy(*keys).transformWithStateInPandas(
         OnePerKey(keys, latest, ms(delay), None if forget is None else ms(forget)), outputStructType=schema, outputMode="Append", timeMode="EventTime",
         eventTimeColumnName="settled_at")
@@ -175,15 +180,26 @@ def wait(query: StreamingQuery) -> None:
         raise query.exception()
 
 
-def run_to_end(df: DataFrame, checkpoint: str, out: str) -> None:
-    """Write a stream to parquet until its present input is used up. Its state is kept on disk, not in executor memory, unless
-    the session names another store."""
-    conf, key = df.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
-    before = conf.get(key, None)
-    if not (before or "").endswith("RocksDBStateStoreProvider") and (before is None or before.endswith("HDFSBackedStateStoreProvider")):
-        conf.set(key, ROCKSDB)
+@contextmanager
+def stores_on_disk(spark: SparkSession, settings: dict[str, str] | None = None) -> Iterator[None]:
+    """Queries started inside keep their state on disk, not in executor memory, unless the session names another store; with further settings."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    now = spark.conf.get(key, None)
+    wanted = dict(settings or {})
+    if not (now or "").endswith("RocksDBStateStoreProvider") and (now is None or now.endswith("HDFSBackedStateStoreProvider")):
+        wanted[key] = ROCKSDB
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def run_to_end(df: DataFrame, checkpoint: str, out: str) -> None:
+    """Write a stream to parquet until its present input is used up."""
+    with stores_on_disk(df.sparkSession):
         wait(df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
-    finally:
-        conf.unset(key) if before is None else conf.set(key, before)
