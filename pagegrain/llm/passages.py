@@ -251,7 +251,8 @@ def stretches(texts: DataFrame, cuts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = cuts.select("doc_id", "row", F.explode(F.arrays_zip("pos", "gram", "digest")).alias("s")).select("doc_id", "row", "s.pos", "s.gram", "s.digest")
-    several = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("gram").alias("g"))
+    # written, so that the join is dealt by itself and a gram that stands in many texts can be split
+    several = written(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("gram").alias("g")), "grams")
     segments_ = written(found.join(several, F.col("gram") == F.col("g"), "left_semi"), "segments")
     first = F.struct("doc_id", F.floor(F.col("pos") / PLACES).alias("start"), "pos", "row")
     contents = written(segments_.groupBy("gram", "digest").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies")), "contents")
