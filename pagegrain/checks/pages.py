@@ -224,15 +224,15 @@ WITH r AS (SELECT url || CASE WHEN page_id % 2 = 0 THEN '#a' ELSE '' END AS url,
 k AS (SELECT *, regexp_replace(url, '#.*$', '') AS bare FROM r),
 c AS (SELECT *, regexp_replace(bare, '\\?.*$', '') || CASE WHEN regexp_extract(bare, '\\?(.*)$', 1) = '' THEN '' ELSE '?' ||
    array_to_string(list_sort(string_split(regexp_extract(bare, '\\?(.*)$', 1), '&')), '&') END AS key FROM k)
-SELECT url FROM c WHERE dont_filter
-UNION ALL SELECT min(url) FROM c WHERE NOT coalesce(dont_filter, false) GROUP BY key""")
+SELECT url, true AS dont_filter FROM c WHERE dont_filter
+UNION ALL SELECT min(url), false FROM c WHERE NOT coalesce(dont_filter, false) GROUP BY key""")
 def b8_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     marked = pages.select(
         F.concat("url", F.when(F.col("page_id") % 2 == 0, "#a").otherwise("")).alias("url"),
         F.when(F.col("page_id") % 5 != 0, F.col("page_id") % 3 == 0).alias("dont_filter"))
     plain = pages.select("url", F.lit(False).alias("dont_filter"))
-    return B.dedup_requests(marked.unionByName(plain)).select("url")
+    return B.dedup_requests(marked.unionByName(plain)).select("url", F.coalesce("dont_filter", F.lit(False)).alias("dont_filter"))
 
 
 @check("b9_query_url", """

@@ -57,34 +57,41 @@ def attr_text(value: str) -> str:
 class PageNodes:
     """Nodes of one page that pass ``wanted(tag, attrs, path)``: 0 skips, 1 keeps, 2 keeps with its markup.
 
-    ``wanted.tags``, where there is one, names the tags it may keep: attributes of other tags are not read. Markup is written only while
-    a node that keeps it is open, or for the whole page with ``with_html``.
+    ``wanted.tags``, where there is one, names the tags it may keep: attributes of other tags are not read. ``wanted.paths`` names those whose
+    tag path is read; other nodes have none. Markup is written only while a node that keeps it is open, or for the whole page with ``with_html``.
+
+    Time and memory grow with the page, however deep it is nested: an open element knows its name and its parent's number, and where
+    the innermost open element of a name stands is known by name.
     """
 
     def __init__(self, html: str, wanted, with_html: bool = True):
-        self.wanted, self.tags = wanted, getattr(wanted, "tags", None)
+        self.wanted, self.tags, self.paths = wanted, getattr(wanted, "tags", None), getattr(wanted, "paths", None)
         self.wants_text = self.tags is None or "#text" in self.tags
         self.writing = int(with_html)
         self.out: list[str] = []
         self.nodes: list[list] = []
         self.pre = 0
-        # open elements: tag, pre, path, child counts, start in out, kept node, keep its markup
-        self.open: list[tuple] = [("", 0, "", {}, 0, None, False)]
+        # open elements: tag, pre, child counts, start in out, kept node, keep its markup
+        self.open: list[tuple] = [("", 0, {}, 0, None, False)]
+        #: places in ``open`` of the open elements of a name
+        self.places: dict[str, list[int]] = {}
         self._read(html)
         self._close_to(1)
 
     def _read(self, html: str) -> None:
-        pos, end = 0, len(html)
-        while pos < end:
-            token = TOKEN.search(html, pos)
+        # no tag ends after the last bracket
+        pos, end, limit = 0, len(html), html.rfind(">") + 1
+        while pos < limit:
+            token = TOKEN.search(html, pos, limit)
             if token is None:
-                self._text(html[pos:])
-                return
+                break
             if token.start() > pos:
                 self._text(html[pos:token.start()])
             pos = token.end()
             name = token.group(2)
             if name is None:
+                if token.group().startswith("<!--") and not token.group().endswith("-->"):
+                    return
                 continue
             name = name.lower()
             if token.group(1):
@@ -96,6 +103,14 @@ class PageNodes:
                 stop_at = stop.start() if stop else end
                 self._text(html[pos:stop_at], raw=True)
                 pos = stop_at
+        if pos < end:
+            self._text(html[pos:].partition("<!--")[0])
+
+    def _path(self, tag: str, name: str) -> str | None:
+        """The names of the open elements and ``name``, where a test reads them."""
+        if self.paths is not None and tag not in self.paths:
+            return None
+        return "/".join([e[0] for e in self.open] + [name])
 
     def _text(self, data: str, raw: bool = False) -> None:
         if not raw and "&" in data:
@@ -104,10 +119,12 @@ class PageNodes:
             return
         self.pre = pre = self.pre + 1
         parent = self.open[-1]
-        if parent[5] is not None:
-            parent[5][8] = (parent[5][8] or "") + data
+        if parent[4] is not None:
+            if parent[4][8] is None:
+                parent[4][8] = []
+            parent[4][8].append(data)
         if self.wants_text:
-            path = parent[2] + "/text()"
+            path = self._path("#text", "text()")
             if self.wanted("#text", {}, path):
                 self.nodes.append([pre, pre, parent[1], len(self.open), "#text", 1, path, {}, data, None])
         if self.writing:
@@ -122,8 +139,8 @@ class PageNodes:
         attrs = attributes(source) if source and (tested or self.writing) else {}
         parent = self.open[-1]
         self.pre = pre = self.pre + 1
-        nth = parent[3][name] = parent[3].get(name, 0) + 1
-        path = parent[2] + "/" + name
+        nth = parent[2][name] = parent[2].get(name, 0) + 1
+        path = self._path(name, name) if tested else None
         keep = self.wanted(name, attrs, path) if tested else 0
         node = None
         if keep:
@@ -137,33 +154,33 @@ class PageNodes:
                 node[9] = self.out[-1] if self.writing else self.out.pop()
             return
         self.writing += keep == 2
-        self.open.append((name, pre, path, {}, begin, node, keep == 2))
+        self.places.setdefault(name, []).append(len(self.open))
+        self.open.append((name, pre, {}, begin, node, keep == 2))
+
+    def _innermost(self, names: frozenset) -> int:
+        """Place of the innermost open element of these names; 0 without one."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
 
     def _close_first(self, closers: frozenset, barrier: frozenset) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.open[i][0]
-            if tag in closers:
-                self._close_to(i)
-                return
-            if tag in barrier:
-                return
+        at = self._innermost(closers)
+        if at > self._innermost(barrier):
+            self._close_to(at)
 
     def _end(self, name: str) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.open[i][0]
-            if tag == name:
-                self._close_to(i)
-                return
-            if tag in CELL_SCOPE and name not in TABLE_PARTS:
-                return
+        at = self.places.get(name)
+        if at and (name in TABLE_PARTS or at[-1] >= self._innermost(CELL_SCOPE)):
+            self._close_to(at[-1])
 
     def _close_to(self, depth: int) -> None:
         while len(self.open) > depth:
-            tag, _, _, _, begin, node, markup = self.open.pop()
+            tag, _, _, begin, node, markup = self.open.pop()
+            self.places[tag].pop()
             if self.writing:
                 self.out.append("</" + tag + ">")
             if node is not None:
                 node[1] = self.pre
+                if node[8] is not None:
+                    node[8] = "".join(node[8])
                 if markup:
                     node[9] = "".join(self.out[begin:])
                     self.writing -= 1
@@ -175,12 +192,12 @@ class PageNodes:
         return "".join(self.out)
 
 
-# a node test as plain values: tag, attribute (None: any; "@path": the tag path), operation, value, with markup
-Spec = tuple[str, str | None, str, str, bool]
+# a node test as plain values: tag, attribute (None: any; "@path": the tag path), operation, value, with markup, with the tag path
+Spec = tuple[str, str | None, str, str, bool, bool]
 
 
-def passes(spec: Spec, attrs: dict[str, str], path: str) -> bool:
-    _, attr, op, value, _ = spec
+def passes(spec: Spec, attrs: dict[str, str], path: str | None) -> bool:
+    _, attr, op, value = spec[:4]
     if attr is None:
         return True
     actual = path if attr == "@path" else attrs.get(attr)
@@ -207,6 +224,7 @@ def wanted_by(specs: list[Spec]):
         return best
 
     wanted.tags = frozenset(by_tag)
+    wanted.paths = frozenset(spec[0] for spec in specs if spec[1] == "@path" or any(spec[5:]))
     return wanted
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagegrain.functions import text as X
 from pagegrain.functions.price import first_digits
 from pagegrain.functions.urls import canonical, host
+from pagegrain.operators.quality import reject_rows
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -27,9 +28,30 @@ def letter_urls(sites: DataFrame) -> DataFrame:
         "site", "letter", F.concat("base", "letter").alias("url"))
 
 
-def page_range(last: Column) -> Column:
-    """1..last; empty when the number is unknown or below one."""
-    return F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+#: Pages of an inner range; the outer one has as many entries less.
+RANGE = 1000
+
+
+def page_rows(df: DataFrame, last: Column, most: int | None = None, page: str = "page") -> DataFrame:
+    """``df`` with one row per page 1..last; none where the number is unknown, below one, or above ``most``.
+
+    Pages come from two nested ranges, so no list is as long as a number that some link happens to show. What ``most`` leaves out is
+    told by ``page_rejects``.
+    """
+    last = last.cast("bigint")
+    likely = last >= 1 if most is None else (last >= 1) & (last <= most)
+    blocks = F.when(likely, F.sequence(F.lit(0).cast("bigint"), F.floor((last - 1) / RANGE)))
+    # a row's generated rows are buffered until the next operator that is not fused with it: the sort of the few blocks is one
+    cut = df.select("*", last.alias("__last"), F.explode(blocks).alias("__block")).sortWithinPartitions("__block")
+    start = F.col("__block") * RANGE
+    inside = F.sequence(start + 1, F.least(start + RANGE, F.col("__last")))
+    return cut.select(*df.columns, F.explode(inside).alias("__page")).select(*df.columns, F.col("__page").cast("int").alias(page))
+
+
+def page_rejects(df: DataFrame, page_id: str, url: str, last: Column, most: int) -> DataFrame:
+    """Pagers whose last page is above ``most``: page_id, url, stage, and the number as the reason."""
+    told = df.withColumn("__last", last.cast("bigint"))
+    return reject_rows(told, page_id, url, {"pages": F.col("__last") > most}, F.concat(F.col("__last").cast("string"), F.lit(" pages")))
 
 
 def last_page(pager: Column, rule: str) -> Column:
@@ -39,17 +61,16 @@ def last_page(pager: Column, rule: str) -> Column:
     ``pg=``: third link from the end.
     """
     if rule == "last":
-        return F.try_element_at(pager, F.lit(-1)).try_cast("int")
+        return F.try_element_at(pager, F.lit(-1)).try_cast("bigint")
     if rule == "first":
         return first_digits(F.get(pager, F.lit(0)))
     from_end = {"page=": -2, "pg=": -3}[rule]
-    return X.group(F.try_element_at(pager, F.lit(from_end)), rule + "(.*?)$").try_cast("int")
+    return X.group(F.try_element_at(pager, F.lit(from_end)), rule + "(.*?)$").try_cast("bigint")
 
 
-def page_urls_known(pagers: DataFrame, base: Column, pager: Column, rule: str) -> DataFrame:
-    """One url per page 1..last of each pager."""
-    return pagers.select("*", F.explode(page_range(last_page(pager, rule))).alias("page")).select(
-        *pagers.columns, "page", F.concat(base, F.col("page").cast("string")).alias("url"))
+def page_urls_known(pagers: DataFrame, base: Column, pager: Column, rule: str, most: int | None = None) -> DataFrame:
+    """One url per page 1..last of each pager; see ``page_rows``."""
+    return page_rows(pagers, last_page(pager, rule), most).withColumn("url", F.concat(base, F.col("page").cast("string")))
 
 
 # fixed values: pages asked per kind of overview, and jobs asked for, where the page does not tell how many there are
@@ -60,7 +81,7 @@ ASSUMED_JOBS, JOBS_PER_PAGE = 199, 50
 def shown_pages(body: Column) -> Column:
     """Largest page number that the links of a page ask for; null when it has no such link."""
     numbers = F.regexp_extract_all(body, F.lit("(?i)[?&](?:amp;)?page=([0-9]+)"), F.lit(1))
-    return F.array_max(F.transform(numbers, lambda x: x.try_cast("int")))
+    return F.array_max(F.transform(numbers, lambda x: x.try_cast("bigint")))
 
 
 def page_count(kind: Column, shown: Column | None = None, assumed: dict[str, int] | None = None) -> Column:
@@ -72,10 +93,9 @@ def page_count(kind: Column, shown: Column | None = None, assumed: dict[str, int
 
 
 def page_urls_fixed(categories: DataFrame, kind: Column, base: Column, shown: Column | None = None,
-                    assumed: dict[str, int] | None = None) -> DataFrame:
-    """One url per page of an overview; see ``page_count``."""
-    return categories.select("*", F.explode(page_range(page_count(kind, shown, assumed))).alias("page")).select(
-        *categories.columns, "page", F.concat(base, F.lit("&page="), F.col("page").cast("string")).alias("url"))
+                    assumed: dict[str, int] | None = None, most: int | None = None) -> DataFrame:
+    """One url per page of an overview; see ``page_count`` and ``page_rows``."""
+    return page_rows(categories, page_count(kind, shown, assumed), most).withColumn("url", F.concat(base, F.lit("&page="), F.col("page").cast("string")))
 
 
 def job_offsets(total: Column | None = None, step: int = JOBS_PER_PAGE, assumed: int = ASSUMED_JOBS) -> Column:

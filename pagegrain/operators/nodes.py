@@ -25,17 +25,21 @@ cloudpickle.register_pickle_by_value(htmlnodes)
 
 @dataclass(frozen=True)
 class Test:
-    """A node test. ``attr`` None tests the tag alone; ``@path`` tests the tag path from the page root."""
+    """A node test. ``attr`` None tests the tag alone; ``@path`` tests the tag path from the page root.
+
+    Nodes have a ``path`` only where a test of their tag reads it or asks for it with ``path``: a page that nests deeply has long ones.
+    """
 
     tag: str
     attr: str | None = None
     op: str = "eq"
     value: str = ""
     markup: bool = False
+    path: bool = False
 
     @property
     def spec(self) -> htmlnodes.Spec:
-        return (self.tag, self.attr, self.op, self.value, self.markup)
+        return (self.tag, self.attr, self.op, self.value, self.markup, self.path)
 
     def sql(self, node: str) -> str:
         """The same test as SQL on a node struct."""
@@ -104,14 +108,30 @@ def where(nodes: Nodes, condition: str) -> Nodes:
     return Nodes(f"filter({nodes}, n -> {condition})")
 
 
+#: Ancestors up to which each node is compared with all of them.
+FEW = 16
+
+
 def descendants(ancestors: Nodes, nodes: Nodes) -> Nodes:
-    """The nodes that lie inside one of the ancestors (interval test, each node once)."""
-    inside = f"filter({nodes}, d -> exists(up, a -> d.pre > a.pre AND d.pre <= a.end))"
-    return Nodes(let(ancestors, "up", inside))
+    """The nodes that lie inside one of the ancestors (interval test, each node once).
+
+    Many ancestors are merged with the nodes: in the order of their numbers, a node lies inside one if the largest end of the ancestors
+    before it reaches it. Running maxima are taken by blocks of about the square root of the entries.
+    """
+    inside = "filter(below, d -> exists(up, a -> d.pre > a.pre AND d.pre <= a.end))"
+    marks = ("array_sort(concat(transform(up, a -> struct(a.pre AS p, 1 AS k, a.end AS e, 0 AS i)), "
+             "transform(below, (d, i) -> struct(d.pre AS p, 0 AS k, 0 AS e, i AS i))))")
+    reached = "greatest(get(before, j div s), array_max(slice(ends, (j div s) * s + 1, j % s + 1)))"
+    found = f"filter(marks, (m, j) -> m.k = 0 AND {reached} >= m.p)"
+    picked = f"transform(array_sort(transform({found}, m -> m.i)), i -> get(below, i))"
+    blocks = "transform(sequence(0, (size(ends) - 1) div s), b -> array_max(slice(ends, b * s + 1, s)))"
+    merged = let(marks, "marks", let("transform(marks, m -> m.e)", "ends", let("CAST(ceil(sqrt(size(ends))) AS INT)", "s", let(
+        blocks, "tops", let("transform(tops, (x, b) -> array_max(slice(tops, 1, b)))", "before", picked)))))
+    return Nodes(let(ancestors, "up", let(nodes, "below", f"if(size(up) <= {FEW} OR size(below) = 0, {inside}, {merged})")))
 
 
 def children(parents: Nodes, nodes: Nodes) -> Nodes:
-    return Nodes(let(parents, "up", f"filter({nodes}, d -> exists(up, a -> d.parent = a.pre))"))
+    return Nodes(let(f"transform({parents}, a -> a.pre)", "up", f"filter({nodes}, d -> array_contains(up, d.parent))"))
 
 
 def nth_child(nodes: Nodes, tag: str, n: int) -> Nodes:

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from pagegrain.operators.sets import staged
 
 
-def reject_rows(df: DataFrame, page_id: str, url: str, checks: dict[str, Column]) -> DataFrame:
+def reject_rows(df: DataFrame, page_id: str, url: str, checks: dict[str, Column], reason: Column | None = None) -> DataFrame:
     """One row per failed check: page_id, url, stage, reason. One pass, no shuffle."""
     failed = F.array_compact(F.array(*[F.when(bad, F.lit(stage)) for stage, bad in checks.items()]))
-    return df.select(
-        F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.explode(failed).alias("stage")
-    ).withColumn("reason", F.lit("not found or not readable"))
+    why = F.lit("not found or not readable") if reason is None else reason
+    return df.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.explode(failed).alias("stage"), why.alias("reason"))
 
 
 def with_failed(df: DataFrame, checks: dict[str, Column]) -> DataFrame:

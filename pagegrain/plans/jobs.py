@@ -69,8 +69,8 @@ def brassring_rejects(pages: DataFrame, staging: str | None = None) -> DataFrame
 
 def _pentair_tests() -> list[N.Test]:
     spans = [N.Test("span", "id", "starts", v) for v in PENTAIR_FIELDS.values()]
-    boxes = [N.Test("div", "id", "starts", v) for v in PENTAIR_TEXTS.values()]
-    return [*spans, *boxes, N.Test(N.TEXT)]
+    boxes = [N.Test("div", "id", "starts", v, path=True) for v in PENTAIR_TEXTS.values()]
+    return [*spans, *boxes, N.Test(N.TEXT, path=True)]
 
 
 def _box_text(marker: str) -> Column:

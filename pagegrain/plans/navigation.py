@@ -50,23 +50,34 @@ def letter_seeds(spark: SparkSession) -> DataFrame:
     return B.letter_urls(spark.createDataFrame(rows, "site string, base string, digit_token string, upper boolean"))
 
 
-def numbered_pages(pages: DataFrame, site: str) -> DataFrame:
-    """Listing urls 1..last of one site's pagers: page_id, page, url. The links of the two link pagers keep
-    their own prefix up to the page number."""
-    path, attr, rule, base = PAGERS[site]
+def pagers_of(pages: DataFrame, site: str) -> DataFrame:
+    """The texts or links of one site's pagers: page_id, url, pager."""
+    path, attr, _, _ = PAGERS[site]
     docs = N.parse_nodes(pages.where(F.col("site") == site), [*path, T_(N.TEXT)], ["page_id", "url"])
     if site == "raise":
         items = N.nth_child(N.under(N.ALL, *path[:2]), "li", 4)
         pager = N.values(N.children(N.children(items, N.select(N.ALL, path[2])), N.select(N.ALL, T_(N.TEXT))))
     else:
         pager = N.own_texts(N.ALL, *path) if attr is None else N.values(N.under(N.ALL, *path), attr)
-    staged = docs.select("page_id", "url", pager.alias("pager"))
+    return docs.select("page_id", "url", pager.alias("pager"))
+
+
+def unlikely_pagers(pages: DataFrame, site: str, most: int) -> DataFrame:
+    """Pagers of a site that show more than ``most`` pages, with the number: page_id, url, stage, reason."""
+    return B.page_rejects(pagers_of(pages, site), "page_id", "url", B.last_page(F.col("pager"), PAGERS[site][2]), most)
+
+
+def numbered_pages(pages: DataFrame, site: str, most: int | None = None) -> DataFrame:
+    """Listing urls 1..last of one site's pagers: page_id, page, url. The links of the two link pagers keep
+    their own prefix up to the page number. Pagers above ``most`` are left to ``unlikely_pagers``."""
+    _, attr, rule, base = PAGERS[site]
+    staged = pagers_of(pages, site)
     prefix = F.lit(base)
     if attr is not None:
         link = F.try_element_at("pager", F.lit({"page=": -2, "pg=": -3}[rule]))
         prefix = F.concat(prefix, F.regexp_extract(link, f"(?is)^.*?{rule}", 0))
     numbered = B.page_urls_known(staged.withColumn("__prefix", prefix).withColumnRenamed("url", "page_url"),
-                                 F.col("__prefix"), F.col("pager"), rule)
+                                 F.col("__prefix"), F.col("pager"), rule, most)
     if site != "pandacashback":
         return numbered.select("page_id", "page", "url")
     # a letter with one page is its own listing
@@ -129,7 +140,7 @@ def parent_tag() -> Column:
 def intermix_categories(pages: DataFrame) -> DataFrame:
     """Menu of the home pages, top entries and sub-entries: page_id, pos, category, sub_category, category_id,
     link."""
-    nodes = menu_nodes(pages, [MENU_BOX, MENU, T_("li"), T_("div"), T_("a")], ["page_id"])
+    nodes = menu_nodes(pages, [MENU_BOX, MENU, T_("li"), T_("div"), T_("a", path=True)], ["page_id"])
     is_menu = (F.col("tag") == "ul") & (F.try_element_at("attrs", F.lit("class")) == "sf-menu")
     boxed = nodes.withColumn("boxed", inside_any((F.col("tag") == "div") & (F.try_element_at("attrs", F.lit("class")) == "leftCategoryNavContainer")))
     menus = boxed.withColumn("menu", enclosing(is_menu & F.col("boxed"), F.col("pre")))
@@ -152,10 +163,11 @@ def intermix_categories(pages: DataFrame) -> DataFrame:
     return rows.select("page_id", pos, "category", "sub_category", "category_id", "link").where(E.followed_subcategory(F.col("sub_category")))
 
 
-def intermix_overviews(pages: DataFrame) -> DataFrame:
+def intermix_overviews(pages: DataFrame, most: int | None = None) -> DataFrame:
     """Listing urls of the overview pages by their kind: page_id, kind, label, url.
 
-    Pages carry their category path; its second level decides about look pages, the content about the rest. The
+    Pages carry their category path; its second level decides about look pages, the content about the rest. Overviews that show more
+    than ``most`` pages give none (see ``unlikely_overviews``). The
     category id comes from the page's script, else from the url's ``cat`` parameter.
     """
     tests = [LOOKS, LOOK_ACTION, LOOK_ALL, LOOK_NAME, MASTER, REPORT, DIRECTORY, DIRECTORY_ITEM, T_("a"), T_(N.TEXT)]
@@ -171,33 +183,40 @@ def intermix_overviews(pages: DataFrame) -> DataFrame:
         F.transform(looks, lambda x: F.regexp_extract(x, "viewAll_(.*)", 1)).alias("look_ids"),
         F.transform(N.texts_under(N.ALL, LOOKS, LOOK_NAME), X.clean).alias("look_names"), reports.alias("reports"))
 
-    def entries(kind: str, urls: Column, labels: Column | None = None) -> Column:
+    def entries(kind: str, urls: Column, labels: Column | None = None, count: Column | None = None) -> Column:
         named = F.arrays_zip(urls.alias("u"), (F.transform(urls, lambda u: F.lit("")) if labels is None else labels).alias("l"))
-        return F.when(F.col("kind") == kind, F.transform(named, lambda z: F.struct(z["u"].alias("url"), z["l"].alias("label"))))
-
-    def pages_of(kind: str) -> Column:
-        return B.page_range(B.page_count(F.lit(kind), F.col("shown")))
+        last = F.lit(1).cast("bigint") if count is None else count.cast("bigint")
+        return F.when(F.col("kind") == kind, F.transform(named, lambda z: F.struct(z["u"].alias("url"), z["l"].alias("label"), last.alias("last"))))
 
     look_urls = F.transform("look_ids", lambda i: F.concat(F.lit(LOOK_URL), i, F.lit("&ajaxRequest=true")))
     report_urls = F.transform("reports", lambda u: absolute_url(F.replace(u, F.lit("\n"), F.lit("")), intermix.BASE_URL, force=False))
     report_names = F.transform("reports", lambda u: F.replace(F.regexp_extract(u, ".*/(.*?)\\.", 1), F.lit("+"), F.lit(" ")))
+    # directories and grids are one entry here, and one row per page below
     stem = F.concat(F.substring_index("url", "?", 1), F.lit("?filterCategoryId="), "id", F.lit("&page="))
-    directory = F.transform(pages_of("directory"), lambda p: F.concat(stem, p.cast("string")))
-    grid = F.transform(pages_of("grid"), lambda p: listing_page_url(intermix.AJAX_URL, F.col("id"), p))
+    numbered = {kind: B.page_count(F.lit(kind), F.col("shown")) for kind in ("directory", "grid")}
     every = F.coalesce(entries("looks", look_urls, F.col("look_names")), entries("report", report_urls, report_names),
-                       entries("directory", directory), entries("grid", grid))
-    return staged.select("page_id", "kind", F.explode(every).alias("e")).select("page_id", "kind", "e.label", "e.url")
+                       entries("directory", F.array(stem), None, numbered["directory"]), entries("grid", F.array(F.lit("")), None, numbered["grid"]))
+    rows = staged.select("page_id", "kind", "id", F.explode(every).alias("e")).select("page_id", "kind", "id", "e.*")
+    paged = B.page_rows(rows, F.col("last"), most)
+    url = F.when(F.col("kind") == "directory", F.concat("url", F.col("page").cast("string"))).when(
+        F.col("kind") == "grid", listing_page_url(intermix.AJAX_URL, F.col("id"), F.col("page"))).otherwise(F.col("url"))
+    return paged.select("page_id", "kind", "label", url.alias("url"))
 
 
-def intermix_report_pages(pages: DataFrame) -> DataFrame:
+def intermix_report_pages(pages: DataFrame, most: int | None = None) -> DataFrame:
     """Listing urls of the trend-report pages: page_id, page, url."""
     found = script_var(F.col("html"), "id=\"DirGridCat_(.*?)\"")
     rows = pages.select("page_id", found.alias("id"), B.shown_pages(F.col("html")).alias("shown")).where("id IS NOT NULL")
     count = B.page_count(F.lit("report"), F.col("shown"))
-    return rows.select("page_id", "id", F.explode(B.page_range(count)).alias("page")).select(
+    return B.page_rows(rows, count, most).select(
         "page_id", "page", listing_page_url(intermix.AJAX_URL, F.col("id"), F.col("page")).alias("url"))
 
 
+def unlikely_overviews(pages: DataFrame, most: int) -> DataFrame:
+    """Overview and report pages whose links show more than ``most`` pages, with the number: page_id, url, stage, reason."""
+    return B.page_rejects(pages, "page_id", "url", B.shown_pages(F.col("html")), most)
+
+
 def tory_starts(pages: DataFrame) -> DataFrame:
     """Country start requests from the shipping page: country_code, currency, language, url; a country outside
     the tables has null currency (a reject)."""
@@ -228,7 +247,7 @@ def tory_regions(pages: DataFrame) -> DataFrame:
 def tory_categories(pages: DataFrame) -> DataFrame:
     """Menu entries of the main pages: page_id, category, sub_category (array), link. Categories without a
     sub-menu give their own links."""
-    tests = [NAVIGATION, CATEGORY_MENU, T_("ul"), T_("li"), T_("span"), T_("a")]
+    tests = [NAVIGATION, CATEGORY_MENU, T_("ul"), T_("li", path=True), T_("span"), T_("a")]
     nodes = menu_nodes(pages, tests, ["page_id", "country_code"])
     heads = F.array(*[F.lit(c) for c in tory.CATEGORIES if c != "home"])
     style, name = F.try_element_at("attrs", F.lit("class")), F.try_element_at("attrs", F.lit("id"))
@@ -259,7 +278,7 @@ def tory_categories(pages: DataFrame) -> DataFrame:
 def japan_categories(pages: DataFrame) -> DataFrame:
     """Menu entries of the Japanese shop: page_id, category, sub_category, link. The i-th category owns the i-th
     menu box and every link with its name in the path."""
-    docs = N.parse_nodes(pages, [JP_NAV, T_("div", "id", "starts", "menu"), T_("li"), T_("a")], ["page_id"])
+    docs = N.parse_nodes(pages, [JP_NAV, T_("div", "id", "starts", "menu", path=True), T_("li"), T_("a", path=True)], ["page_id"])
     # each link once, with the (few) menu boxes at hand
     staged = docs.select("page_id", F.explode(N.under(N.ALL, JP_NAV, T_("li"), T_("a")).col).alias("n"),
                          N.under(N.ALL, JP_NAV, T_("div", "id", "starts", "menu")).col.alias("boxes"))

@@ -1,6 +1,12 @@
 """The parse helper: numbering, serialising, auto-closing, stray tags."""
 
+import random
+import time
+
+import pytest
+
 from pagegrain.functions.htmlnodes import PageNodes, wanted_by
+from pagegrain.operators import nodes as N
 
 
 def keep_all(tag, attrs, path):
@@ -62,3 +68,42 @@ def test_comments_doctype_and_unclosed_comment_are_dropped():
 
 def test_lone_angle_bracket_is_text():
     assert PageNodes("a < b and <p>c", keep_all).html == "a &lt; b and <p>c</p>"
+
+
+def timed(html, keep=None):
+    start = time.process_time()
+    page = PageNodes(html, keep or wanted_by([("b", None, "eq", "", False, False)]), with_html=False)
+    return page, time.process_time() - start
+
+
+@pytest.mark.parametrize("html", [
+    "<font>" * 100_000, "<div>" * 100_000, "<li><b>" * 50_000, "<i>" * 4_000 + "</u>" * 100_000, "<p><table><tr><td>" + "<font>" * 50_000 + "</p>" * 50_000,
+    "<font>" * 50_000 + "<div>" * 50_000, "<a " * 100_000, "<b>" + "x<br>" * 100_000 + "</b>", "<!--" * 100_000, "<a title='" * 50_000 + ">"])
+def test_no_page_takes_more_than_its_length(html):
+    """Unclosed tags, end tags nobody opened, brackets without an end: time and memory grow with the page."""
+    _, seconds = timed(html)
+    assert seconds < 20
+
+
+def test_deep_nesting_numbers_nodes():
+    page, _ = timed("<b>" * 100_000 + "x")
+    assert len(page.nodes) == 100_000 and page.nodes[0][1] == 100_001 and page.nodes[-1][2] == 99_999 and page.nodes[0][6] is None
+
+
+def test_descendants_of_many_nodes(spark):
+    """The merge by order gives what comparing all pairs gives, also where ancestors nest; its time grows with the nodes."""
+    rng = random.Random(3)
+    html = "".join(rng.choice(["<div>", "</div>", "<b>x</b>", "<ul><li>", "</ul>", "<div class='a'>"]) for _ in range(3000))
+    docs = N.parse_nodes(spark.createDataFrame([(1, html)], "page_id int, html string"), [N.Test("div"), N.Test("li"), N.Test("b")], ["page_id"])
+    up, below = N.select(N.ALL, N.Test("div", "class", "eq", "a")), N.select(N.ALL, N.Test("b"), N.Test("div"))
+    row = docs.select(N.ALL.col.alias("all"), N.descendants(up, below).col.alias("got"), N.children(up, below).col.alias("kids"), N.count(up).alias("n")).first()
+    marks = [(n.pre, n.end) for n in row["all"] if n.tag == "div" and n.attrs.get("class") == "a"]
+    wanted = [n for n in row["all"] if n.tag in ("b", "div")]
+    assert row["n"] > N.FEW
+    assert [n.pre for n in row["got"]] == [n.pre for n in wanted if any(p < n.pre <= e for p, e in marks)]
+    assert [n.pre for n in row["kids"]] == [n.pre for n in wanted if n.parent in {p for p, _ in marks}]
+    wide = "<ul>" + "<li><b>x</b></li>" * 25_000 + "</ul>"
+    docs = N.parse_nodes(spark.createDataFrame([(1, wide)], "page_id int, html string"), [N.Test("li"), N.Test("b")], ["page_id"])
+    start = time.time()
+    assert docs.select(N.count(N.descendants(N.select(N.ALL, N.Test("li")), N.select(N.ALL, N.Test("b")))).alias("n")).first()["n"] == 25_000
+    assert time.time() - start < 30

@@ -68,8 +68,13 @@ def test_page_lists(spark):
     def value(c):
         return spark.range(1).select(c.alias("v")).first()["v"]
 
-    assert value(B.page_range(F.lit(3))) == [1, 2, 3]
-    assert value(B.page_range(F.lit(None).cast("int"))) == []
+    pagers = spark.createDataFrame([(1, "u1", 3), (2, "u2", None), (3, "u3", 0), (4, "u4", 2500), (5, "u5", 300_000_000)], "page_id int, url string, last int")
+    few = B.page_rows(pagers, F.col("last"), 5000)
+    assert sorted((r.page_id, r.n, r.lo, r.hi) for r in few.groupBy("page_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("page").alias("lo"), F.max("page").alias("hi")).collect()) == [(1, 3, 1, 3), (4, 2500, 1, 2500)]
+    # the range of a number in some link is never a list
+    assert [r.page for r in B.page_rows(pagers.where("page_id = 5"), F.col("last")).limit(3).collect()] == [1, 2, 3]
+    assert [(r.page_id, r.stage, r.reason) for r in B.page_rejects(pagers, "page_id", "url", F.col("last"), 5000).collect()] == [(5, "pages", "300000000 pages")]
     links = F.array(F.lit("/s?page=3"), F.lit("/s?page=2"), F.lit("/s?page=3"))
     assert value(B.pages_from_links(links)) == ["/s?page=1", "/s?page=2", "/s?page=3"]
     assert value(B.last_page(F.array(F.lit("a"), F.lit("/r?page=12"), F.lit("next")), "page=")) == 12
