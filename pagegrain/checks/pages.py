@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from pagegrain.functions.markup import script_var
 from pagegrain.operators import frontier as B
 from pagegrain.operators import nodes as N
 from pagegrain.operators.filters import followed_label
+from pagegrain.operators.sets import staged
 from pagegrain.schemas import conform, JOBS, PRODUCTS
 from pagegrain.session import scratch_path
 from pagegrain.sources import sinks
@@ -83,6 +87,17 @@ def a4_products_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("country_code", "base_sku", "title", "s.size_identifier", F.col("s.stock").cast(LONG).alias("stock"))
 
 
+@check("a4_lookup", """
+SELECT 'c' || (p_partkey % 4) AS country_code, 'p' || p_partkey AS base_sku, p_name AS title FROM part WHERE p_partkey % 50 = 7""")
+def a4_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products by key from the clustered files."""
+    path, part = scratch_path(spark, "a4"), table(spark, sf_dir, "part")
+    products = part.select(F.concat(F.lit("c"), F.col("p_partkey") % 4).alias("country_code"), F.concat(F.lit("p"), "p_partkey").alias("base_sku"), F.array("p_name").alias("title"))
+    sinks.write_products(conform(products, PRODUCTS), path)
+    wanted = part.where("p_partkey % 50 = 7").select(F.concat(F.lit("p"), "p_partkey").alias("base_sku"))
+    return spark.read.parquet(path).join(wanted, "base_sku", "left_semi").select("country_code", "base_sku", F.get("title", F.lit(0)).alias("title"))
+
+
 _ROUTE_HOSTS = [
     ("www.befrugal.com", "/coupons/stores/A", "befrugal", "listing"),
     ("giftcardgranny.com", "/buy/1", "giftcardgranny", "detail"),
@@ -235,6 +250,30 @@ def b8_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.dedup_requests(marked.unionByName(plain)).select("url", F.coalesce("dont_filter", F.lit(False)).alias("dont_filter"))
 
 
+@check("b8_rounds", r"""
+WITH r AS (SELECT 0 AS round, url FROM pages WHERE page_id % 3 = 0
+  UNION ALL SELECT 1, url || '#top' FROM pages WHERE page_id % 2 = 0
+  UNION ALL SELECT 2, CASE WHEN page_id % 5 = 0 THEN url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'z=1' ELSE url END FROM pages),
+k AS (SELECT round, url, regexp_replace(url, '#.*$', '') AS bare FROM r),
+c AS (SELECT round, url, regexp_replace(bare, '\?.*$', '') || CASE WHEN regexp_extract(bare, '\?(.*)$', 1) = '' THEN '' ELSE '?' ||
+  array_to_string(list_sort(string_split(regexp_extract(bare, '\?(.*)$', 1), '&')), '&') END AS key FROM k)
+SELECT min(round)::BIGINT AS round, key AS seen_key FROM c GROUP BY key""")
+def b8_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rounds of a crawl: each gives the urls that no earlier round had."""
+    pages, name, path = table(spark, sf_dir, "pages"), f"seen_{uuid.uuid4().hex[:12]}", scratch_path(spark, "seen")
+    key, url = F.col("page_id"), F.col("url")
+    more = F.concat(url, F.when(F.contains(url, F.lit("?")), "&").otherwise("?"), F.lit("z=1"))
+    rounds = [pages.where(key % 3 == 0).select("url"), pages.where(key % 2 == 0).select(F.concat("url", F.lit("#top")).alias("url")),
+              pages.select(F.when(key % 5 == 0, more).otherwise(url).alias("url"))]
+    seen, out = None, []
+    for i, requests in enumerate(rounds):
+        fresh = B.unseen(requests.withColumn("dont_filter", F.lit(False)), seen).select(F.lit(i).cast(LONG).alias("round"), "seen_key")
+        fresh = staged(fresh, scratch_path(spark, "round"))
+        out.append(fresh)
+        seen = B.remember(fresh, name, path, 8)
+    return reduce(DataFrame.unionByName, out)
+
+
 @check("b9_query_url", """
 SELECT p_partkey, 'http://shop.example/q/' || p_size || '?pid=' || p_partkey || '&format=json' AS variant_url,
   'http://img.example/image/' || p_name || '_S?req=imageset' AS image_url,

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagegrain.checks.base import check, table
+from pagegrain.checks.base import ORACLES, check, table
 from pagegrain.functions import markup as M
 from pagegrain.functions import text as X
 from pagegrain.operators import aggregates as G
 from pagegrain.operators import joins as J
 from pagegrain.operators import nested, quality, sets
 from pagegrain.operators import windows as H
+from pagegrain.session import scratch_path
+from pagegrain.sources import sinks
 
 LONG = "bigint"
 
@@ -32,13 +36,29 @@ i AS (SELECT l_orderkey, max(l_partkey) AS image FROM lineitem WHERE l_returnfla
 SELECT o_orderkey, c_name, n_variants, total, image
 FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN v ON v.l_orderkey = o_orderkey LEFT JOIN i ON i.l_orderkey = o_orderkey""")
 def f2_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.assemble(*_chain_sides(spark, sf_dir), ["o_orderkey"])
+
+
+def _chain_sides(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     key = F.col("l_orderkey").alias("o_orderkey")
     detail = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
     variants = lines.groupBy(key).agg(F.count(F.lit(1)).alias("n_variants"), F.round(F.sum("l_extendedprice"), 2).alias("total"))
     images = lines.where("l_returnflag = 'R'").groupBy(key).agg(F.max("l_partkey").alias("image"))
-    return J.assemble(orders.select("o_orderkey"), detail, variants, images, ["o_orderkey"])
+    return [orders.select("o_orderkey"), detail, variants, images]
+
+
+@check("f2_bucketed", ORACLES["f2_chain"])
+def f2_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same chain from tables that are bucketed by the key: nothing is moved above their scans."""
+    run = uuid.uuid4().hex[:12]
+    sides = [sinks.write_bucketed(side, f"chain_{i}_{run}", scratch_path(spark, f"chain{i}"), ["o_orderkey"], 8) for i, side in enumerate(_chain_sides(spark, sf_dir))]
+    joined = J.assemble_bucketed(*sides, ["o_orderkey"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:
+        raise AssertionError(plan)
+    return joined
 
 
 @check("f3_option", """

@@ -11,6 +11,7 @@ from pagegrain.functions import text as X
 from pagegrain.functions.price import first_digits
 from pagegrain.functions.urls import canonical, host
 from pagegrain.operators.quality import reject_rows
+from pagegrain.sources.sinks import write_bucketed
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -156,6 +157,26 @@ def dedup_requests(requests: DataFrame, url: str = "url", keep_all: str = "dont_
     return free.unionByName(once)
 
 
+def unseen(requests: DataFrame, seen: DataFrame | None, url: str = "url", keep_all: str = "dont_filter") -> DataFrame:
+    """The requests that no earlier round of the crawl had, and those marked to be repeated, with their canonical url as ``seen_key``.
+
+    ``seen`` has the ``seen_key`` of all earlier rounds, in a table bucketed by it (see ``remember``): only the new requests are shuffled. Requests
+    without url are none.
+    """
+    once = dedup_requests(requests.where(F.col(url).isNotNull()), url, keep_all).withColumn("seen_key", canonical(F.col(url)))
+    if seen is None:
+        return once
+    marked, free = F.coalesce(keep_all, F.lit(False)), once
+    fresh = free.where(~marked).join(seen.select("seen_key").hint("merge"), "seen_key", "left_anti")
+    return fresh.select(*once.columns).unionByName(free.where(marked))
+
+
+def remember(fresh: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
+    """Adds the ``seen_key`` of a round's requests (a written table) to the table of seen urls, which is returned. The table has files by
+    bucket of the key, sorted, with Bloom filters; a key that is marked to be repeated may be in it more than once."""
+    return write_bucketed(fresh.select("seen_key").distinct(), name, path, ["seen_key"], buckets, "append")
+
+
 def country_requests(spark: SparkSession, dims: DataFrame, start: str, allowed: Iterable[str] | None,
                      fallback: tuple[str, str, str]) -> DataFrame:
     """Start requests (country_code, currency, language, url) of the allowed countries; None allows all.

@@ -1,6 +1,6 @@
 """Result tables. Each write replaces the run's output.
 
-Rows are rebalanced on the partition column first: small partitions share files, and a partition value that
+Rows are rebalanced on the partition column first, or dealt by ranges: small partitions share files, and a partition value that
 holds a large part of the rows is split over many tasks.
 """
 
@@ -41,6 +41,16 @@ def read_csv(spark, path: str, schema: str) -> DataFrame:
 
 
 def write_products(products: DataFrame, path: str) -> None:
-    """Nested products as parquet by country."""
-    (products.hint("rebalance", "country_code").write.mode("overwrite")
+    """Nested products as parquet by country. Inside a country the files hold ranges of ``base_sku``, sorted and with Bloom filters, so that
+    a lookup by key reads the row groups of one file."""
+    (products.repartitionByRange("country_code", "base_sku").sortWithinPartitions("country_code", "base_sku").write.mode("overwrite")
+        .option("parquet.bloom.filter.enabled#base_sku", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
         .partitionBy("country_code").parquet(path))
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int, mode: str = "overwrite") -> DataFrame:
+    """Rows as a table whose files are buckets of ``keys``, sorted and with Bloom filters on the first key: tables with the same keys and number
+    of buckets are joined and grouped on them without a shuffle."""
+    (df.repartition(buckets, *keys).write.mode(mode).format("parquet").option("path", path).option(f"parquet.bloom.filter.enabled#{keys[0]}", "true")
+        .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
+    return df.sparkSession.table(name)
