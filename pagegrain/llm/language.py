@@ -162,18 +162,18 @@ def measured(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
-    """From a sample of the rows where ``learn`` holds, of about ``sample`` per language, drawn by a hash of id and text; equal ones count once.
+    """From a sample of the texts where ``learn`` holds, of about ``sample`` per language, drawn by a hash of the text: equal texts count once.
 
     Rows without language, text or letter teach nothing. Languages are so few that their counts are read by the driver.
     """
     labelled = docs.where(learn & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}
     if not counts:
         return Model(np.zeros((0, BUCKETS), np.float32), [])
     share = F.lit(0.0)
     for lang, n in sorted(counts.items()):
         share = F.when(F.col("lang") == lang, min(1.0, sample / n)).otherwise(share)
-    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 20)) < share * (1 << 20)
+    drawn = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 20)) < share * (1 << 20)
     rows = (labelled.where(drawn & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang").distinct()
             .mapInArrow(measured, "x binary, grams binary, lang string").collect())
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))

@@ -102,13 +102,38 @@ EMPTY = "cast(array() AS array<struct<s:int,k:int,e:int,ok:boolean,v:int,h:int>>
 PLAUSIBLE = {"email": "true", "ip": "true", "card": "length(m) BETWEEN 13 AND 40", "phone": "true"}
 
 
+def running(values: str, name: str, whole: str, body: str) -> str:
+    """SQL text of ``body`` in which ``upto(name, i, whole)`` is what ``whole`` gives of the numbers in ``values`` before place i.
+
+    By blocks of about the square root of their number, since no built-in function scans an array.
+    """
+    v, w, x = name, f"{name}_w", f"{name}_x"
+    blocks = f"transform(sequence(0, greatest(size({v}) - 1, 0) div {w}), i_ -> {whole.format(f'slice({v}, i_ * {w} + 1, {w})')})"
+    before = f"transform({x}, (x_, i_) -> {whole.format(f'slice({x}, 1, i_)')})"
+    return let(values, v, let(f"greatest(1, cast(sqrt(size({v})) AS int))", w, let(blocks, x, let(before, f"{name}_b", body))))
+
+
+def upto(name: str, i: str, whole: str) -> tuple[str, str]:
+    """SQL texts of the parts that make up what ``whole`` gives before place i: of the earlier blocks, and of its own block."""
+    v, w = name, f"{name}_w"
+    return f"get({name}_b, ({i}) div {w})", whole.format(f"slice({v}, (({i}) div {w}) * {w} + 1, ({i}) % {w})")
+
+
+TOTAL, LARGEST = "aggregate({}, 0, (p_, q_) -> p_ + q_)", "array_max({})"
+
+
+def largest_before(name: str, i: str) -> str:
+    """SQL text: the largest of the numbers before place i, 0 without one."""
+    return f"coalesce(greatest({', '.join(upto(name, i, LARGEST))}), 0)"
+
+
 def found(kind: str, base: bool) -> str:
     """SQL text: the candidates of one pattern in ``t``. The gaps between the matches give their starts in code points."""
     pattern = quoted((PATTERNS if base else LOOSE)[kind])
-    one = let("get(m_, i)", "m", let("a.p + length(get(g, i))", "s", let("get(g, i)", "b", let("get(g, i + 1)", "f", (
-        f"named_struct('p', s + length(m), 'out', CASE WHEN {PLAUSIBLE[kind]} THEN array_append(a.out, {candidate(kind, base)}) ELSE a.out END)")))))
-    fold = f"aggregate(sequence(0, size(m_) - 1), named_struct('p', 0, 'out', {EMPTY}), (a, i) -> {one}, a -> a.out)"
-    body = let(f"regexp_extract_all(t, {pattern}, 0)", "m_", f"CASE WHEN size(m_) = 0 THEN {EMPTY} ELSE {let(f'split(t, {pattern})', 'g', fold)} END")
+    start = f"{' + '.join(upto('n', 'i', TOTAL))} + length(get(g, i))"
+    one = let(start, "s", let("get(g, i)", "b", let("get(g, i + 1)", "f", f"CASE WHEN {PLAUSIBLE[kind]} THEN {candidate(kind, base)} END")))
+    each = running("transform(m_, (m, i) -> length(m) + length(get(g, i)))", "n", TOTAL, f"array_compact(transform(m_, (m, i) -> {one}))")
+    body = let(f"regexp_extract_all(t, {pattern}, 0)", "m_", f"CASE WHEN size(m_) = 0 THEN {EMPTY} ELSE {let(f'split(t, {pattern})', 'g', each)} END")
     return f"CASE WHEN {GUARDS[kind if base else f'loose {kind}']} THEN {body} ELSE {EMPTY} END"
 
 
@@ -198,6 +223,8 @@ def train(docs: DataFrame, text: str = "text") -> SpanModel:
     return model
 
 
+#: Code points of the parts that a text is cut into before its spans are replaced.
+PART = 4096
 NAMES = f"array({', '.join(map(repr, KINDS))})"
 
 
@@ -212,9 +239,14 @@ def tagged(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFrame:
     """
     plain = "named_struct('s', x.s, 'k', x.k, 'e', x.e)"
     base = f"array_sort(transform(filter(c, x -> x.ok), x -> {plain}))"
-    added = f"filter(c, x -> NOT x.ok AND {model.score('x')} >= {SURE}D AND NOT exists(b, y -> y.s < x.e AND x.s < y.e))"
-    first = "filter(n, (x, i) -> NOT exists(slice(n, 1, i), y -> y.s < x.e AND x.s < y.e))"
-    both = let(f"array_sort(transform({added}, x -> {plain}))", "n", f"array_sort(concat(b, {first}))")
+    sure = f"array_sort(transform(filter(c, x -> NOT x.ok AND {model.score('x')} >= {SURE}D), x -> {plain}))"
+    # in the order of ends and starts, a span is free if no base span that starts before its end reaches over its start
+    marks = ("array_sort(concat(transform(b, y -> named_struct('p', y.s, 'j', -1, 'e', y.e)), "
+             "transform(n, (x, j) -> named_struct('p', x.e - 1, 'j', j, 'e', 0))))")
+    taken = f"filter(transform(z, (m, i) -> CASE WHEN m.j >= 0 AND {largest_before('ze', 'i')} <= get(n, m.j).s THEN m.j END), j -> j IS NOT NULL)"
+    free = let(marks, "z", running("transform(z, m -> m.e)", "ze", LARGEST, f"transform(array_sort({taken}), j -> get(n, j))"))
+    first = running("transform(r, x -> x.e)", "re", LARGEST, f"filter(r, (x, i) -> x.s >= {largest_before('re', 'i')})")
+    both = let(sure, "n", f"CASE WHEN size(n) = 0 THEN b ELSE {let(free, 'r', f'array_sort(concat(b, {first}))')} END")
     body = let(candidates(f"`{text}`"), "c", let(base, "b", f"named_struct('base', b, 'spans', {both})"))
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("base", "spans")]
     return docs.select(*kept, F.expr(f"inline(array({body}))"))
@@ -225,11 +257,17 @@ def redacted(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFrame
 
     ``n_chars``, where there is such a column, is counted again. A null text stays null.
     """
-    step = (f"CASE WHEN x.s >= a.p THEN named_struct('p', x.e, 'o', array_append(a.o, concat(substr(t, a.p + 1, x.s - a.p), '[', upper(get({NAMES}, x.k)), ']'))) "
-            "ELSE named_struct('p', greatest(a.p, x.e), 'o', a.o) END")
-    fold = (f"aggregate(spans, named_struct('p', 0, 'o', cast(array() AS array<string>)), (a, x) -> {step}, "
-            "a -> concat(array_join(a.o, ''), substr(t, a.p + 1)))")
-    clean = F.expr(f"CASE WHEN size(spans) = 0 THEN `{text}` ELSE {let(f'`{text}`', 't', fold)} END")
+    def cut(start: str, end: str) -> str:
+        """SQL text: the text from place ``start`` to ``end``, from the parts it is cut into once."""
+        piece = f"substr(get(o, k), greatest({start} - k * {PART}, 0) + 1, least({end} - k * {PART}, {PART}) - greatest({start} - k * {PART}, 0))"
+        return f"CASE WHEN {end} > {start} THEN array_join(transform(sequence(({start}) div {PART}, ({end} - 1) div {PART}), k -> {piece}), '') ELSE '' END"
+
+    ended = largest_before("e", "i")
+    each = f"transform(spans, (x, i) -> {let(ended, 'p', 'CASE WHEN x.s >= p THEN concat(' + cut('p', 'x.s') + f', chr(91), upper(get({NAMES}, x.k)), chr(93)) END')})"
+    rest = let("array_max(e)", "p", let("length(t)", "q", cut("p", "q")))
+    whole = running("transform(spans, x -> x.e)", "e", LARGEST, f"concat(array_join(array_compact({each}), ''), {rest})")
+    body = let(f"`{text}`", "t", let(f"regexp_extract_all(t, '(?s).{{1,{PART}}}', 0)", "o", whole))
+    clean = F.expr(f"CASE WHEN size(spans) = 0 THEN `{text}` ELSE {body} END")
     out = tagged(docs, model, text).withColumn(text, clean)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
