@@ -3,7 +3,7 @@
 Text is cut at single spaces between two other characters. No token of the two public vocabularies crosses such a space, so a
 chunk's ids do not depend on its neighbours: each distinct chunk of a batch is looked up once in a table of chunks, encoded where it is new,
 and its ids are joined back by position. A chunk that is one run of
-Latin letters (perhaps with one sign after it) goes straight to the library's merge model; any other goes through its whole encoder.
+Latin letters (perhaps with signs after it) goes straight to the library's merge model; any other goes through its whole encoder.
 Texts with unusual white space are encoded whole.
 """
 
@@ -22,13 +22,15 @@ ship(__name__)
 
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 WORD_LETTERS = frozenset(chr(i) for i in range(256) if re.match(f"[{LETTERS}]", chr(i)))
-#: A word, perhaps with one sign after it, perhaps followed by a line feed and another such word.
-PLAIN = re.compile(rf"([{LETTERS}]+)([,.]?)(?:(\n)([{LETTERS}]+)([,.]?))?")
+#: Signs that are cut off as one run after a word; others may be part of contractions or of special tokens.
+SIGNS = r'!"#$%&()*+,\-./:;=?@\[\]^_`{}~\\'
+#: A word, perhaps with signs after it, perhaps followed by a line feed and another such word.
+PLAIN = re.compile(rf"([{LETTERS}]+)([{SIGNS}]*)(?:(\n)([{LETTERS}]+)([{SIGNS}]*))?")
 #: White space other than space, tab, line feed and carriage return, and characters that libraries class differently.
 UNUSUAL = re.compile("[\u000b\u000c\u001c-\u001f\u0085  ᠎ -‏    ⁠　﻿]")
 #: Texts whose spaces do not all stand alone between other characters, or that have unusual ones.
 APART = UNUSUAL.pattern + "|^ | $|  |\n | \n|\t|\r"
-ENTRIES = 800_000
+ENTRIES = 1_200_000
 
 
 def byte_signs() -> dict[int, str]:
@@ -62,7 +64,7 @@ class ChunkEncoder:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def run(self, letters: str) -> bytes:
-        """A run of letters (perhaps after a space), a sign or a line feed."""
+        """A run of letters (perhaps after a space), of signs, or a line feed."""
         signs = letters.encode().decode("latin-1").translate(self.signs)
         return self.joined([self.ids[t.id] for t in self.tokenize(signs)])
 
@@ -71,8 +73,8 @@ class ChunkEncoder:
             # printable ASCII stands for itself
             if chunk.isalpha():
                 return self.joined([self.ids[t.id] for t in self.tokenize(chunk.lower() if self.words else self.space + chunk)])
-            if chunk[-1:] in (".", ",") and (word := chunk[:-1]).isalpha():
-                return self.table[word] + self.runs[chunk[-1]]
+            if (word := chunk.rstrip(".,!?$%&*#;:)")).isalpha():
+                return self.table[word] + self.runs[chunk[len(word):]]
         elif WORD_LETTERS.issuperset(chunk):
             return self.run(chunk.lower() if self.words else " " + chunk)
         if m := PLAIN.fullmatch(chunk):

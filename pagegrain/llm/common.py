@@ -141,7 +141,7 @@ def encoded(texts: pa.Array, apart: str, chunks: Callable[[list[str]], list[byte
     lists = pc.split_pattern(texts.filter(plain), " ")
     flat, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = flat.dictionary_encode()
-    values = chunks(coded.dictionary.to_pylist())
+    values = chunks(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     if first is not None:
         heads = np.cumsum(sizes) - sizes
@@ -159,8 +159,9 @@ def encoded(texts: pa.Array, apart: str, chunks: Callable[[list[str]], list[byte
     pool = np.frombuffer(b"".join(values), "<u4")
     counts = lengths[index]
     stops = np.cumsum(counts)
-    taken = np.repeat(starts[index] - (stops - counts), counts)
-    taken += np.arange(len(taken))
+    # batches are small: 32 bits are enough for places in them
+    taken = np.repeat((starts[index] - (stops - counts)).astype(np.int32), counts)
+    taken += np.arange(len(taken), dtype=np.int32)
     return pool[taken], np.add.reduceat(counts, np.cumsum(each) - each) if len(each) else counts
 
 
