@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import math
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -97,14 +98,24 @@ class ChunkTable(dict):
 def ranked(df: DataFrame, group: str, priority: Column, order: list[str], rows: int, rows_per_bucket: int = 128) -> DataFrame:
     """``df`` with ``__rank``: the exact position from 0 inside ``group``, by hash bucket of ``priority``, then ``order``.
 
-    A group is cut into buckets whose number grows with the table, so the hottest group is ranked by many tasks; the
-    positions before each bucket are sums over the (few) bucket counts. ``df`` must give the same rows when read twice.
+    A group is cut into buckets whose number grows with the table, so the hottest group is ranked by many tasks; the positions before
+    each bucket are sums over blocks of buckets, and over the buckets inside a block, so no window sees more than about the square root
+    of the buckets. ``df`` must give the same rows when read twice.
     """
     buckets = max(1, rows // rows_per_bucket)
+    width = math.isqrt(buckets - 1) + 1
     marked = df.withColumn("__bucket", F.pmod(priority, F.lit(buckets)))
-    before = Window.partitionBy("__g").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = (marked.groupBy(F.col(group).alias("__g"), F.col("__bucket").alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
-            .select("__g", "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")))
+    counts = (marked.groupBy(F.col(group).alias("__g"), F.col("__bucket").alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+              .withColumn("__block", F.floor(F.col("__b") / width)))
+
+    def before(order: str, *part: str) -> Column:
+        w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("__n").over(w), F.lit(0))
+
+    blocks = (counts.groupBy(F.col("__g").alias("__h"), F.col("__block").alias("__k")).agg(F.sum("__n").alias("__n"))
+              .select("__h", "__k", before("__k", "__h").alias("__above")))
+    sums = (counts.withColumn("__below", before("__b", "__g", "__block")).join(blocks, (F.col("__g") == F.col("__h")) & (F.col("__block") == F.col("__k")))
+            .select("__g", "__b", (F.col("__above") + F.col("__below")).alias("__before")))
     inside = Window.partitionBy(group, "__bucket").orderBy(*order)
     return (marked.withColumn("__in", F.row_number().over(inside))
             .join(sums, (F.col(group) == F.col("__g")) & (F.col("__bucket") == F.col("__b")))

@@ -140,3 +140,12 @@ def test_one_row_per_id_stays_whatever_the_order(spark):
 def test_small_batches_of_long_texts():
     batch = pa.RecordBatch.from_pydict({"text": ["a" * 10, None, "b" * 100, "c" * 5, "d" * 5]})
     assert [b.num_rows for b in common.light(iter([batch]), "text", 20)] == [2, 1, 2]
+
+
+def test_ranks_are_positions(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.choice("aab"), rng.randrange(50)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id int, g string, x int").repartition(5, "id")
+    got = common.ranked(df, "g", F.xxhash64("id"), ["x", "id"], len(rows), rows_per_bucket=16).collect()
+    for g in "ab":
+        assert sorted(r["__rank"] for r in got if r.g == g) == list(range(sum(r[1] == g for r in rows)))
