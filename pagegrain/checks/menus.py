@@ -29,6 +29,17 @@ def part_pages(spark: SparkSession, sf_dir: str, site: str, template: str, url:
         F.lit("us").alias("country_code"), "p_name", "p_size")
 
 
+@check("n1_countries", """
+SELECT p_partkey AS page_id, 'http://www.x.com/' || c AS url, 'country' AS stage, 'unknown country ' || lower(c) AS reason
+FROM part, unnest([CASE p_partkey % 3 WHEN 0 THEN 'ZZ' ELSE 'uk' END, 'xx']) AS t(c) WHERE c <> 'uk'""")
+def n1_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Countries of the shipping page that no table knows."""
+    code = F.when(F.col("p_partkey") % 3 == 0, "ZZ").otherwise("uk")
+    flag = lambda c: F.concat(F.lit('<div class="flag-container"><a href="http://www.x.com/'), c, F.lit('">x</a></div>'))
+    pages = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), F.concat(flag(code), flag(F.lit("xx"))).alias("html"))
+    return V.unknown_countries(pages)
+
+
 @check("b2_site_pagers", """
 WITH n AS (SELECT p_partkey, CASE WHEN p_partkey % 97 = 1 THEN 1200 ELSE 0 END + p_size % 6 + 1 AS n FROM part)
 SELECT p_partkey AS page_id, CAST(page AS BIGINT) AS page, base || page AS url

@@ -82,12 +82,16 @@ def _box_text(marker: str) -> Column:
     return X.join_text(N.values(N.Nodes(N.let(box, "box", inside))))
 
 
-def _pentair_totals(pages: DataFrame) -> DataFrame:
-    """Postings that each listing shows, by its newest page: referer, total."""
+def pentair_counts(pages: DataFrame) -> DataFrame:
+    """Postings that each listing page shows: referer (the listing's url), page_id, fetched_at, total."""
     posting = N.Test("a", "id", "starts", PENTAIR_POSTING)
     listings = N.parse_nodes(pages.where(F.col("page_type") == "listing"), [posting], ["url", "page_id", "fetched_at"])
-    counted = listings.select(F.col("url").alias("referer"), "page_id", "fetched_at", N.count(N.select(N.ALL, posting)).alias("total"))
-    return newest(counted, ["referer"]).drop("page_id", "fetched_at")
+    return listings.select(F.col("url").alias("referer"), "page_id", "fetched_at", N.count(N.select(N.ALL, posting)).alias("total"))
+
+
+def _pentair_totals(pages: DataFrame) -> DataFrame:
+    """Postings that each listing shows, by its newest page: referer, total."""
+    return newest(pentair_counts(pages), ["referer"]).drop("page_id", "fetched_at")
 
 
 def pentair_rejects(pages: DataFrame) -> DataFrame:
@@ -97,21 +101,28 @@ def pentair_rejects(pages: DataFrame) -> DataFrame:
     return reject_rows(lost, "page_id", "url", {"listing": F.lit(True)})
 
 
-def pentair_jobs(pages: DataFrame) -> DataFrame:
-    """Five fields of the detail pages, at most as many per listing as the listing shows postings.
-
-    A detail page names its listing in ``referer``; which pages count is decided by arrival
-    (``fetched_at, page_id``).
-    """
+def pentair_details(pages: DataFrame) -> DataFrame:
+    """The five fields of every detail page, with page_id, referer and fetched_at."""
     nodes = N.ALL
     docs = N.parse_nodes(pages.where(F.col("page_type") == "detail"), _pentair_tests(), ["page_id", "referer", "fetched_at"])
     fields = [
         F.get(N.own_texts(nodes, N.Test("span", "id", "starts", marker)), F.lit(0)).alias(name)
         for name, marker in PENTAIR_FIELDS.items()
     ]
-    detail = docs.select(
-        "page_id", "referer", "fetched_at", *fields, *[_box_text(m).alias(k) for k, m in PENTAIR_TEXTS.items()])
-    counted = detail.join(_pentair_totals(pages), "referer")
+    return docs.select("page_id", "referer", "fetched_at", *fields, *[_box_text(m).alias(k) for k, m in PENTAIR_TEXTS.items()])
+
+
+def pentair_jobs(pages: DataFrame) -> DataFrame:
+    """Five fields of the detail pages, at most as many per listing as the listing shows postings.
+
+    A detail page names its listing in ``referer``; which pages count is decided by arrival
+    (``fetched_at, page_id``).
+    """
+    return pentair_kept(pentair_details(pages).join(_pentair_totals(pages), "referer"))
+
+
+def pentair_kept(counted: DataFrame) -> DataFrame:
+    """The first details of each listing, as many as its ``total``, as jobs."""
     kept = first_n(counted, ["referer"], ["fetched_at", "page_id"], F.col("total"),
                    bucket=F.date_trunc("minute", "fetched_at"))
     return conform(kept.withColumn("site", F.lit("pentair")), JOBS)

@@ -17,6 +17,7 @@ from pagegrain.operators import filters as E
 from pagegrain.operators import frontier as B
 from pagegrain.operators import nodes as N
 from pagegrain.operators.joins import delivery_regions, with_dims
+from pagegrain.operators.quality import reject_rows
 from pagegrain.plans import intermix, tory, vitamins
 from pagegrain.plans.offer_rules import RULES
 
@@ -217,16 +218,26 @@ def unlikely_overviews(pages: DataFrame, most: int) -> DataFrame:
     return B.page_rejects(pages, "page_id", "url", B.shown_pages(F.col("html")), most)
 
 
-def tory_starts(pages: DataFrame) -> DataFrame:
-    """Country start requests from the shipping page: country_code, currency, language, url; a country outside
-    the tables has null currency (a reject)."""
+def _shop_links(pages: DataFrame) -> DataFrame:
+    """Country links of the shipping page: page_id, url, country_code, currency, language."""
     spark = pages.sparkSession
     docs = N.parse_nodes(pages, [FLAG, T_("a")], ["page_id"])
     links = N.values(N.descendants(N.select(N.ALL, FLAG), N.select(N.ALL, T_("a"))), "href")
     rows = docs.select("page_id", F.explode(links).alias("url")).withColumn("country_code", country_from_url(F.col("url")))
     dims = spark.createDataFrame([(c, tory.CURRENCIES[c], tory.LANGUAGES[c]) for c in tory.CURRENCIES],
                                  "country_code string, currency string, language string")
-    return with_dims(rows, dims, "country_code").select("country_code", "currency", "language", "url")
+    return with_dims(rows, dims, "country_code")
+
+
+def tory_starts(pages: DataFrame) -> DataFrame:
+    """Country start requests from the shipping page: country_code, currency, language, url; a country outside
+    the tables has null currency (see ``unknown_countries``)."""
+    return _shop_links(pages).select("country_code", "currency", "language", "url")
+
+
+def unknown_countries(pages: DataFrame) -> DataFrame:
+    """Country links of the shipping page whose country is outside the tables: page_id, url, stage, and the code as the reason."""
+    return reject_rows(_shop_links(pages), "page_id", "url", {"country": F.col("currency").isNull()}, F.concat(F.lit("unknown country "), F.coalesce("country_code", F.lit(""))))
 
 
 def tory_regions(pages: DataFrame) -> DataFrame:

@@ -65,7 +65,7 @@ def stream_offers(pages: DataFrame, checkpoint: str, out: str, staging: str, rul
 
 
 def stream_jobs(pages: DataFrame, checkpoint: str, out: str) -> StreamingQuery:
-    """Job postings of arriving brassring pages. Pentair's need all pages of a listing and stay a batch job."""
+    """Job postings of arriving brassring pages. For pentair's, which need all pages of a listing, see ``products.stream_pentair``."""
     return stream_batches(pages, lambda batch, _: brassring_jobs(batch), checkpoint, out)
 
 
