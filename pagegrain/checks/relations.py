@@ -13,6 +13,7 @@ from pagegrain.functions import text as X
 from pagegrain.operators import aggregates as G
 from pagegrain.operators import joins as J
 from pagegrain.operators import nested, quality, sets
+from pagegrain.operators import options as O
 from pagegrain.operators import windows as H
 from pagegrain.session import scratch_path
 from pagegrain.sources import sinks
@@ -64,17 +65,26 @@ def f2_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("f3_option", """
 SELECT l_orderkey, l_linenumber, p_name AS size_name FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 10""")
 def f3_option(spark: SparkSession, sf_dir: str) -> DataFrame:
-    options = table(spark, sf_dir, "part").where("p_size > 10").select(F.col("p_partkey").alias("option_id"), F.col("p_name").alias("size_name"))
-    skus = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("option_id"))
-    return J.with_size_names(skus, options, ["option_id"]).drop("option_id")
+    """The lines of an order as skus, the parts it names as options."""
+    text = lambda c: F.col(c).cast("string")
+    sku = F.struct(text("l_linenumber").alias("color_option"), text("l_partkey").alias("size_option"), F.lit(1).alias("stock"), F.lit("1").alias("price"))
+    option = F.when(F.col("p_size") > 10, F.struct(F.col("p_name").alias("sOptionName"), text("p_partkey").alias("iOptionPk")))
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    orders = lines.groupBy("l_orderkey").agg(F.collect_list(sku).alias("skus"), F.collect_set(option).alias("options"))
+    named = orders.select("l_orderkey", F.explode(O.size_names(F.col("skus"), F.col("options"))).alias("s"))
+    return named.select("l_orderkey", F.col("s.color_option").cast("int").alias("l_linenumber"), F.col("s.size").alias("size_name"))
 
 
 @check("f4_swatch", """
 SELECT s_suppkey, l_orderkey, l_linenumber FROM supplier LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 45) ON l_suppkey = s_suppkey AND s_suppkey % 2 = 0""")
 def f4_swatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    skus = table(spark, sf_dir, "lineitem").where("l_quantity > 45 AND l_suppkey % 2 = 0").select(
-        F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", "l_linenumber")
-    return J.skus_by_swatch(table(spark, sf_dir, "supplier").select("s_suppkey"), skus, ["s_suppkey"])
+    """A supplier as a swatch, its large lines as skus of its own option or of another one."""
+    own = F.when(F.col("l_suppkey") % 2 == 0, F.col("l_suppkey")).otherwise(F.lit(-1)).cast("string")
+    skus = table(spark, sf_dir, "lineitem").where("l_quantity > 45").groupBy("l_suppkey").agg(
+        F.collect_list(F.struct(own.alias("color_option"), "l_orderkey", "l_linenumber")).alias("skus"))
+    swatches = table(spark, sf_dir, "supplier").select("s_suppkey").join(skus, F.col("s_suppkey") == F.col("l_suppkey"), "left")
+    mine = swatches.select("s_suppkey", F.explode_outer(O.skus_of(F.col("s_suppkey").cast("string"), F.col("skus"))).alias("s"))
+    return mine.select("s_suppkey", "s.l_orderkey", "s.l_linenumber")
 
 
 @check("f5_uk_size", """
@@ -84,10 +94,12 @@ SELECT p_partkey, part.p_brand, CAST(p_size AS VARCHAR) AS size_identifier,
 FROM part LEFT JOIN lab ON lab.p_brand = part.p_brand AND lab.us = part.p_size""")
 def f5_uk_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    sizes = part.select("p_partkey", "p_brand", F.col("p_size").cast("string").alias("size_identifier"))
     label = F.concat((F.col("p_partkey") % 50).cast("string"), F.lit(" Size "), F.col("p_size").cast("string"))
-    labels = part.where("p_partkey % 3 = 0").select("p_brand", label.alias("label"), F.col("p_partkey").alias("pos"))
-    return J.uk_sizes(sizes, labels, ["p_brand"])
+    labels = part.where("p_partkey % 3 = 0").groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct(F.col("p_partkey").alias("pos"), label.alias("label")))).alias("l"))
+    sizes = part.select("p_partkey", "p_brand", F.col("p_size").cast("string").alias("size_identifier")).join(labels, "p_brand", "left")
+    item = F.struct("size_identifier", F.col("size_identifier").alias("size_name"))
+    name = F.get(O.uk_names(F.array(item), F.coalesce(F.col("l.label"), F.array().cast("array<string>"))), F.lit(0))["size_name"]
+    return sizes.select("p_partkey", "p_brand", "size_identifier", F.when(F.startswith(name, F.lit("UK ")), name).alias("uk_name"))
 
 
 @check("f6_color", """
@@ -97,10 +109,16 @@ SELECT c.l_partkey, c.l_returnflag, last_order, n_sizes FROM (SELECT DISTINCT l_
 LEFT JOIN u ON u.l_partkey = c.l_partkey AND u.l_returnflag = c.l_returnflag
 LEFT JOIN s ON s.l_partkey = c.l_partkey AND s.l_returnflag = c.l_returnflag""")
 def f6_color(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, keys = table(spark, sf_dir, "lineitem"), ["l_partkey", "l_returnflag"]
-    urls = lines.where("l_returnflag <> 'N'").groupBy(*keys).agg(F.max("l_orderkey").alias("last_order"))
-    sizes = lines.where("l_quantity > 10").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_sizes"))
-    return J.with_color_maps(lines.select(*keys).distinct(), urls, sizes, keys=keys)
+    """The colours of a part with the lists that its pages give by colour."""
+    lines, color = table(spark, sf_dir, "lineitem"), F.col("l_returnflag").alias("color")
+    urls = lines.where("l_returnflag <> 'N'").groupBy("l_partkey", color).agg(F.max("l_orderkey").alias("last_order"))
+    sizes = lines.where("l_quantity > 10").groupBy("l_partkey", color).agg(F.count(F.lit(1)).alias("n_sizes"))
+    listed = lambda df, value: df.groupBy("l_partkey").agg(F.collect_list(F.struct("color", value)).alias(value))
+    colors = lines.groupBy("l_partkey").agg(F.collect_set("l_returnflag").alias("colors"))
+    parts = colors.join(listed(urls, "last_order"), "l_partkey", "left").join(listed(sizes, "n_sizes"), "l_partkey", "left")
+    rows = parts.select("l_partkey", F.explode("colors").alias("l_returnflag"), F.col("last_order").alias("urls"), F.col("n_sizes").alias("sizes"))
+    return rows.select("l_partkey", "l_returnflag", O.of_color(F.col("urls"), F.col("l_returnflag"))["last_order"].alias("last_order"),
+                       O.of_color(F.col("sizes"), F.col("l_returnflag"))["n_sizes"].alias("n_sizes"))
 
 
 @check("f7_ignore", """
@@ -140,8 +158,9 @@ def g2_varies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("g3_has_price", """
 SELECT l_orderkey, l_returnflag, count(CASE WHEN l_tax > 0.04 THEN 1 END) >= 1 AS has_price FROM lineitem GROUP BY ALL""")
 def g3_has_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", F.when(F.col("l_tax") > 0.04, F.col("l_tax")).alias("price"))
-    return G.has_price(rows, ["l_orderkey", "l_returnflag"], "price")
+    sku = F.struct(F.when(F.col("l_tax") > 0.04, F.col("l_tax")).alias("price"))
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.collect_list(sku).alias("skus"))
+    return rows.select("l_orderkey", "l_returnflag", O.has_price(F.col("skus")).alias("has_price"))
 
 
 @check("g4_sizes", """

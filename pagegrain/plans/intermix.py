@@ -18,7 +18,8 @@ from pagegrain.functions.urls import absolute_url, schemeless
 from pagegrain.operators import nodes as N
 from pagegrain.operators.filters import sellable
 from pagegrain.operators.joins import drop_ignored, spread_nulls
-from pagegrain.operators.nested import swatch_rows, with_color_sku
+from pagegrain.operators.nested import object_values, swatch_rows, with_color_sku
+from pagegrain.operators.options import has_price, size_names, skus_of
 from pagegrain.operators.quality import Facts, with_failed
 from pagegrain.operators.sets import first_sightings, mini_and_full
 from pagegrain.operators.windows import newest, newest_row
@@ -106,17 +107,11 @@ def listing_items(rows: DataFrame) -> DataFrame:
 
 def _menu_skus(menu: Column) -> Column:
     """Skus of the menu object as (color_option, size, stock, price) with their size names."""
-    entries = F.map_values(menu["aOptionTypes"]["1"]["options"])
-    skus = F.transform(F.map_values(menu["aOptionSkus"]), lambda s: F.struct(
+    skus = F.transform(object_values(menu["aOptionSkus"]), lambda s: F.struct(
         s["skuOptions"]["0"]["iOptionPk"].alias("color_option"),
         s["skuOptions"]["1"]["iOptionPk"].alias("size_option"),
         stock_flag(s["inStock"]).alias("stock"), s["skuPrice"].alias("price")))
-    # an option without id names nothing; of several names the last one counts
-    named = F.get(F.transform(F.array(entries), lambda options: F.transform(skus, lambda s: F.struct(
-        s["color_option"].alias("color_option"),
-        F.try_element_at(F.filter(options, lambda o: o["iOptionPk"] == s["size_option"]), F.lit(-1))["sOptionName"].alias("size"),
-        s["stock"].alias("stock"), s["price"].alias("price")))), F.lit(0))
-    return F.filter(named, lambda s: s["size"].isNotNull())
+    return size_names(skus, object_values(menu["aOptionTypes"]["1"]["options"]))
 
 
 def _swatches(skus: Column, country: Column) -> Column:
@@ -125,13 +120,13 @@ def _swatches(skus: Column, country: Column) -> Column:
 
     def one(img: Column, all_skus: Column) -> Column:
         option = X.group(img["outer"], "swatchClicked\\((.*?)\\)")
-        mine = F.filter(all_skus, lambda s: s["color_option"] == option)
+        mine = skus_of(option, all_skus)
         return F.struct(
             X.group(F.try_element_at(img["attrs"], F.lit("onclick")), "changeAltImages\\(.*?,'(.*?)'\\)").alias("color_code"),
             F.try_element_at(img["attrs"], F.lit("title")).alias("color_name"),
             F.transform(mine, lambda s: size_item(s["size"], country, s["stock"], s["price"], s["price"]))
             .alias("size_infos"),
-            F.exists(mine, lambda s: s["price"].isNotNull()).alias("use_size_level_prices"))
+            has_price(mine).alias("use_size_level_prices"))
 
     return F.transform(images, lambda img: one(img, skus))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pagegrain.operators import frontier as B
 from pagegrain.operators import joins as J
+from pagegrain.operators import options as O
 from pagegrain.operators import windows as H
 from pagegrain.streaming import stream as L
 
@@ -45,9 +46,9 @@ def test_first_seen_does_not_depend_on_order(spark):
 
 
 def test_first_label_of_a_size_wins(spark):
-    labels = spark.createDataFrame([("k", "10 Size 8", 1), ("k", "12 Size 8", 0), ("k", "junk", 2)], "k string, label string, pos int")
-    sizes = spark.createDataFrame([("k", "8"), ("k", "M")], "k string, size_identifier string")
-    assert sorted((r.size_identifier, r.uk_name) for r in J.uk_sizes(sizes, labels, ["k"]).collect()) == [("8", "UK 12"), ("M", None)]
+    labels = F.array(F.lit("12 Size 8"), F.lit("10 Size 8"), F.lit("junk"))
+    sizes = F.array(*[F.struct(F.lit(x).alias("size_identifier"), F.lit(x).alias("size_name")) for x in ("8", "M")])
+    assert [s.size_name for s in spark.range(1).select(O.uk_names(sizes, labels).alias("s")).first()["s"]] == ["UK 12", "M"]
 
 
 def test_joins_carry_no_broadcast_hint(spark):
