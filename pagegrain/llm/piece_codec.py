@@ -90,7 +90,8 @@ def extended(batch: pa.RecordBatch, name: str, values: pa.Array, without: str |
 
 
 def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the column ``text`` replaced by ``ids`` (array<int>) with the end id; a null text has the end id only."""
+    """``docs`` with the column ``text`` replaced by ``ids`` (array<int>) with the end id; a null or empty text has the end id only,
+    repeated rows the same ids, an empty table no rows."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
         for batch in light(rows, text):

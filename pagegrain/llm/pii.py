@@ -235,6 +235,7 @@ def listed(spans: str) -> str:
 def tagged(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``spans``: arrays of (s, k, e), by start, then kind. Added spans overlap no other span of their kind or base span.
 
+    A null or empty text has none; repeated rows have the same; an empty table stays empty; other columns of these names are replaced.
     Generated columns: a later filter or projection does not evaluate the patterns again.
     """
     plain = "named_struct('s', x.s, 'k', x.k, 'e', x.e)"

@@ -171,22 +171,28 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
-    """From about ``sample`` labelled documents (null labels and ids teach nothing); without labels there are no rules."""
-    sound = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select(F.col("doc_id").alias("__id"), "quality")
+    """From about ``sample`` labelled documents (null labels and ids teach nothing); without labels there are no rules.
+
+    An id counts once, however often it is labelled (its least label) or stands in ``docs`` (its least features).
+    """
+    sound = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+             .groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").alias("quality")))
     n = sound.count()
     if not n:
         return []
     drawn = sound.where(F.pmod(F.xxhash64("__id", F.lit(5)), F.lit(1 << 20)) < min(1.0, sample / n) * (1 << 20))
     # bounded by the sample
     pick = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("__id"))
-    rows = measured(pick).select("doc_id", "quality", *[F.expr(e).cast("double").alias(k) for k, e in FEATURES.items()]).collect()
+    each = measured(pick).select("doc_id", "quality", F.struct(*[F.expr(e).cast("double").alias(k) for k, e in FEATURES.items()]).alias("x"))
+    rows = each.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).select("doc_id", "quality", "x.*").collect()
     rows.sort(key=lambda r: (hash((r["doc_id"], 1)), r["doc_id"]))
     x = {k: np.array([r[k] for r in rows], float) for k in FEATURES}
     return learn(x, np.array([r["quality"] == 0 for r in rows], bool))
 
 
 def judged(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``docs`` with the counts, ``base_failed`` and ``kept``."""
+    """``docs`` with the counts, ``base_failed`` and ``kept``: a null or empty text has no words and fails, repeated rows are judged alike, an empty
+    table stays empty, other columns of these names are replaced."""
     return measured(docs).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))
 
 
