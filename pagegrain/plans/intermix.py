@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 
 from pagegrain.functions import text as X
 from pagegrain.functions.catalog import base_sku_from_scene, brand_text, image_list
-from pagegrain.functions.markup import parse_js, script_var, size_item, stock_flag
+from pagegrain.functions.markup import parse_any, parse_js, script_var, size_item, stock_flag
 from pagegrain.functions.price import availability, first_non_empty
 from pagegrain.functions.urls import absolute_url, schemeless
 from pagegrain.operators import nodes as N
 from pagegrain.operators.filters import sellable
 from pagegrain.operators.joins import drop_ignored, spread_nulls
-from pagegrain.operators.nested import object_values, swatch_rows, with_color_sku
+from pagegrain.operators.nested import object_values, swatch_rows, variant_entries, with_color_sku
 from pagegrain.operators.options import has_price, size_names, skus_of
-from pagegrain.operators.quality import Facts, with_failed
+from pagegrain.operators.quality import Facts, reject_rows, with_failed
 from pagegrain.operators.sets import first_sightings, mini_and_full
 from pagegrain.operators.windows import newest, newest_row
 from pagegrain.schemas import PRODUCTS, conform
@@ -114,6 +114,18 @@ def _menu_skus(menu: Column) -> Column:
     return size_names(skus, object_values(menu["aOptionTypes"]["1"]["options"]))
 
 
+def menu_entries(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entries, rejects) of the menu objects of detail pages, whatever their shape: page_id, part (first-level key), key, value as JSON.
+
+    A menu that cannot be read at all is a reject. For menus of the known shape ``detail_facts`` reads typed values.
+    """
+    body = parse_any(script_var(F.col("html"), MENU_CALL)).alias("menu")
+    menus = pages.where(F.col("page_type") == "detail").select("page_id", "url", script_var(F.col("html"), MENU_CALL).isNotNull().alias("shown"), body)
+    parts = variant_entries(menus, "menu", ["page_id"]).select("page_id", F.col("key").alias("part"), "value")
+    entries = variant_entries(parts, "value", ["page_id", "part"]).select("page_id", "part", "key", F.to_json("value").alias("value"))
+    return entries, reject_rows(menus, "page_id", "url", {"menu": F.col("shown") & F.col("menu").isNull()})
+
+
 def _swatches(skus: Column, country: Column) -> Column:
     """Colours of the page with their size entries; a colour without skus keeps an empty list."""
     images = F.col("swatch_nodes")
