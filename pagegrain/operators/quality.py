@@ -61,11 +61,15 @@ class Facts:
         return out
 
 
+def kept_row(condition: Column, columns: list[str]) -> Column:
+    """``columns`` as a generated row ``__row`` where the condition holds."""
+    return F.explode(F.when(condition, F.array(F.struct(*columns)))).alias("__row")
+
+
 def keep_where(df: DataFrame, condition: Column, columns: list[str]) -> DataFrame:
     """Filter on computed columns without computing them twice.
 
     A plain filter would be pushed below the projections and repeat their regex chains there; a generated row
     stays behind them.
     """
-    row = F.when(condition, F.array(F.struct(*columns)))
-    return df.select(F.explode(row).alias("__row")).select("__row.*")
+    return df.select(kept_row(condition, columns)).select("__row.*")

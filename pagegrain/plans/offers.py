@@ -8,7 +8,7 @@ writes the blocks by site into the shared folder and unions one branch per site,
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from pagegrain.functions import text as X
 from pagegrain.functions.urls import absolute_url
 from pagegrain.operators import nodes as N
 from pagegrain.operators.filters import in_stock, named
-from pagegrain.operators.quality import keep_where, reject_rows
+from pagegrain.operators.quality import kept_row, reject_rows
 from pagegrain.plans.offer_rules import RULES, OfferRule, retail_discount
 
 
@@ -135,16 +135,22 @@ def _kept(rule: OfferRule) -> Column:
     return keep
 
 
+@lru_cache(maxsize=256)
+def _columns(app: str, rule: OfferRule) -> tuple[list, list, list, list]:
+    """The select lists of a rule. Building them takes a thousand calls into the JVM, so each is built once per application (``app``) and
+    then serves every plan, such as those of a stream's micro-batches."""
+    found = ["page_id", "site", F.col("url").alias("page_url"), "pos", "block", "aux", *[c.alias(k) for k, c in _sources(rule).items()]]
+    named_ = ["*", _link(rule).alias("url"), _name(rule).alias("store_name"), _stock(rule).alias("stock")]
+    fields = ["page_id", "site", "page_url", "pos", "store_name", "cash_back", "url", _category(rule).alias("category"), "stock", _kept(rule).alias("kept")]
+    return found, named_, ["*", _cash(rule).alias("cash_back")], fields
+
+
 def offer_fields(blocks: DataFrame, rule: OfferRule) -> DataFrame:
     """One site's blocks to raw fields; null marks a field whose search failed after its guard matched."""
-    mine = blocks.where(F.col("site") == rule.site)
-    found = mine.select("page_id", "site", F.col("url").alias("page_url"), "pos", "block", "aux",
-                        *[c.alias(k) for k, c in _sources(rule).items()])
-    named_ = found.select("*", _link(rule).alias("url"), _name(rule).alias("store_name"),
-                          _stock(rule).alias("stock"))
-    cash = named_.select("*", _cash(rule).alias("cash_back"))
-    return cash.select("page_id", "site", "page_url", "pos", "store_name", "cash_back", "url",
-                       _category(rule).alias("category"), "stock", _kept(rule).alias("kept"))
+    rows = blocks.where(F.col("site") == rule.site)
+    for columns in _columns(blocks.sparkSession.sparkContext.applicationId, rule):
+        rows = rows.select(*columns)
+    return rows
 
 
 CHECKS = {"name": "store_name", "cash_back": "cash_back", "link": "url", "stock": "stock"}
@@ -157,8 +163,8 @@ def _readable() -> Column:
 
 def offers_from_blocks(blocks: DataFrame, rules: Iterable[OfferRule] = RULES) -> DataFrame:
     """Offers of every readable, sellable block: one branch per site, united."""
-    parts = [keep_where(offer_fields(blocks, r), _readable() & F.col("kept"), OFFER_COLUMNS) for r in rules]
-    return reduce(DataFrame.unionByName, parts)
+    row = kept_row(_readable() & F.col("kept"), OFFER_COLUMNS)
+    return reduce(DataFrame.union, [offer_fields(blocks, r).select(row).select("__row.*") for r in rules])
 
 
 def extract_offers(pages: DataFrame, rules: Iterable[OfferRule]) -> DataFrame:
