@@ -10,7 +10,6 @@ each node's keys are then cut into intervals of ranks. Ranks are computed by ``r
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -108,31 +107,6 @@ def ring_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", shards
                     (F.col("__part.base") + F.col("__rank")).alias("slot")))
 
 
-def sequential(keys: list[tuple[int, tuple]], owners: list[int], room: list[int]) -> dict[int, int]:
-    """Key by key, for tests: ``keys`` are (node, priority) in any order; returns shard by position in ``keys``."""
-    room, out, late = list(room), {}, []
-    for i in sorted(range(len(keys)), key=lambda i: keys[i]):
-        shard = owners[keys[i][0]]
-        if room[shard]:
-            room[shard] -= 1
-            out[i] = shard
-        else:
-            late.append(i)
-    for i in late:
-        at = keys[i][0]
-        while not room[owners[at]]:
-            at = (at + 1) % len(owners)
-        room[owners[at]] -= 1
-        out[i] = owners[at]
-    return out
-
-
-def places_of(shards: int, virtual_nodes: int, place: int) -> int:
-    """Node of one place, for tests."""
-    ends = [p for p, _ in ring(shards, virtual_nodes)]
-    return bisect.bisect_left(ends, place) % len(ends)
-
-
 def op4_ring_shards(spark, sf_dir: str) -> DataFrame:
     return ring_shards(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
