@@ -129,6 +129,13 @@ def enclosing(found: Column, value: Column) -> Column:
     return F.when(last["end"] >= F.col("pre"), last["value"])
 
 
+def next_after(found: Column, value: Column) -> Column:
+    """``value`` of the first node from this one on where ``found`` holds. Read backwards, it is the last so far: a window that reaches
+    from each row to the page's end would be read again for every row."""
+    back = Window.partitionBy("page_id").orderBy(F.desc("pre")).rowsBetween(Window.unboundedPreceding, 0)
+    return F.last(F.when(found, value), ignorenulls=True).over(back)
+
+
 def inside_any(found: Column) -> Column:
     """Is the node inside one where ``found`` holds? Of intervals that nest, the one that ends last tells."""
     return F.coalesce(F.max(F.when(found, F.col("end"))).over(in_order(Window.unboundedPreceding, -1)) >= F.col("pre"), F.lit(False))
@@ -274,7 +281,7 @@ def tory_categories(pages: DataFrame) -> DataFrame:
     titled = owned.withColumn("titled", F.max(is_title).over(Window.partitionBy("page_id", family)))
     is_item = (F.col("tag") == "li") & (F.col("pre") > F.col("top.pre")) & (parent_tag() == "ul") & (F.col("parent") > F.col("top.pre"))
     grouped = titled.withColumn("grouped", inside_any((F.col("tag") == "li") & F.col("titled")))
-    anchor = F.first(F.when(F.col("tag") == "a", F.struct("pre", "text", F.try_element_at("attrs", F.lit("href")).alias("link"))), ignorenulls=True).over(in_order(0, Window.unboundedFollowing))
+    anchor = next_after(F.col("tag") == "a", F.struct("pre", "text", F.try_element_at("attrs", F.lit("href")).alias("link")))
     kinds = grouped.withColumns({"leaf": is_item & F.col("grouped"), "item": is_item, "next": anchor})
     mine = Window.partitionBy("page_id", "top.pre")
     chosen = kinds.withColumns({"leaves": F.max("leaf").over(mine), "items": F.max("item").over(mine)}).where(
