@@ -87,6 +87,13 @@ def f4_swatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine.select("s_suppkey", "s.l_orderkey", "s.l_linenumber")
 
 
+def first_labels(entries: DataFrame) -> DataFrame:
+    """The labels ``e`` (pos, label) of each brand in order. The first label of a US size wins, so the others are left out before the lists
+    are made: they are bounded by the sizes there are, not by the parts."""
+    first = entries.groupBy("p_brand", "p_size").agg(F.min("e").alias("e"))
+    return first.groupBy("p_brand").agg(F.array_sort(F.collect_list("e")).alias("l"))
+
+
 @check("f5_uk_size", """
 WITH lab AS (SELECT p_brand, p_size AS us, min(p_partkey) AS pos FROM part WHERE p_partkey % 3 = 0 GROUP BY p_brand, p_size)
 SELECT p_partkey, part.p_brand, CAST(p_size AS VARCHAR) AS size_identifier,
@@ -95,7 +102,7 @@ FROM part LEFT JOIN lab ON lab.p_brand = part.p_brand AND lab.us = part.p_size""
 def f5_uk_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     label = F.concat((F.col("p_partkey") % 50).cast("string"), F.lit(" Size "), F.col("p_size").cast("string"))
-    labels = part.where("p_partkey % 3 = 0").groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct(F.col("p_partkey").alias("pos"), label.alias("label")))).alias("l"))
+    labels = first_labels(part.where("p_partkey % 3 = 0").select("p_brand", "p_size", F.struct(F.col("p_partkey").alias("pos"), label.alias("label")).alias("e")))
     sizes = part.select("p_partkey", "p_brand", F.col("p_size").cast("string").alias("size_identifier")).join(labels, "p_brand", "left")
     item = F.struct("size_identifier", F.col("size_identifier").alias("size_name"))
     name = F.get(O.uk_names(F.array(item), F.coalesce(F.col("l.label"), F.array().cast("array<string>"))), F.lit(0))["size_name"]
