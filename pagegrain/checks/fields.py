@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagegrain.checks.base import LI, check, table
+from pagegrain.checks.base import LI, check, dealt_parts, table
 from pagegrain.functions import catalog as C
 from pagegrain.functions import price as P
 from pagegrain.functions import text as X
@@ -344,7 +344,7 @@ def d29_swatch(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit(f'<img class="swatch{" selected" if i else ""}" title="'), "p_name", F.lit(f'{i}" onclick="changeAltImages('),
                         F.lit(f"this,'c{i}'); swatchClicked("), option, F.lit(')">'))
 
-    pages = parts(spark, sf_dir).select("p_partkey", F.concat(F.lit('<div class="pdpRight x">'), swatch(0), swatch(1), F.lit("</div>")).alias("html"))
+    pages = dealt_parts(spark, sf_dir).select("p_partkey", F.concat(F.lit('<div class="pdpRight x">'), swatch(0), swatch(1), F.lit("</div>")).alias("html"))
     docs = N.parse_nodes(pages, [N.Test("div", "class", "starts", "pdpRight"), N.Test("img", "class", "starts", "swatch", markup=True)], ["p_partkey"])
     images = N.under(N.ALL, N.Test("div", "class", "starts", "pdpRight"), N.Test("img", "class", "starts", "swatch"))
     rows = docs.select("p_partkey", F.posexplode(images.col).alias("pos", "n"))

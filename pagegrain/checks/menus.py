@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagegrain.checks.base import check, table
+from pagegrain.checks.base import check, dealt_parts
 from pagegrain.plans import navigation as V
 
 LONG = "bigint"
@@ -24,7 +24,7 @@ def sql_template(template: str) -> Column:
 
 
 def part_pages(spark: SparkSession, sf_dir: str, site: str, template: str, url: str = "http://p.example/[[p_partkey]]") -> DataFrame:
-    return table(spark, sf_dir, "part").select(
+    return dealt_parts(spark, sf_dir).select(
         F.col("p_partkey").alias("page_id"), F.lit(site).alias("site"), sql_template(url).alias("url"), sql_template(template).alias("html"),
         F.lit("us").alias("country_code"), "p_name", "p_size")
 
@@ -36,7 +36,7 @@ def n1_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Countries of the shipping page that no table knows."""
     code = F.when(F.col("p_partkey") % 3 == 0, "ZZ").otherwise("uk")
     flag = lambda c: F.concat(F.lit('<div class="flag-container"><a href="http://www.x.com/'), c, F.lit('">x</a></div>'))
-    pages = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), F.concat(flag(code), flag(F.lit("xx"))).alias("html"))
+    pages = dealt_parts(spark, sf_dir).select(F.col("p_partkey").alias("page_id"), F.concat(flag(code), flag(F.lit("xx"))).alias("html"))
     return V.unknown_countries(pages)
 
 

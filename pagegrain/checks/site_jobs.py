@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagegrain.checks import site_pages as S
-from pagegrain.checks.base import check, table
+from pagegrain.checks.base import check, dealt_parts
 from pagegrain.plans import jobs, vitamins
 from pagegrain.plans.offer_rules import BY_SITE
 from pagegrain.plans.offers import extract_all_offers, extract_offers, offer_rejects
@@ -58,7 +58,7 @@ def n1_offer_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'detail' AS kind, p_name || ' ' || p_partkey AS title, p_type || p_brand AS text FROM part
 UNION ALL SELECT 'link', 'https://sjobs.brassring.com/TGWebHost/jobdetails.aspx?id=' || p_partkey || '&x=' || p_size, '' FROM part WHERE p_partkey % 3 = 0""")
 def k_brassring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
+    part = dealt_parts(spark, sf_dir)
     detail = F.concat(F.lit("<p><span id='Job Abbreviation Title' class=x>"), "p_name", F.lit(" "), "p_partkey",
                       F.lit("</span><span id='Job Description'>"), "p_type", F.lit("<br/>"), "p_brand", F.lit("</span>"))
     listing = F.concat(F.when(F.col("p_partkey") % 3 == 0, "<h1>Search results</h1>").otherwise(""),
@@ -81,7 +81,7 @@ def k_pentair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pentair_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
+    part = dealt_parts(spark, sf_dir)
     group = F.floor(F.col("p_partkey") / 20)
     listing_url = F.concat(F.lit("http://l.example/"), group)
     span = lambda marker, text: F.concat(F.lit(f'<div><span id="{marker}0">'), text, F.lit("</span></div>"))
@@ -111,7 +111,7 @@ def n1_job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brassring pages without title or description, pentair pages whose listing is missing."""
     key = F.col("p_partkey")
     html = F.concat(F.when(key % 2 != 0, "<span id='Job Abbreviation Title'>t</span>").otherwise(""), F.when(key % 3 != 0, "<span id='Job Description'>d</span>").otherwise(""))
-    brass = table(spark, sf_dir, "part").select(key.alias("page_id"), F.lit("detail").alias("page_type"), F.lit("u").alias("url"), html.alias("html"))
+    brass = dealt_parts(spark, sf_dir).select(key.alias("page_id"), F.lit("detail").alias("page_type"), F.lit("u").alias("url"), html.alias("html"))
     pages = pentair_pages(spark, sf_dir)
     pages = pages.where((F.col("page_type") == "detail") | (F.col("page_id") % 4 != 0))
     return jobs.brassring_rejects(brass).withColumn("job", F.lit("brassring")).unionByName(
@@ -125,7 +125,7 @@ def n1_vitamin_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplement pages without a title, and the pages that have one, from one reading."""
     title = F.concat(F.lit('<table><tr><td valign="top"><h1 class="h1productHead">'), "p_name", F.lit("</h1></td></tr></table>"))
     html = F.when(F.col("p_partkey") % 3 == 0, F.lit("<p>gone</p>")).otherwise(title)
-    pages = table(spark, sf_dir, "part").select(
+    pages = dealt_parts(spark, sf_dir).select(
         F.col("p_partkey").alias("page_id"), F.lit("detail").alias("page_type"), F.lit("http://e.example/").alias("url"), html.alias("html"))
     read = vitamins.read(pages)
     return read.rejects().select("page_id", "stage", F.lit(False).alias("good")).unionByName(
@@ -145,6 +145,6 @@ def k_evitamins(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_brand", F.lit("</a></td></tr><tr><td><strong>Selected Size:</strong> "), text("p_size"), F.lit(" Tablets</td></tr><tr><td>"
               '<span class="size1"><span itemprop="id">U'), text("p_partkey"), F.lit('</span></span><span itemprop="price">\n$'), text("p_retailprice"),
         F.lit("\n</span></td></tr></table></td></tr></table>"))
-    pages = table(spark, sf_dir, "part").select(
+    pages = dealt_parts(spark, sf_dir).select(
         F.col("p_partkey").alias("page_id"), F.lit("detail").alias("page_type"), F.lit("http://e.example/").alias("url"), html.alias("html"))
     return vitamins.vitamin_products(pages).drop("url")

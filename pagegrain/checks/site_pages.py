@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagegrain.checks.base import table
+from pagegrain.checks.base import dealt_parts, table
 
 PER_PAGE = 40
 
@@ -158,7 +158,7 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(
         F.lit('<div class="alert_header"><h1>'), _values()["n"], F.lit(' Gift Cards</h1></div><table><tbody><tr><td class="save">0.5%</td></tr>'
               '<tr><td class="save">'), F.col("p_size").cast("string"), F.lit('.25%</td></tr><tr><td class="x">99%</td></tr></tbody></table>'))
-    return table(spark, sf_dir, "part").select(
+    return dealt_parts(spark, sf_dir).select(
         F.col("p_partkey").alias("page_id"), F.lit("giftcardgranny").alias("site"),
         F.concat(F.lit("http://g.example/"), "p_partkey").alias("url"), html.alias("html"))
 
