@@ -78,8 +78,8 @@ DETAIL_TESTS = [BOX, NAME, BRAND, PRICE_BOX, WAS, SALE, SINGLE, DESC_BOX, DESC,
 
 def sightings(pages: DataFrame) -> DataFrame:
     """One row per product link of a listing page, with its key and category path."""
-    docs = N.parse_nodes(pages, LISTING_TESTS, IDS)
-    nodes = N.ALL
+    docs = N.parse_nodes(pages, LISTING_TESTS, IDS, marked=True)
+    nodes = N.tested(LISTING_TESTS)
     anchors = N.select(nodes, T_("a"))
     look_links = N.children(N.under(nodes, LOOK_BOX, LOOK_ROW), anchors)
     staged = docs.select(
@@ -145,8 +145,8 @@ def _swatches(skus: Column, country: Column) -> Column:
 
 def detail_facts(pages: DataFrame) -> DataFrame:
     """Facts of the detail pages, whether they could be read or not."""
-    docs = N.parse_nodes(pages, DETAIL_TESTS, DETAIL_IDS, with_html=True)
-    nodes, html = N.ALL, F.col("norm_html")
+    docs = N.parse_nodes(pages, DETAIL_TESTS, DETAIL_IDS, with_html=True, marked=True)
+    nodes, html = N.tested(DETAIL_TESTS), F.col("norm_html")
 
     def price(test: N.Test) -> Column:
         return N.texts_under(nodes, BOX, PRICE_BOX, test)

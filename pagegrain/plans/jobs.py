@@ -75,7 +75,7 @@ def _pentair_tests() -> list[N.Test]:
 
 def _box_text(marker: str) -> Column:
     """Texts of a box on the allowed tag paths, in document order, one per line."""
-    nodes = N.ALL
+    nodes = N.tested(_pentair_tests())
     box = N.select(nodes, N.Test("div", "id", "starts", marker))
     below = f"substr(t.path, length(b.path) + 2) RLIKE {N.literal(PENTAIR_PATHS)}"
     inside = f"filter({N.select(nodes, N.Test(N.TEXT))}, t -> exists(box, b -> t.pre > b.pre AND t.pre <= b.end AND {below}))"
@@ -103,8 +103,8 @@ def pentair_rejects(pages: DataFrame) -> DataFrame:
 
 def pentair_details(pages: DataFrame) -> DataFrame:
     """The five fields of every detail page, with page_id, referer and fetched_at."""
-    nodes = N.ALL
-    docs = N.parse_nodes(pages.where(F.col("page_type") == "detail"), _pentair_tests(), ["page_id", "referer", "fetched_at"])
+    nodes = N.tested(_pentair_tests())
+    docs = N.parse_nodes(pages.where(F.col("page_type") == "detail"), _pentair_tests(), ["page_id", "referer", "fetched_at"], marked=True)
     fields = [
         F.get(N.own_texts(nodes, N.Test("span", "id", "starts", marker)), F.lit(0)).alias(name)
         for name, marker in PENTAIR_FIELDS.items()

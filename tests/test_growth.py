@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagegrain.checks import base, menus, relations
+from pagegrain.operators import nodes as N
 from pagegrain.plans import navigation
 
 PART = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
@@ -40,3 +41,20 @@ def test_label_lists_are_bounded_by_sizes(spark):
     entries = spark.range(3000).select(
         F.lit("b").alias("p_brand"), (F.col("id") % 4).alias("p_size"), F.struct(F.col("id").alias("pos"), F.concat(F.lit("x"), "id").alias("label")).alias("e"))
     assert [(r["pos"], r["label"]) for r in relations.first_labels(entries).first()["l"]] == [(i, f"x{i}") for i in range(4)]
+
+
+def test_selections_read_hits(spark):
+    """Selections on marked pages give the same nodes as the tests on every node, and go through no node that fails them."""
+    pages = ["", "plain", '<div class="a b"><p>x<b class="b">y</b></p><div class="b"><img src="1"><img class="b"></div></div><p class="b">z</p>', "<div><div class=b>" * 40 + "t"]
+    given = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string")
+    tests = [N.Test("div"), N.Test("div", "class", "has", "b", path=True), N.Test("img"), N.Test("p", "class", "eq", "b", markup=True), N.Test(N.TEXT)]
+    wanted = [[tests[1]], [tests[0], tests[1]], [tests[3], tests[2]], [N.Test("img", "src", "eq", "1")], [N.Test("b")], [N.Test(N.TEXT)]]
+
+    def found(nodes, marked):
+        docs = N.parse_nodes(given, tests, ["page_id"], marked=marked)
+        chain = N.under(nodes, tests[1], tests[2])
+        return docs.select("page_id", *[F.expr(f"transform({N.select(nodes, *w)}, n -> struct(n.pre, n.end, n.tag, n.path, n.outer))").alias(f"c{i}") for i, w in enumerate(wanted)],
+                           F.expr(f"transform({chain}, n -> n.pre)").alias("chain")).orderBy("page_id").collect()
+
+    assert found(N.tested(tests), True) == found(N.ALL, False)
+    assert "filter(" not in N.select(N.tested(tests), tests[1])
