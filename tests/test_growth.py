@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pagegrain.checks import base, menus, relations
+from pagegrain.checks import base, menus, relations, site_jobs, streams
 from pagegrain.operators import nodes as N
 from pagegrain.plans import navigation
 
@@ -58,3 +58,10 @@ def test_selections_read_hits(spark):
 
     assert found(N.tested(tests), True) == found(N.ALL, False)
     assert "filter(" not in N.select(N.tested(tests), tests[1])
+
+
+def test_streamed_jobs_of_many_parts(spark, tmp_path):
+    """Parts whose numbers are more than a day's seconds apart: the stream still tells the listed jobs of each listing."""
+    folder = write_part(spark, tmp_path, [*range(20, 60), *range(200020, 200060)])
+    key = lambda r: tuple(r)
+    assert sorted(map(key, streams.l1_pentair(spark, folder).collect())) == sorted(map(key, site_jobs.k_pentair(spark, folder).collect()))
