@@ -30,7 +30,8 @@ def together(rows: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a language: null, without a letter, or with too few n-grams of any learned language.
+    """Identifies the language of each text by the two steps of the operator (family, then pairwise machines inside it) and drops texts without one:
+    null, without a letter, or with too few n-grams of the language that was predicted.
 
     The n-grams are learned from ``docs`` itself; where nothing is labelled, only texts without letters go.
     """

@@ -4,8 +4,8 @@ A text becomes the relative frequencies of its hashed byte n-grams (1 to 3 bytes
 letters as one gap). One-versus-rest machines choose the family. Inside a family each pair of languages has its own
 machine, and the language with the most pair wins is predicted (ties: larger margin sum, then the smaller name).
 
-The machines always choose one of the learned languages. Whether a text is in any of them is told apart by the share of
-its 3-byte n-grams that occur in learned texts of one language (``Model.recognised``).
+The machines always choose one of the learned languages. Whether a text is in it is told apart by the share of
+its 3-byte n-grams that occur in learned texts of that language (``Model.recognised``).
 """
 
 from __future__ import annotations
@@ -126,13 +126,15 @@ class Model:
             self.least[i] = LEAST_KNOWN * np.median([(texts[g] > 1).mean() for g in own]) if own else 0.0
 
     def recognised(self, text: str) -> bool:
-        """Whether enough n-grams of the text are known in one learned language; short texts get two standard errors of their share."""
+        """Whether enough n-grams of the text are known in the language that the machines predict for it; short texts get two standard errors of
+        their share."""
         g = trigrams(text)
         if not len(self.grams) or not len(g):
             return True
+        own = self.langs.index(self.predict(features(text))[0])
         at = np.minimum(np.searchsorted(self.grams, g), len(self.grams) - 1)
-        share = self.seen[:, at[self.grams[at] == g]].sum(1) / len(g)
-        return bool((share >= self.least - 2 * np.sqrt(self.least * (1 - self.least) / len(g))).any())
+        share, least = self.seen[own, at[self.grams[at] == g]].sum() / len(g), self.least[own]
+        return bool(share >= least - 2 * np.sqrt(least * (1 - least) / len(g)))
 
     def predict(self, x: np.ndarray) -> tuple[str, float]:
         """Language, and the product of the two steps' sigmoid confidences."""
@@ -161,6 +163,17 @@ def measured(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(each, pa.binary()), pa.array(grams, pa.binary()), batch.column(1)], ["x", "grams", "lang"])
 
 
+def fitted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of the bounded sample, made in a task: the driver holds the weights, not the sample."""
+    given = sorted((r for batch in rows for r in zip(*[c.to_pylist() for c in (batch.column(2), batch.column(0), batch.column(1))])), key=lambda r: r[:2])
+    if given:
+        x, grams = np.empty((len(given), BUCKETS), np.float32), [np.frombuffer(r[2], np.uint32) for r in given]
+        langs = [r[0] for r in given]
+        for i in range(len(given)):
+            x[i], given[i] = np.frombuffer(given[i][1], np.float32), None  # one copy at a time
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(vars(Model(x, langs, grams)))], pa.binary())], ["model"])
+
+
 def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
     """From a sample of the texts where ``learn`` holds, of about ``sample`` per language, drawn by a hash of the text: equal texts count once.
 
@@ -174,14 +187,12 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
     for lang, n in sorted(counts.items()):
         share = F.when(F.col("lang") == lang, min(1.0, sample / n)).otherwise(share)
     drawn = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 20)) < share * (1 << 20)
-    rows = (labelled.where(drawn & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang").distinct()
-            .mapInArrow(measured, "x binary, grams binary, lang string").collect())
-    rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    langs, x = [r["lang"] for r in rows], np.empty((len(rows), BUCKETS), np.float32)
-    grams = [np.frombuffer(r["grams"], np.uint32) for r in rows]
-    for i in range(len(rows)):
-        x[i], rows[i] = np.frombuffer(rows[i]["x"], np.float32), None  # one copy at a time
-    return Model(x, langs, grams)
+    sampled = labelled.where(drawn & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang").distinct()
+    learned = sampled.mapInArrow(measured, "x binary, grams binary, lang string").repartition(1).mapInArrow(fitted, "model binary").collect()
+    model = Model(np.zeros((0, BUCKETS), np.float32), [])
+    for r in learned:
+        vars(model).update(pickle.loads(r["model"]))
+    return model
 
 
 def sent(spark: SparkSession, model: Model) -> Callable[[], Model]:
@@ -195,7 +206,7 @@ def sent(spark: SparkSession, model: Model) -> Callable[[], Model]:
 
 
 def recognised(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has a letter and is in one of the learned languages, as far as its n-grams tell."""
+    """The rows of ``docs`` whose text has a letter and is in the learned language predicted for it, as far as its n-grams tell."""
     load = sent(docs.sparkSession, model)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

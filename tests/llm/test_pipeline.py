@@ -45,6 +45,18 @@ def test_language_stage_drops_unlearned(spark, docs):
     assert rows(out) == rows(STAGE["language"](spark, docs, SF))
 
 
+def test_language_stage_asks_the_machines(spark):
+    """A text is judged by the n-grams of the language that the machines predict, not by those of whichever language knows most of them."""
+    texts = [(lang, " ".join(words[(i * 7 + j * j) % len(words)] for j in range(40))) for lang, words in (
+        ("en", "the house and water with their other people which would".split()), ("de", "das haus und wasser mit ihren anderen leuten welche".split())) for i in range(12)]
+    x = np.array([language.features(t) for _, t in texts])
+    model = language.Model(x, [lang for lang, _ in texts], [np.unique(language.trigrams(t)) for _, t in texts])
+    english = texts[0][1]
+    assert model.predict(language.features(english))[0] == "en" and model.recognised(english)
+    model.predict = lambda x: ("de", 1.0)
+    assert not model.recognised(english)
+
+
 def test_quality_stage(spark, docs):
     out = STAGE["quality"](spark, docs, SF)
     assert out.columns == docs.columns
