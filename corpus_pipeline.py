@@ -19,6 +19,10 @@ from pagegrain.llm import language, near_dedup, packing, pii, quality_rules  # n
 from pagegrain.llm.common import discard, table, written  # noqa: E402
 
 
+#: Chunks that a packing worker remembers. An executor that has run four stages holds its full heap, so its workers get less than in a query of their own.
+ENTRIES = 300_000
+
+
 def apart(docs: DataFrame, *used: str) -> DataFrame:
     """``docs`` with the columns that a stage does not use under names that clash with none of its own."""
     return docs.select(*[F.col(f"`{c}`").alias(c if c in used else f"__{i}_{c}") for i, c in enumerate(docs.columns)])
@@ -63,7 +67,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     repeated one, is packed; an empty table gives no pieces."""
     import public_tokenizers
 
-    pieces = packing.cut_documents(docs, public_tokenizers.path(packing.VOCABULARY))
+    pieces = packing.cut_documents(docs, public_tokenizers.path(packing.VOCABULARY), entries=ENTRIES)
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

@@ -46,7 +46,7 @@ class ChunkEncoder:
     def __init__(self, path: str, entries: int = ENTRIES):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.library, self.entries = Tokenizer.from_file(path), entries
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         #: Word vocabularies lower the text and drop its white space; byte vocabularies keep a space before its word.
@@ -115,9 +115,10 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """The worker's encoder for this vocabulary file."""
+def encoder(path: str, entries: int = ENTRIES) -> ChunkEncoder:
+    """The worker's encoder for this vocabulary file. One encoder is held per file: another bound on its tables drops the one before."""
     tables = process_tables()
-    if path not in tables:
-        tables[path] = ChunkEncoder(path)
+    if path not in tables or tables[path].entries != entries:
+        tables.pop(path, None)
+        tables[path] = ChunkEncoder(path, entries)
     return tables[path]

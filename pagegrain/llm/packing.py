@@ -30,10 +30,10 @@ SHORT_WEIGHT = 0.1
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 
 
-def cut(path: str, end_id: int, window: int):
+def cut(path: str, end_id: int, window: int, entries: int = bpe_tables.ENTRIES):
     """Pieces of each document: all but the last are one window long; ids are little-endian unsigned 32-bit integers."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe_tables.encoder(path)
+        encoder = bpe_tables.encoder(path, entries)
         for b in light(rows, "text"):
             ids, stops = ended(*encoder.encode_all(b.column(b.schema.get_field_index("text"))), end_id)
             n = np.diff(stops)
@@ -174,9 +174,12 @@ def pack(pieces: DataFrame, window: int = WINDOW, step: int = STEP) -> DataFrame
             .select(*[c for c in sized.columns if c != "__size"], "sequence_id", "offset"))
 
 
-def cut_documents(docs: DataFrame, vocabulary: str, end_id: int = END_ID, window: int = WINDOW) -> DataFrame:
-    """A written table of pieces with ``ids``, their crc32 and ``piece_id``. A null text is empty and has the end id only."""
-    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut(vocabulary, end_id, window), PIECES)
+def cut_documents(docs: DataFrame, vocabulary: str, end_id: int = END_ID, window: int = WINDOW, entries: int = bpe_tables.ENTRIES) -> DataFrame:
+    """A written table of pieces with ``ids``, their crc32 and ``piece_id``. A null text is empty and has the end id only.
+
+    ``entries`` bounds the chunks whose ids a Python worker remembers: fewer take less memory and more time, and give the same ids.
+    """
+    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut(vocabulary, end_id, window, entries), PIECES)
     return written(pieces.withColumn("ids_crc32", F.crc32("ids")).withColumn("piece_id", F.monotonically_increasing_id()), "pieces")
 
 

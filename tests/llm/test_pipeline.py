@@ -3,11 +3,13 @@
 import re
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pagegrain.llm import language, packing, pii, quality_rules
+from pagegrain.llm import bpe_tables, language, packing, pii, quality_rules
 from tests.llm.test_rows import DOCS, ODD, base_spans, brute_components, brute_counts, check_packing
 
 SF = "/root/testdata/sf0.001"
@@ -94,6 +96,17 @@ def test_packing_stage(spark, docs):
     check_packing(STAGE["packing"](spark, docs, SF).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()], packing.WINDOW)
 
 
+def test_packing_stage_remembers_less():
+    """The bound on a worker's tables holds, and the ids do not depend on it."""
+    path = public_tokenizers.path(packing.VOCABULARY)
+    texts = [[" ".join(f"w{chr(97 + i)}{chr(97 + j)}{chr(97 + k)}" for k in range(26)) for j in range(4)] for i in range(26)]
+    rows = [pa.record_batch({"doc_id": pa.array([4 * i + j for j in range(4)]), "text": t}) for i, t in enumerate(texts)]
+    whole, few = ([b for b in packing.cut(path, 1, 64, n)(iter(rows))] for n in (bpe_tables.ENTRIES, 500))
+    assert pa.Table.from_batches(whole) == pa.Table.from_batches(few)
+    held = bpe_tables.encoder(path, 500)
+    assert len(held.table) + len(held.table.old) <= 500 + 4 * 26 and corpus_pipeline.ENTRIES < bpe_tables.ENTRIES
+
+
 def test_stages_stand_empty_tables(spark, docs, tmp_path):
     none = docs.where("false")
     for name, stage in corpus_pipeline.STAGES:
