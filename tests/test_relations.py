@@ -1,6 +1,7 @@
 """Windows, joins and sets against brute force on small rows."""
 
 import random
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -107,6 +108,30 @@ def test_keys_are_forgotten_after_the_delay(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "a", "b"]
 
 
+def test_one_per_key_reads_keys_by_the_group(spark, tmp_path):
+    """Calls and state grow with the groups, not with the keys; the rows are those of each key for itself, also nulls, ties and what comes too late."""
+    at = "timestamp_seconds({}) AS ts"
+    first = "SELECT id % 300 AS k, CASE WHEN id % 3 > 0 THEN id % 3 END AS j, " + at.format("100 + id % 7") + ", -id AS n FROM range(900)"
+    early = "SELECT 5L AS k, 2L AS j, " + at.format("99") + ", 7L AS n UNION ALL SELECT NULL, NULL, " + at.format("2000") + ", 0L"
+    late = "SELECT 5L AS k, 2L AS j, " + at.format("1990") + ", -7L AS n UNION ALL SELECT 900L, 1L, " + at.format("1990") + ", 1L"
+    clock = "SELECT CAST(NULL AS BIGINT) AS k, CAST(NULL AS BIGINT) AS j, " + at + ", 0L AS n"
+    for text in (first, early, clock.format("2001"), late, clock.format("9000")):
+        spark.sql(text).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    given = spark.read.parquet(f"{tmp_path}/in")
+    for latest in (False, True):
+        stream = L.read_page_stream(spark, f"{tmp_path}/in", given.schema, files=1)
+        out = L.one_per_key(stream, ["k", "j"], ["ts", "n"], "ts", timedelta(seconds=60), latest=latest, groups=8)
+        with L.stores_on_disk(spark):
+            query = out.writeStream.format("parquet").option("path", f"{tmp_path}/{latest}").option("checkpointLocation", f"{tmp_path}/s{latest}").trigger(availableNow=True).start()
+            L.wait(query)
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 3 * 8
+        found = {(r["k"], r["j"]): (r["ts"].timestamp(), r["n"]) for r in spark.read.parquet(f"{tmp_path}/{latest}").collect()}
+        want = {}
+        for r in given.where("k IS NOT NULL AND (n <> -7 OR unix_seconds(ts) < 1000)").collect():
+            want.setdefault((r["k"], r["j"]), []).append((r["ts"].timestamp(), r["n"]))
+        assert found == {k: (max if latest else min)(v) for k, v in want.items()}
+
+
 def test_job_and_supplement_streams_equal_the_batch(spark, tmp_path):
     from pagegrain.plans.jobs import brassring_jobs
     html = "<span id='Job Abbreviation Title'>t{0}</span><span id='Job Description'>d</span>"
