@@ -65,3 +65,17 @@ def test_streamed_jobs_of_many_parts(spark, tmp_path):
     folder = write_part(spark, tmp_path, [*range(20, 60), *range(200020, 200060)])
     key = lambda r: tuple(r)
     assert sorted(map(key, streams.l1_pentair(spark, folder).collect())) == sorted(map(key, site_jobs.k_pentair(spark, folder).collect()))
+
+
+def test_streamed_events_land_in_many_files(spark, tmp_path, monkeypatch):
+    """The files of a span of days grow with the events, and the first event of each key stays the same."""
+    rows = spark.range(1200).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_seconds(1704067200 + (id * 7919 % 2591000)) AS ts").cast("timestamp_ntz"), (F.col("id") % 9).alias("user_id"),
+        F.concat(F.lit("t"), F.col("id") % 2).alias("event_type"), F.lit(1.0).alias("value"), F.concat(F.lit("p"), "id").alias("props"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(streams, "PER_FILE", 50)
+    roots = []
+    monkeypatch.setattr(streams, "scratch_path", lambda s, label: roots.append(str(tmp_path / label)) or roots[-1])
+    key = lambda r: (r["event_type"], r["user_id"], r["event_id"], r["props"])
+    assert sorted(map(key, streams.l2_first(spark, str(tmp_path)).collect())) == sorted(map(key, relations.h1_first_seen(spark, str(tmp_path)).collect()))
+    assert len(list((tmp_path / "first" / "in").glob("*.parquet"))) > 6 * 3
