@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagegrain.checks import base, menus, relations, site_jobs, streams
+from pagegrain.functions import htmlnodes
 from pagegrain.operators import nodes as N
 from pagegrain.plans import navigation
 
@@ -79,3 +80,34 @@ def test_streamed_events_land_in_many_files(spark, tmp_path, monkeypatch):
     key = lambda r: (r["event_type"], r["user_id"], r["event_id"], r["props"])
     assert sorted(map(key, streams.l2_first(spark, str(tmp_path)).collect())) == sorted(map(key, relations.h1_first_seen(spark, str(tmp_path)).collect()))
     assert len(list((tmp_path / "first" / "in").glob("*.parquet"))) > 6 * 3
+
+
+def test_tags_are_read_once(monkeypatch):
+    """What a start tag says is found once, however many pages show it; a page's own tags are read as they come."""
+    read, attributes = [], htmlnodes.attributes
+    monkeypatch.setattr(htmlnodes, "attributes", lambda source: read.append(source) or attributes(source))
+    wanted = htmlnodes.wanted_by([("a", "class", "eq", "x", False, False), ("p", None, "eq", "", False, False)], marked=True)
+    for i in range(50):
+        page = htmlnodes.PageNodes(f"<p class=k><a class=x>1</a><a class=y>2</a><a class=x href={i}>3</a></p>", wanted)
+        assert [n[4] for n in page.nodes] == ["p", "a", "a"] and page.hits == [[1, 2], [0]] and page.nodes[2][7] == {"class": "x", "href": str(i)}
+        assert page.html == f'<p class="k"><a class="x">1</a><a class="y">2</a><a class="x" href="{i}">3</a></p>'
+    assert len(read) == 3 + 50
+    path = htmlnodes.wanted_by([("a", "@path", "eq", "/p/a", False, False)])
+    assert [len(htmlnodes.PageNodes("<a>1</a><p><a>2</a>", path).nodes) for _ in range(2)] == [1, 1]
+
+
+def test_tags_of_pages_are_forgotten(monkeypatch):
+    monkeypatch.setattr(htmlnodes, "TAGS", 10)
+    wanted = htmlnodes.wanted_by([("a", None, "eq", "", False, False)])
+    for i in range(30):
+        assert htmlnodes.PageNodes(f"<a href={i}><a title={'x' * 400}>", wanted).nodes[0][7] == {"href": str(i)}
+    assert len(wanted.seen) <= 10
+
+
+def test_selections_without_ancestors_look_at_no_node(spark):
+    """Pages of another layout cost nothing: where nothing encloses, no node is compared."""
+    docs = N.parse_nodes(spark.createDataFrame([(1, "<p>x</p>")], "page_id int, html string"), [N.Test("div"), N.Test("p"), N.Test(N.TEXT)], ["page_id"])
+    none, loud = N.select(N.ALL, N.Test("div")), N.Nodes("transform(nodes, n -> if(n.pre > 0, raise_error('looked at'), n))")
+    row = docs.select(N.descendants(none, loud).col.alias("below"), N.children(none, loud).col.alias("kids"),
+                      N.values(N.children(N.select(N.ALL, N.Test("p")), N.select(N.ALL, N.Test(N.TEXT)))).alias("texts")).first()
+    assert row == ([], [], ["x"])
