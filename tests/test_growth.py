@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pagegrain.checks import base, menus, relations, site_jobs, streams
+from pagegrain.checks import base, menus, products, relations, site_jobs, streams
 from pagegrain.functions import htmlnodes
 from pagegrain.operators import nodes as N
 from pagegrain.plans import navigation
@@ -82,6 +82,19 @@ def test_streamed_events_land_in_many_files(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "first" / "in").glob("*.parquet"))) > 6 * 3
 
 
+def test_streamed_products_open_few_stores(spark, tmp_path, monkeypatch):
+    """A partition of the state has one store per operator, there are no more partitions than the pages need, and pages of all kinds arrive in every file."""
+    folder, progress, wait = write_part(spark, tmp_path, range(500)), [], streams.L.wait
+    monkeypatch.setattr(streams, "scratch_path", lambda s, label: str(tmp_path / label))
+    monkeypatch.setattr(streams.L, "wait", lambda query: (wait(query), progress.extend(query.recentProgress)))
+    got = streams.l1_products(spark, folder).where("item_kind = 'full'").collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, products.k_tory(spark, folder).where("item_kind = 'full'").collect()))
+    stores = [[o.numStateStoreInstances for o in p.stateOperators] for p in progress if p.stateOperators]
+    assert stores and all(of_one == [2] * 9 for of_one in stores)
+    kinds = spark.read.parquet(f"{tmp_path}/products/all").where("page_type <> 'listing'").groupBy(F.input_file_name()).agg(F.count_distinct("page_type").alias("n")).collect()
+    assert [r["n"] for r in kinds] == [4, 4]
+
+
 def test_tags_are_read_once(monkeypatch):
     """What a start tag says is found once, however many pages show it; a page's own tags are read as they come."""
     read, attributes = [], htmlnodes.attributes
